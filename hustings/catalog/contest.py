@@ -312,7 +312,7 @@ def late_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs as (select entry_id, source_entry, count(*) as shared_blocks from prints join first using (block, print, n)
       where entry_id <> source_entry group by 1, 2)
     select a.entry_id, source_entry, shared_blocks, count(*) as n_common,
-      round(count(*) filter (a.candidate = b.candidate)::double / count(*), 9) as agreement
+      count(*) filter (a.candidate = b.candidate)::double / count(*) as agreement
     from pairs join p a on a.entry_id = pairs.entry_id
       join p b on b.entry_id = source_entry and b.constituency = a.constituency group by 1, 2, 3""",
 )
@@ -324,5 +324,4 @@ def agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.posexplode(F.split("text", "\n")).alias("constituency", "candidate"),
     )
     placed = lines.withColumns({"state": F.lit("all"), "block": F.floor(F.col("constituency") / 4).cast("int")})
-    found = rules.copied_submissions(placed, ["block"])
-    return found.withColumn("agreement", F.round("agreement", 9))
+    return rules.copied_submissions(placed, ["block"])

@@ -229,7 +229,7 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         cast(cast(floor(abs(c_acctbal)) as bigint) as varchar) as amount
       from customer where c_mktsegment <> 'MACHINERY')
     select state, 1 as row_idx, c_name || ' & Sons' as candidate, constituency, party, '2' as criminal_cases,
-      'Graduate' as education, 'Rs ' || amount || ' ~ 1 Lacs+' as total_assets from c
+      'Graduate' as education, 'Rs' || chr(160) || amount || ' ~ 1 Lacs+' as total_assets from c
     union all
     select state, 3, 'D''Souza A', constituency, 'IND', '', 'n/a', 'Nil' from c""",
 )
@@ -256,7 +256,7 @@ def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     row_id = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
     picked = pick_winners(lines, ["l_returnflag", "l_orderkey"], "l_tax", row_id).select(
-        F.lit("template").alias("source"),
+        F.concat(F.lit("book "), "l_returnflag").alias("source"),
         F.col("l_returnflag").alias("sheet"),
         (F.abs(F.xxhash64("l_orderkey", *row_id) % F.lit(2**61)) + 1).alias("row_idx"),
         F.col("l_orderkey").cast("string").alias("a"),
@@ -269,7 +269,9 @@ def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = picked.select(
         "source", "sheet", "row_idx", F.when(short, F.array("a", "b")).otherwise(F.array("a", "b", "c", F.lit("?"))).alias("cells")
     )
-    sheets = lines.select(F.lit("template").alias("source"), F.col("l_returnflag").alias("sheet")).distinct()
+    sheets = lines.select(
+        F.concat(F.lit("book "), "l_returnflag").alias("source"), F.col("l_returnflag").alias("sheet")
+    ).distinct()
     heads = sheets.select(
         "source",
         "sheet",

@@ -107,7 +107,7 @@ def history_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def template_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole template workflow: history from the orders, template rows from the customers, five sheets."""
     body = table(spark, sf_dir, "customer").select(
-        F.lit("template").alias("source"),
+        F.concat(F.lit("book "), (F.col("c_nationkey") % 5).cast("string")).alias("source"),
         F.concat(F.lit("sheet "), (F.col("c_nationkey") % 5).cast("string")).alias("sheet"),
         (F.col("c_custkey") + 1).alias("row_idx"),
         F.array(

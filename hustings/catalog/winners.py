@@ -72,7 +72,7 @@ def margin(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "a11_ratio",
     f"""{_MARGINS} select l_orderkey, c_custkey, winner_votes - coalesce(runner_up_votes, 0) as margin,
-      round(c_acctbal / nullif(winner_votes - coalesce(runner_up_votes, 0), 0), 6) as wealth_ratio
+      c_acctbal / nullif(winner_votes - coalesce(runner_up_votes, 0), 0) as wealth_ratio
     from m join orders on o_orderkey = l_orderkey join customer on c_custkey = o_custkey""",
 )
 def wealth_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,4 +83,4 @@ def wealth_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     merged = spread_join(contests.join(orders, "l_orderkey"), profiles, ["c_custkey"], ["l_orderkey"], "inner")
     rated = wealth_to_margin(merged, "c_acctbal")
-    return rated.select("l_orderkey", "c_custkey", "margin", F.round("wealth_ratio", 6).alias("wealth_ratio"))
+    return rated.select("l_orderkey", "c_custkey", "margin", "wealth_ratio")

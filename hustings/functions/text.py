@@ -21,7 +21,7 @@ MISSING_TEXTS = [
 ]
 
 # Named character references that occur in table cells.
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 
 BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
 

@@ -85,9 +85,13 @@ def lookup(
     on: list[str],
     row_id: list[str],
     how: str = "left",
+    counts: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Join to a table that is usually small: broadcast when a count proves it, otherwise spread the keys."""
+    """Join to a table that is usually small: broadcast when a count proves it, otherwise spread the keys.
+
+    The count runs at once, so ``right`` should be a table or something cheap.
+    """
     if fits_broadcast(right, broadcast_rows):
         return left.join(F.broadcast(right), on, how)
-    return spread_join(left, right, on, row_id, how)
+    return spread_join(left, right, on, row_id, how, counts)

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hustings.functions.text import missing_to_null
-from hustings.operators.skew import spread_join
+from hustings.operators.skew import key_counts, lookup
+from hustings.session import materialise
 
 GRID = ["source", "sheet", "row_idx", "cells"]
 SHEET_KEY = ["source", "sheet"]
@@ -106,19 +107,19 @@ def find_headers(grid: DataFrame, marker: str = RESULT_MARKER, fallback: int | N
     """One row per sheet: ``header_idx``, the ``header`` cells and the sheet's number of rows ``_n``.
 
     The header is the first row whose first cell equals ``marker`` exactly, else the row numbered ``fallback``;
-    ``header_idx`` is null where neither exists.
+    ``header_idx`` is null where neither exists.  The table is written once, as everything about a sheet hangs on it.
     """
-    first_cell = F.get("cells", F.lit(0))
-    marked = first_cell == marker
-    known = grid.groupBy(*SHEET_KEY).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(F.when(marked, F.col("row_idx"))).alias("_marked"),
-        F.max(F.when(F.col("row_idx") == F.lit(-1 if fallback is None else fallback), F.col("row_idx"))).alias("_spare"),
+    marked = F.get("cells", F.lit(0)) == marker
+    wanted = marked if fallback is None else marked | (F.col("row_idx") == fallback)
+    rank = F.when(marked, F.lit(0)).otherwise(F.lit(1))
+    best = W.partitionBy(*SHEET_KEY).orderBy(rank, "row_idx")
+    rows = (
+        grid.where(wanted)
+        .withColumn("_place", F.row_number().over(best))
+        .where(F.col("_place") == 1)
+        .select(*SHEET_KEY, F.col("row_idx").alias("header_idx"), F.col("cells").alias("header"))
     )
-    place = known.select(*SHEET_KEY, "_n", F.coalesce("_marked", "_spare").alias("row_idx"))
-    candidate = marked if fallback is None else marked | (F.col("row_idx") == fallback)
-    rows = grid.where(candidate).select(*ROW_KEY, F.col("cells").alias("header"))
-    return place.join(rows, ROW_KEY, "left").withColumnRenamed("row_idx", "header_idx")
+    return materialise(key_counts(grid, SHEET_KEY).join(rows, SHEET_KEY, "left"))
 
 
 def exact_position(names: list[str]) -> Column:
@@ -150,7 +151,7 @@ def promote(
     for name in required or []:
         usable = usable.where(F.col(f"_at_{name}").isNotNull())
     counts = usable.select(*SHEET_KEY, "_n")
-    joined = spread_join(grid, usable.drop("_n"), SHEET_KEY, ["row_idx"], "inner", counts=counts)
+    joined = lookup(grid, usable.drop("_n"), SHEET_KEY, ["row_idx"], "inner", counts)
     below = joined.where(F.col("row_idx") > F.col("header_idx"))
     cells = [F.get("cells", F.col(f"_at_{n}") - 1).alias(n) for n in places]
     return below.select(*ROW_KEY, *(["cells"] if keep_cells else []), *cells)

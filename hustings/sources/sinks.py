@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from hustings.sources.grids import ROW_KEY, SHEET_KEY
-from hustings.operators.skew import key_counts, spread_join
+from hustings.operators.skew import key_counts, lookup
+from hustings.session import materialise
 
 # The template's outcome column, the column used when no sheet row names it, the submission columns.
 OUTCOME_TITLE = "Predicted Outcome (W/L/O)"
@@ -51,17 +53,21 @@ def write_by_state(
 
 def outcome_places(grid: DataFrame, title: str = OUTCOME_TITLE, default_column: int = OUTCOME_COLUMN) -> DataFrame:
     """Per sheet: row and 1-based column of the first cell row that names the outcome; first row and column 6 if none."""
-    place = F.array_position("cells", F.lit(title))
-    named = grid.where(place > 0).select(*ROW_KEY, place.cast("int").alias("_place"))
-    first = named.groupBy(*SHEET_KEY).agg(F.min("row_idx").alias("row_idx"))
-    found = first.join(named, ROW_KEY).withColumnRenamed("row_idx", "_found")
-    return (
+    place = F.array_position("cells", F.lit(title)).cast("int")
+    first = W.partitionBy(*SHEET_KEY).orderBy("row_idx")
+    found = (
+        grid.where(place > 0)
+        .withColumn("_nth", F.row_number().over(first))
+        .where(F.col("_nth") == 1)
+        .select(*SHEET_KEY, F.col("row_idx").alias("_row"), place.alias("_place"))
+    )
+    return materialise(
         key_counts(grid, SHEET_KEY)
         .join(found, SHEET_KEY, "left")
         .select(
             *SHEET_KEY,
             "_n",
-            F.coalesce("_found", F.lit(0).cast("bigint")).alias("outcome_row"),
+            F.coalesce("_row", F.lit(0).cast("bigint")).alias("outcome_row"),
             F.coalesce("_place", F.lit(default_column)).alias("outcome_column"),
         )
     )
@@ -75,7 +81,7 @@ def fill_template(grid: DataFrame, outcomes: DataFrame, title: str = OUTCOME_TIT
     """
     places = outcome_places(grid, title)
     counts = places.select(*SHEET_KEY, "_n")
-    joined = spread_join(grid, places.drop("_n"), SHEET_KEY, ["row_idx"], "inner", counts=counts).join(
+    joined = lookup(grid, places.drop("_n"), SHEET_KEY, ["row_idx"], "inner", counts).join(
         outcomes.select(*ROW_KEY, "outcome"), ROW_KEY, "left"
     )
     at = F.col("outcome_column") - 1
