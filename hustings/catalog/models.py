@@ -12,6 +12,7 @@ from hustings.operators.encoding import encode_closed
 from hustings.operators.ordering import balanced_folds
 from hustings.operators.winners import pick_winners
 from hustings.plans import history, template, web
+from hustings.session import materialise
 from hustings.sources.grids import union_sources
 
 SMALL = {"maxIter": 3, "maxDepth": 4}
@@ -38,6 +39,7 @@ def predict_one_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = ["l_quantity", "l_discount", "l_tax"]
     rows = models.training_rows(lines, features, "label", ["l_orderkey", *LINE])
     scored = models.score(models.fit(rows, models.boosted_trees("template", **SMALL)), rows)
+    scored = materialise(scored.select("l_orderkey", *LINE, "p_win"))
     picked = pick_winners(scored, ["l_orderkey"], "p_win", LINE)
     return picked.where(F.col("outcome") == "W").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
 

@@ -32,7 +32,7 @@ def missing_to_null(c: Column) -> Column:
 
 def strip(c: Column) -> Column:
     """Remove white space of any kind, tabs and line breaks included, at both ends."""
-    return F.regexp_replace(F.regexp_replace(c, f"^{BLANK}+", ""), f"{BLANK}+$", "")
+    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
 
 
 def title_case(c: Column) -> Column:
@@ -86,7 +86,7 @@ def unescape(c: Column) -> Column:
     text = F.when(F.contains(c, F.lit("&#")), numeric).otherwise(c)
     for name, char in ENTITIES.items():
         text = F.replace(text, F.lit(name), F.lit(char))
-    return text
+    return F.when(F.contains(c, F.lit("&")), text).otherwise(c)
 
 
 def plain_text(markup: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from hustings.operators.ordering import positions
 from hustings.operators.skew import lookup, spread_join
+from hustings.session import materialise
 
 SEAT = ["state", "constituency"]
 RANK_KEYS = ["aggregate", "submitted_at", "breadth", "largest_accuracy"]
@@ -89,6 +90,7 @@ def leaderboard(scores: DataFrame) -> DataFrame:
     Entries equal on all four share a rank and are flagged, as the remaining steps need human judgement.  Ranks come
     from the counts of the distinct key combinations, so neither a huge field nor a huge tie meets in one task.
     """
+    scores = materialise(scores)
     combos = scores.groupBy(*RANK_KEYS).agg(F.count(F.lit(1)).alias("_n"))
     order = F.struct(
         (-F.col("aggregate")).alias("a"),
@@ -97,9 +99,9 @@ def leaderboard(scores: DataFrame) -> DataFrame:
         (-F.col("largest_accuracy")).alias("d"),
     )
     ranked = positions(combos.withColumn("_order", order), "_order", F.col("_n")).select(
-        *RANK_KEYS, (F.col("before") + 1).alias("rank"), (F.col("_n") > 1).cast("int").alias("tied")
+        *RANK_KEYS, "_n", (F.col("before") + 1).alias("rank"), (F.col("_n") > 1).cast("int").alias("tied")
     )
-    return spread_join(scores, ranked, RANK_KEYS, ["entry_id"], "inner", counts=combos)
+    return spread_join(scores, ranked, RANK_KEYS, ["entry_id"], "inner")
 
 
 def tier(accuracy: Column) -> Column:

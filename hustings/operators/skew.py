@@ -31,33 +31,40 @@ def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, keys: list[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows and the number of parts each is cut into."""
+    """Keys with more than ``rows_per_task`` rows and the number of parts each is cut into.
+
+    All columns take part in the order, so that counts taken along with other sums stay one aggregate of the input.
+    """
+    rest = [c for c in counts.columns if c != "_n"]
     return (
         counts.where(F.col("_n") > rows_per_task)
-        .orderBy(F.desc("_n"), *keys)
+        .orderBy(F.desc("_n"), *rest)
         .limit(HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("bigint").alias("_parts"))
+        .select(*keys, parts(rows_per_task).alias("_parts"))
     )
 
 
+def parts(rows_per_task: int) -> Column:
+    return F.greatest(F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("bigint"), F.lit(1).cast("bigint"))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     row_id: list[str],
     how: str = "left",
-    counts: DataFrame | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Equi-join ``left`` to a smaller ``right``, cutting hot keys of ``left`` into parts.
 
     ``row_id`` names columns that tell the rows of a key apart; the part is their hash, so a recomputed task puts
     every row where it was before.  Rows of ``right`` are repeated once per part, only for hot keys.  Rows of
-    ``left`` with a null key match nothing and are spread by the same hash.  ``counts`` (keys and ``_n``) saves a
-    pass when the rows per key are already known.
+    ``left`` with a null key match nothing and are spread by the same hash.  A column ``_n`` in ``right``, the number
+    of ``left`` rows of the key, saves the pass that counts them; it is not part of the result.
     """
-    if counts is None:
-        counts = key_counts(left, on)
+    counted = "_n" in right.columns
+    counts = right if counted else key_counts(left, on)
     hot = F.broadcast(hot_keys(counts, on, rows_per_task))
     part = F.xxhash64(*row_id)
     parted_left = (
@@ -70,12 +77,12 @@ def spread_join(
         )
         .drop("_parts")
     )
-    last = F.coalesce(F.col("_parts"), F.lit(1).cast("bigint")) - 1
-    parted_right = (
-        right.join(hot, on, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .drop("_parts")
-    )
+    if counted:
+        sized = right.withColumn("_parts", parts(rows_per_task)).drop("_n")
+    else:
+        sized = right.join(hot, on, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1).cast("bigint")))
+    every_part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))
+    parted_right = sized.withColumn("_part", every_part).drop("_parts")
     return parted_left.join(parted_right, [*on, "_part"], how).drop("_part")
 
 
@@ -85,7 +92,6 @@ def lookup(
     on: list[str],
     row_id: list[str],
     how: str = "left",
-    counts: DataFrame | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Join to a table that is usually small: broadcast when a count proves it, otherwise spread the keys.
@@ -93,5 +99,5 @@ def lookup(
     The count runs at once, so ``right`` should be a table or something cheap.
     """
     if fits_broadcast(right, broadcast_rows):
-        return left.join(F.broadcast(right), on, how)
-    return spread_join(left, right, on, row_id, how, counts)
+        return left.join(F.broadcast(right.drop("_n")), on, how)
+    return spread_join(left, right, on, row_id, how)

@@ -26,9 +26,7 @@ def label_winners(
         .groupBy(*contest)
         .agg(F.max(votes).alias("_top"), F.count(F.lit(1)).alias("_n"))
     )
-    joined = spread_join(
-        df, tops.drop("_n"), contest, row_id, "left", counts=tops.select(*contest, "_n"), rows_per_task=rows_per_task
-    )
+    joined = spread_join(df, tops, contest, row_id, "left", rows_per_task)
     return joined.withColumn(label, (F.col(votes) == F.col("_top")).cast("int")).drop("_top")
 
 

@@ -12,6 +12,7 @@ from hustings.operators.features import RESULT_FEATURES, add_major_flag
 from hustings.operators.models import boosted_trees, cross_validate, fit, fold_accuracy, outcome_label, score, training_rows
 from hustings.operators.ordering import balanced_folds
 from hustings.operators.winners import label_winners, pick_winners
+from hustings.session import materialise
 from hustings.sources.grids import ROW_KEY, SHEET_KEY, result_records
 
 CONTEST = [*SHEET_KEY, "constituency_no"]
@@ -37,7 +38,7 @@ def result_features(labelled: DataFrame, names: list[str] | None = None, any_cas
 
 def training_table(labelled: DataFrame, folds: int = 5) -> DataFrame:
     """Assembled features with ``fold``, written once."""
-    folded = balanced_folds(result_features(labelled), ["win"], ROW_KEY, folds)
+    folded = balanced_folds(result_features(materialise(labelled)), ["win"], ROW_KEY, folds)
     return training_rows(folded, RESULT_FEATURES, "win", ROW_KEY)
 
 
@@ -51,5 +52,5 @@ def outcomes(rows: DataFrame, preset: str = "history", mode: str = "threshold",
     model = fit(rows, boosted_trees(preset, "win", **changes))
     scored = score(model, rows)
     if mode == "argmax":
-        return model, pick_winners(scored, CONTEST, "p_win", ["row_idx"], win="WIN", lose="LOSS")
+        return model, pick_winners(materialise(scored), CONTEST, "p_win", ["row_idx"], win="WIN", lose="LOSS")
     return model, scored.withColumn("outcome", outcome_label())

@@ -11,6 +11,7 @@ from hustings.operators.features import RESULT_FEATURES, add_major_flag
 from hustings.operators.models import assemble, boosted_trees, fit, score, training_rows
 from hustings.operators.winners import pick_winners
 from hustings.plans.history import CODES
+from hustings.session import materialise
 from hustings.sources.grids import (
     ROW_KEY,
     SHEET_KEY,
@@ -40,15 +41,15 @@ def predict_template(
 
     The vocabularies cover both datasets, and state names are brought to the same form first.
     """
-    train = add_major_flag(tidy_keys(labelled, ["state"]))
-    future = add_major_flag(tidy_keys(template, ["state"]))
+    train = materialise(add_major_flag(tidy_keys(labelled, ["state"])))
+    future = materialise(add_major_flag(tidy_keys(template, ["state"])))
     encoder = SafeEncoder(inputCols=list(CODES), outputCols=list(CODES.values()), template=future).fit(train)
     encoder.row_id = ROW_KEY
     rows = training_rows(encoder.transform(train), RESULT_FEATURES, "win", ROW_KEY, partitions)
     model = fit(rows, boosted_trees("template", "win", **changes))
     scored = score(model, assemble(encoder.transform(future), RESULT_FEATURES))
-    picked = pick_winners(scored, [*SHEET_KEY, "constituency"], "p_win", ["row_idx"])
-    return picked.select(*ROW_KEY, "constituency", "state", "party", "p_win", "outcome")
+    scored = materialise(scored.select(*ROW_KEY, "constituency", "state", "party", "p_win"))
+    return pick_winners(scored, [*SHEET_KEY, "constituency"], "p_win", ["row_idx"])
 
 
 def filled_template(grid: DataFrame, predicted: DataFrame) -> DataFrame:

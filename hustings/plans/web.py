@@ -12,6 +12,7 @@ from hustings.operators.models import boosted_trees, cross_validate, fit, fold_a
 from hustings.operators.ordering import balanced_folds
 from hustings.sources.grids import source_state
 from hustings.sources.pages import page_candidates, page_rows
+from hustings.session import materialise
 
 ROW = ["source", "row_idx"]
 CODES = {"party": "party_code", "education": "edu_code", "constituency": "const_code", "state": "state_code"}
@@ -22,12 +23,14 @@ def candidates_from_pages(pages: DataFrame, source: str = "source", html: str =
     return page_candidates(page_rows(pages, source, html)).withColumn("state", source_state(F.col("source")))
 
 
-def web_features(candidates: DataFrame) -> DataFrame:
-    return encode_closed(add_web_flags(clean_candidates(candidates)), CODES, ROW)
+def web_features(cleaned: DataFrame) -> DataFrame:
+    """Flag and codes of candidates already cleaned."""
+    return encode_closed(add_web_flags(cleaned), CODES, ROW)
 
 
 def training_table(candidates: DataFrame, folds: int = 5) -> DataFrame:
-    labelled = proxy_label(web_features(candidates), F.concat_ws("|", *ROW))
+    cleaned = materialise(clean_candidates(candidates))  # pages are parsed once
+    labelled = proxy_label(web_features(cleaned), F.concat_ws("|", *ROW))
     return training_rows(balanced_folds(labelled, ["proxy"], ROW, folds), WEB_FEATURES, "proxy", ROW)
 
 

@@ -150,8 +150,7 @@ def promote(
     )
     for name in required or []:
         usable = usable.where(F.col(f"_at_{name}").isNotNull())
-    counts = usable.select(*SHEET_KEY, "_n")
-    joined = lookup(grid, usable.drop("_n"), SHEET_KEY, ["row_idx"], "inner", counts)
+    joined = lookup(grid, usable, SHEET_KEY, ["row_idx"], "inner")
     below = joined.where(F.col("row_idx") > F.col("header_idx"))
     cells = [F.get("cells", F.col(f"_at_{n}") - 1).alias(n) for n in places]
     return below.select(*ROW_KEY, *(["cells"] if keep_cells else []), *cells)

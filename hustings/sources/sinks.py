@@ -80,8 +80,7 @@ def fill_template(grid: DataFrame, outcomes: DataFrame, title: str = OUTCOME_TIT
     matched by ``row_idx``; short rows are extended with nulls up to the outcome column.
     """
     places = outcome_places(grid, title)
-    counts = places.select(*SHEET_KEY, "_n")
-    joined = lookup(grid, places.drop("_n"), SHEET_KEY, ["row_idx"], "inner", counts).join(
+    joined = lookup(grid, places, SHEET_KEY, ["row_idx"], "inner").join(
         outcomes.select(*ROW_KEY, "outcome"), ROW_KEY, "left"
     )
     at = F.col("outcome_column") - 1
