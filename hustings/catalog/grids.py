@@ -255,18 +255,21 @@ def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line item is a template row; sheets name the outcome in different columns."""
     lines = table(spark, sf_dir, "lineitem")
     row_id = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
-    picked = pick_winners(lines, ["l_returnflag", "l_orderkey"], "l_tax", row_id).select(
-        F.concat(F.lit("book "), "l_returnflag").alias("source"),
-        F.col("l_returnflag").alias("sheet"),
-        (F.abs(F.xxhash64("l_orderkey", *row_id) % F.lit(2**61)) + 1).alias("row_idx"),
-        F.col("l_orderkey").cast("string").alias("a"),
-        F.col("l_partkey").cast("string").alias("b"),
-        F.col("l_suppkey").cast("string").alias("c"),
-        "outcome",
+    places = {
+        "source": F.concat(F.lit("book "), "l_returnflag"),
+        "sheet": F.col("l_returnflag"),
+        "row_idx": F.abs(F.xxhash64("l_orderkey", *row_id) % F.lit(2**61)) + 1,
+    }
+    cells = {"a": F.col("l_orderkey"), "b": F.col("l_partkey"), "c": F.col("l_suppkey")}
+    outcomes = (
+        pick_winners(lines.select("l_returnflag", "l_orderkey", "l_tax", *row_id), ["l_returnflag", "l_orderkey"], "l_tax", row_id)
+        .withColumns(places)
+        .select("source", "sheet", "row_idx", "outcome")
     )
+    rows = lines.select(*[v.alias(k) for k, v in places.items()], *[v.cast("string").alias(k) for k, v in cells.items()])
     short = F.col("sheet") == "R"
     # The sheets with a supplier keep a stale outcome, the others end before the outcome column.
-    body = picked.select(
+    body = rows.select(
         "source", "sheet", "row_idx", F.when(short, F.array("a", "b")).otherwise(F.array("a", "b", "c", F.lit("?"))).alias("cells")
     )
     sheets = lines.select(
@@ -280,5 +283,5 @@ def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(texts("Constituency", "Part", "Supplier", OUTCOME_TITLE))
         .alias("cells"),
     )
-    filled = fill_template(union_sources([body, heads]), picked.select("source", "sheet", "row_idx", "outcome"))
+    filled = fill_template(union_sources([body, heads]), outcomes)
     return filled.select("sheet", F.array_join("cells", "|").alias("line"))

@@ -32,10 +32,18 @@ def moment(text: str) -> Column:
     return F.lit(text).cast("timestamp_ntz")
 
 
-def eligible(registrations: DataFrame) -> DataFrame:
-    """Adults who are neither staff nor contesting an election."""
+def may_take_part() -> Column:
+    """An adult who is neither staff nor contesting an election."""
     no = lambda c: ~F.coalesce(F.col(c), F.lit(False))
-    return registrations.where((F.col("age") >= MIN_AGE) & no("is_staff") & no("is_contesting"))
+    return F.coalesce(F.col("age") >= MIN_AGE, F.lit(False)) & no("is_staff") & no("is_contesting")
+
+
+def eligible(registrations: DataFrame) -> DataFrame:
+    return registrations.where(may_take_part())
+
+
+def ineligible(registrations: DataFrame) -> DataFrame:
+    return registrations.where(~may_take_part())
 
 
 def repeated_registrations(registrations: DataFrame) -> DataFrame:

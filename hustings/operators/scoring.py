@@ -123,6 +123,7 @@ def without_entries(entries: DataFrame, listed: DataFrame) -> DataFrame:
 
 def certificates(board: DataFrame, members: DataFrame) -> DataFrame:
     """One row per team member: own name, team name, the team's accuracy and tier."""
-    return members.join(board.select("entry_id", "aggregate"), "entry_id").select(
+    scored = board.select("entry_id", "aggregate")
+    return spread_join(members, scored, ["entry_id"], ["person_id"], "inner").select(
         "entry_id", "team_name", "person_id", "full_name", "aggregate", tier(F.col("aggregate")).alias("tier")
     )

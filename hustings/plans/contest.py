@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.operators import rules, scoring
+from hustings.operators.skew import spread_join
+from hustings.session import materialise
 
 
 @dataclass
@@ -28,8 +30,9 @@ def admitted_entries(contest: Contest) -> DataFrame:
         contest.members.select("entry_id", "person_id")
     )
     everyone = contest.registrations.select("entry_id").distinct()
-    unfit = contest.registrations.join(rules.eligible(contest.registrations), ["entry_id", "person_id"], "left_anti")
-    repeated = contest.registrations.join(rules.repeated_registrations(contest.registrations), "person_id")
+    unfit = rules.ineligible(contest.registrations)
+    twice = rules.repeated_registrations(contest.registrations).select("person_id")
+    repeated = spread_join(contest.registrations, twice, ["person_id"], ["entry_id"], "left_semi")
     entries = everyone.join(rules.valid_entries(memberships).select("entry_id"), "entry_id", "left_semi")
     for listed in (unfit, repeated, rules.late_changes(contest.members), contest.disqualified):
         entries = scoring.without_entries(entries, listed)
@@ -42,8 +45,9 @@ def ranking(contest: Contest, as_of: Column | None = None, **period: object) ->
     final = rules.last_valid_submissions(contest.submissions, valid, **period).select(
         "submission_id", "entry_id", "submitted_at"
     )
-    final = final.join(admitted_entries(contest), "entry_id", "left_semi")
-    predictions = contest.predictions.join(final.select("submission_id", "entry_id"), "submission_id")
+    final = materialise(final.join(admitted_entries(contest), "entry_id", "left_semi"))
+    submitted = final.select("submission_id", "entry_id")
+    predictions = spread_join(contest.predictions, submitted, ["submission_id"], scoring.SEAT, "inner")
     seats = scoring.counted_seats(contest.official, as_of)
     scores = scoring.entry_scores(scoring.state_accuracy(predictions, seats), seats)
     board = scoring.leaderboard(scores.join(final.select("entry_id", "submitted_at"), "entry_id"))

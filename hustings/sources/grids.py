@@ -87,10 +87,9 @@ def read_delimited(
     )
     # Counting `value` keeps the column in this scan too, so both scans cut the files alike.
     splits = lines.groupBy("_file", "_split").agg(F.count("value").alias("_lines"), F.min("_seq").alias("_first"))
-    starts = splits.withColumn(
-        "_start", F.sum("_lines").over(W.partitionBy("_file").orderBy("_split")) - F.col("_lines")
-    ).drop("_lines")
-    return lines.join(starts, ["_file", "_split"]).select(
+    before = F.sum("_lines").over(W.partitionBy("_file").orderBy("_split")) - F.col("_lines")
+    starts = materialise(splits.withColumn("_start", before).drop("_lines"))
+    return lookup(lines, starts, ["_file", "_split"], ["_seq"], "inner").select(
         "source",
         F.regexp_replace("source", r"\.[^.]*$", "").alias("sheet"),
         (F.col("_start") + F.col("_seq") - F.col("_first")).alias("row_idx"),

@@ -1,0 +1,85 @@
+import zipfile
+
+import pytest
+
+from hustings.plans.history import labelled_results
+from hustings.sources.grids import find_headers, result_records
+from hustings.sources.workbooks import read_workbooks, unpacked_workbooks, unreadable_workbooks
+
+MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+RELS = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+
+
+def letters(n):
+    return letters((n - 1) // 26) + chr(65 + (n - 1) % 26) if n else ""
+
+
+def write_book(path, sheets):
+    """Strings go to the shared table, the first as a rich text, numbers stay in the cell."""
+    shared = []
+    with zipfile.ZipFile(path, "w") as z:
+        for s, rows in enumerate(sheets.values(), 1):
+            lines = []
+            for r, row in enumerate(rows, 1):
+                cells = []
+                for c, v in enumerate(row, 1):
+                    ref = f"{letters(c)}{r}"
+                    if isinstance(v, str):
+                        shared.append(v)
+                        cells.append(f'<c r="{ref}" t="s"><v>{len(shared) - 1}</v></c>')
+                    elif v is True:
+                        cells.append(f'<c r="{ref}" t="b"><v>1</v></c>')
+                    elif v is not None:
+                        cells.append(f'<c r="{ref}" s="1"><v>{v}</v></c>')
+                if cells:
+                    lines.append(f'<row r="{r}" spans="1:3">{"".join(cells)}</row>')
+            z.writestr(f"xl/worksheets/sheet{s}.xml", f'<?xml version="1.0"?><worksheet xmlns="{MAIN}"><sheetData>{"".join(lines)}</sheetData></worksheet>')
+        names = "".join(f'<sheet name="{n}" sheetId="{i}" r:id="rId{i}"/>' for i, n in enumerate(sheets, 1))
+        z.writestr("xl/workbook.xml", f'<workbook xmlns="{MAIN}" xmlns:r="{RELS}"><sheets>{names}</sheets></workbook>')
+        links = "".join(f'<Relationship Id="rId{i}" Type="t" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(sheets) + 1))
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="r">{links}</Relationships>')
+        items = "".join(
+            f"<si><r><t>{t[:1]}</t></r><r><t>{t[1:]}</t></r></si>" if i == 0 else f'<si><t xml:space="preserve">{t}</t></si>'
+            for i, t in enumerate(shared)
+        )
+        z.writestr("xl/sharedStrings.xml", f'<sst xmlns="{MAIN}">{items}</sst>')
+
+
+HEAD = ["STATE/UT NAME", "AC NO.", "AC NAME", "CANDIDATE NAME", "PARTY", "TOTAL"]
+
+
+@pytest.fixture
+def folder(tmp_path):
+    write_book(tmp_path / "kerala.xlsx", {"Results": [["Title"], [], HEAD, ["KERALA", 1, "P", "A &amp; B", "BJP", 10], ["KERALA", 1, "P", " C ", None, 7.5]]})
+    write_book(tmp_path / "two.xlsx", {"One": [["x", None, True]], "Two": [["NA"] + [None] * 26 + ["far"]]})
+    write_book(tmp_path / "Submission Template.xlsx", {"Kerala": [["t"]]})
+    (tmp_path / "~$kerala.xlsx").write_bytes(b"lock")
+    (tmp_path / "broken.xlsx").write_bytes(b"no archive")
+    return str(tmp_path)
+
+
+def test_sheets_become_grids(spark, folder):
+    grid = read_workbooks(spark, folder)
+    rows = {(r.source, r.sheet, r.row_idx): r.cells for r in grid.collect()}
+    assert rows == {
+        ("kerala.xlsx", "Results", 0): ["Title"],
+        ("kerala.xlsx", "Results", 2): HEAD,
+        ("kerala.xlsx", "Results", 3): ["KERALA", "1", "P", "A & B", "BJP", "10"],
+        ("kerala.xlsx", "Results", 4): ["KERALA", "1", "P", " C ", None, "7.5"],
+        ("two.xlsx", "One", 0): ["x", None, "True"],
+        ("two.xlsx", "Two", 0): [None] * 27 + ["far"],
+    }
+
+
+def test_workbooks_to_winners(spark, folder):
+    grid = read_workbooks(spark, folder)
+    assert result_records(grid).count() == 2
+    assert {r.candidate: r.win for r in labelled_results(grid).collect()} == {"A & B": 1, " C ": 0}
+    assert find_headers(grid).count() == 3
+
+
+def test_broken_files_are_reported_and_templates_can_be_read(spark, folder):
+    bad = unreadable_workbooks(unpacked_workbooks(spark, folder)).collect()
+    assert [(r.source, bool(r.reason)) for r in bad] == [("broken.xlsx", True)]
+    template = read_workbooks(spark, folder, glob="*Template*", without_part=None)
+    assert [(r.sheet, r.cells) for r in template.collect()] == [("Kerala", ["t"])]
