@@ -16,6 +16,7 @@ from hustings.session import materialise
 from hustings.sources.grids import union_sources
 
 SMALL = {"maxIter": 3, "maxDepth": 4}
+FITS = 5
 LINE = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 DOC_FEATURES = ["state_code", "party_code", "n_chars", "is_major_party"]
 
@@ -47,7 +48,7 @@ def predict_one_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m8_cv_accuracy")
 def cv_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = document_rows(spark, sf_dir)
-    scored = models.cross_validate(rows, lambda: models.boosted_trees("history", "quality", **SMALL))
+    scored = models.cross_validate(rows, lambda: models.boosted_trees("history", "quality", **SMALL), parallelism=FITS)
     per_fold = models.fold_accuracy(scored, "quality")
     return per_fold.select("n_rows", F.col("fold").cast("string").alias("fold"), "accuracy").unionByName(
         models.mean_accuracy(per_fold).select(
@@ -66,7 +67,8 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("m12_model_comparison")
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = document_rows(spark, sf_dir)
-    return models.compare_models(rows, models.rival_models("quality", maxIter=2, maxDepth=3), "quality", folds=5)
+    rivals = models.rival_models("quality", trees=5, maxIter=2, maxDepth=3)
+    return models.compare_models(rows, rivals, "quality", parallelism=FITS)
 
 
 @query("m13_state_tuning")
@@ -74,13 +76,13 @@ def state_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learning rate and depth tried on one state."""
     rows = document_rows(spark, sf_dir).where(F.col("lang") == "en")
     grid = [{"maxIter": 2, "stepSize": s, "maxDepth": d} for s in (0.05, 0.1) for d in (3,)]
-    return models.tune(rows, grid, "quality")
+    return models.tune(rows, grid, "quality", parallelism=FITS)
 
 
 @query("m14_pr")
 def precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = document_rows(spark, sf_dir)
-    scored = models.cross_validate(rows, lambda: models.boosted_trees("history", "quality", **SMALL))
+    scored = models.cross_validate(rows, lambda: models.boosted_trees("history", "quality", **SMALL), parallelism=FITS)
     return models.precision_recall(scored, ["lang"], "quality")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
@@ -13,6 +14,7 @@ from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.util import inheritable_thread_target
 
 from hustings.session import fresh_path, materialise, shared_folder
 
@@ -63,13 +65,23 @@ def outcome_label(prediction: str = "prediction") -> Column:
     return F.when(F.col(prediction) == 1, F.lit("WIN")).otherwise(F.lit("LOSS"))
 
 
-def cross_validate(rows: DataFrame, make: Callable[[], Estimator], label: str = "label", folds: int = 5) -> DataFrame:
-    """Held-out rows of every fold, scored by a model fitted on the other folds; needs ``fold`` and ``features``."""
-    held_out = []
-    for k in range(folds):
+def cross_validate(
+    rows: DataFrame, make: Callable[[], Estimator], folds: int = 5, parallelism: int = 1
+) -> DataFrame:
+    """Held-out rows of every fold, scored by a model fitted on the other folds; needs ``fold`` and ``features``.
+
+    ``parallelism`` folds are fitted at a time, each keeping its training rows in memory, as in Spark's own
+    cross-validator.
+    """
+
+    def held_out(k: int) -> DataFrame:
         model = fit(rows.where(F.col("fold") != k), make())
-        held_out.append(score(model, rows.where(F.col("fold") == k)))
-    return reduce(lambda a, b: a.unionByName(b), held_out)
+        return score(model, rows.where(F.col("fold") == k))
+
+    shared_folder(rows.sparkSession)
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(inheritable_thread_target(rows.sparkSession)(held_out), range(folds))
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def fold_accuracy(scored: DataFrame, label: str = "label") -> DataFrame:
@@ -97,8 +109,8 @@ def split_counts(model: Model, spark, features: list[str]) -> DataFrame:
     return names.join(splits, "i", "left").select("feature", F.coalesce("n", F.lit(0)).alias("n_splits"))
 
 
-def rival_models(label: str = "label", **tree_changes: object) -> dict[str, Callable[[], Estimator]]:
-    """The compared classifiers; logistic regression sees scaled features."""
+def rival_models(label: str = "label", trees: int = 100, **tree_changes: object) -> dict[str, Callable[[], Estimator]]:
+    """The compared classifiers; logistic regression sees scaled features.  ``trees`` is the size of the forest."""
 
     def logistic() -> Estimator:
         scaler = StandardScaler(inputCol="features", outputCol="scaled")
@@ -106,16 +118,19 @@ def rival_models(label: str = "label", **tree_changes: object) -> dict[str, Call
 
     return {
         "boosted trees": lambda: boosted_trees("history", label, **tree_changes),
-        "random forest": lambda: RandomForestClassifier(labelCol=label, numTrees=20, maxDepth=5, seed=SEED),
+        "random forest": lambda: RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=5, seed=SEED),
         "logistic regression": logistic,
     }
 
 
-def compare_models(rows: DataFrame, rivals: dict[str, Callable[[], Estimator]], label: str, folds: int = 5) -> DataFrame:
+def compare_models(
+    rows: DataFrame, rivals: dict[str, Callable[[], Estimator]], label: str, folds: int = 5, parallelism: int = 1
+) -> DataFrame:
     """Mean held-out accuracy per classifier on the same folds."""
     keep = ["fold", label, "prediction"]
     parts = [
-        cross_validate(rows, make, label, folds).select(F.lit(name).alias("model"), *keep) for name, make in rivals.items()
+        cross_validate(rows, make, folds, parallelism).select(F.lit(name).alias("model"), *keep)
+        for name, make in rivals.items()
     ]
     hit = (F.col(label) == F.col("prediction")).cast("int")
     per_fold = (
@@ -124,13 +139,20 @@ def compare_models(rows: DataFrame, rivals: dict[str, Callable[[], Estimator]],
     return per_fold.groupBy("model").agg(F.avg("accuracy").alias("mean_accuracy"))
 
 
-def tune(rows: DataFrame, grid: list[dict[str, object]], label: str, preset: str = "history", folds: int = 5) -> DataFrame:
+def tune(
+    rows: DataFrame,
+    grid: list[dict[str, object]],
+    label: str,
+    preset: str = "history",
+    folds: int = 5,
+    parallelism: int = 1,
+) -> DataFrame:
     """Mean held-out accuracy per parameter combination; ``rows`` is usually one state."""
     rivals = {
         ", ".join(f"{k}={v}" for k, v in changes.items()): (lambda c=changes: boosted_trees(preset, label, **c))
         for changes in grid
     }
-    return compare_models(rows, rivals, label, folds).withColumnRenamed("model", "settings")
+    return compare_models(rows, rivals, label, folds, parallelism).withColumnRenamed("model", "settings")
 
 
 def precision_recall(scored: DataFrame, by: list[str], label: str = "label", steps: int = 20) -> DataFrame:

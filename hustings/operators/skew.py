@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 10_000
+HOT_KEYS = 100_000
 ROWS_PER_TASK = 2_000_000
 BROADCAST_ROWS = 200_000
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import Model
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from hustings.functions.text import MAJOR_PARTIES_LONG
 from hustings.operators.cleaning import clean_results
@@ -13,7 +13,8 @@ from hustings.operators.models import boosted_trees, cross_validate, fit, fold_a
 from hustings.operators.ordering import balanced_folds
 from hustings.operators.winners import label_winners, pick_winners
 from hustings.session import materialise
-from hustings.sources.grids import ROW_KEY, SHEET_KEY, result_records
+from hustings.sources.grids import ROW_KEY, SHEET_KEY, read_folder, result_records
+from hustings.sources.sinks import write_submission
 
 CONTEST = [*SHEET_KEY, "constituency_no"]
 COLUMNS = [*ROW_KEY, "state", "constituency_no", "constituency", "candidate", "party", "total_votes", "win"]
@@ -42,9 +43,12 @@ def training_table(labelled: DataFrame, folds: int = 5) -> DataFrame:
     return training_rows(folded, RESULT_FEATURES, "win", ROW_KEY)
 
 
-def validate(rows: DataFrame, preset: str = "history", folds: int = 5, **changes: object) -> DataFrame:
+def validate(
+    rows: DataFrame, preset: str = "history", folds: int = 5, parallelism: int = 1, **changes: object
+) -> DataFrame:
     """Accuracy per fold."""
-    return fold_accuracy(cross_validate(rows, lambda: boosted_trees(preset, "win", **changes), "win", folds), "win")
+    scored = cross_validate(rows, lambda: boosted_trees(preset, "win", **changes), folds, parallelism)
+    return fold_accuracy(scored, "win")
 
 
 def outcomes(rows: DataFrame, preset: str = "history", mode: str = "threshold", **changes: object) -> tuple[Model, DataFrame]:
@@ -54,3 +58,12 @@ def outcomes(rows: DataFrame, preset: str = "history", mode: str = "threshold",
     if mode == "argmax":
         return model, pick_winners(materialise(scored), CONTEST, "p_win", ["row_idx"], win="WIN", lose="LOSS")
     return model, scored.withColumn("outcome", outcome_label())
+
+
+def run(spark: SparkSession, folder: str, out: str, kind: str = "xlsx", mode: str = "threshold", **changes: object) -> DataFrame:
+    """Result files to a submission in ``out``; gives the accuracy per fold."""
+    rows = training_table(labelled_results(read_folder(spark, folder, kind)))
+    accuracy = validate(rows, **changes)
+    _, predicted = outcomes(rows, mode=mode, **changes)
+    write_submission(predicted, out)
+    return accuracy

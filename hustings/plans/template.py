@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.operators.cleaning import tidy_keys
@@ -10,9 +10,10 @@ from hustings.operators.encoding import SafeEncoder
 from hustings.operators.features import RESULT_FEATURES, add_major_flag
 from hustings.operators.models import assemble, boosted_trees, fit, score, training_rows
 from hustings.operators.winners import pick_winners
-from hustings.plans.history import CODES
+from hustings.plans.history import CODES, labelled_results
 from hustings.session import materialise
 from hustings.sources.grids import (
+    FALLBACK_HEADER,
     ROW_KEY,
     SHEET_KEY,
     TEMPLATE_COLUMNS,
@@ -20,9 +21,10 @@ from hustings.sources.grids import (
     exact_places,
     find_headers,
     promote,
+    read_folder,
     select_sheets,
 )
-from hustings.sources.sinks import OUTCOME_TITLE, fill_template, outcome_places
+from hustings.sources.sinks import OUTCOME_TITLE, fill_template, outcome_places, write_by_state, write_grid
 
 
 def template_records(grid: DataFrame, sheets: list[str] | None = None) -> DataFrame:
@@ -55,3 +57,20 @@ def predict_template(
 def filled_template(grid: DataFrame, predicted: DataFrame) -> DataFrame:
     """The template grid with the predicted outcomes in its outcome column."""
     return fill_template(grid, predicted.select(*ROW_KEY, "outcome"))
+
+
+def run(
+    spark: SparkSession, folder: str, template: str, out: str, kind: str = "xlsx", sheets: list[str] | None = None, **changes: object
+) -> DataFrame:
+    """Result files and a template file to predictions by state (``out/states``) and the filled template (``out/filled``).
+
+    A file without a header row is read with the usual header position, and only the exact no-candidate text is left out.
+    """
+    labelled = labelled_results(read_folder(spark, folder, kind), broad=False, fallback=FALLBACK_HEADER)
+    grid = select_sheets(
+        read_folder(spark, template, kind, glob="*", without_part=None), TEMPLATE_SHEETS if sheets is None else sheets
+    )
+    predicted = materialise(predict_template(labelled, template_records(grid, sheets), **changes))
+    write_by_state(predicted, f"{out}/states", ["row_idx"], state="sheet")
+    write_grid(filled_template(grid, predicted), f"{out}/filled")
+    return predicted

@@ -10,8 +10,10 @@ from hustings.operators.encoding import encode_closed
 from hustings.operators.features import WEB_FEATURES, add_web_flags, proxy_label
 from hustings.operators.models import boosted_trees, cross_validate, fit, fold_accuracy, outcome_label, score, training_rows
 from hustings.operators.ordering import balanced_folds
+from hustings.operators.winners import pick_winners
 from hustings.sources.grids import source_state
 from hustings.sources.pages import page_candidates, page_rows
+from hustings.sources.sinks import write_submission
 from hustings.session import materialise
 
 ROW = ["source", "row_idx"]
@@ -34,10 +36,23 @@ def training_table(candidates: DataFrame, folds: int = 5) -> DataFrame:
     return training_rows(balanced_folds(labelled, ["proxy"], ROW, folds), WEB_FEATURES, "proxy", ROW)
 
 
-def validate(rows: DataFrame, folds: int = 5, **changes: object) -> DataFrame:
-    return fold_accuracy(cross_validate(rows, lambda: boosted_trees("web", "proxy", **changes), "proxy", folds), "proxy")
+def validate(rows: DataFrame, folds: int = 5, parallelism: int = 1, **changes: object) -> DataFrame:
+    scored = cross_validate(rows, lambda: boosted_trees("web", "proxy", **changes), folds, parallelism)
+    return fold_accuracy(scored, "proxy")
 
 
-def outcomes(rows: DataFrame, **changes: object) -> DataFrame:
+def outcomes(rows: DataFrame, mode: str = "threshold", **changes: object) -> DataFrame:
+    """Rows with ``outcome``: by predicted class, or (``argmax``) one WIN per state and constituency."""
     model = fit(rows, boosted_trees("web", "proxy", **changes))
-    return score(model, rows).withColumn("outcome", outcome_label())
+    scored = score(model, rows)
+    if mode == "argmax":
+        return pick_winners(materialise(scored), ["state", "constituency"], "p_win", ROW, win="WIN", lose="LOSS")
+    return scored.withColumn("outcome", outcome_label())
+
+
+def run(pages: DataFrame, out: str, mode: str = "threshold", **changes: object) -> DataFrame:
+    """Stored pages (``source, html``) to a submission in ``out``; gives the accuracy per fold."""
+    rows = training_table(candidates_from_pages(pages))
+    accuracy = validate(rows, **changes)
+    write_submission(outcomes(rows, mode, **changes), out)
+    return accuracy

@@ -174,11 +174,25 @@ def exact_places(columns: dict[str, list[str]]) -> dict[str, Column]:
 
 
 def result_records(grid: DataFrame, fallback: int | None = None, strict: bool = False) -> DataFrame:
-    """Result sheets as records under their standard names; sheets lacking a constituency name are left out."""
+    """Result sheets as records under their standard names.
+
+    Sheets lacking one of the columns are left out.  With a ``fallback`` header row the constituency name alone is
+    required and other absent columns are null.
+    """
     headers = find_headers(grid, RESULT_MARKER, fallback)
     if strict:
         headers = require_headers(headers)
-    return promote(grid, headers, exact_places(RESULT_COLUMNS), required=["constituency"])
+    required = list(RESULT_COLUMNS) if fallback is None else ["constituency"]
+    return promote(grid, headers, exact_places(RESULT_COLUMNS), required)
+
+
+def read_folder(spark: SparkSession, path: str, kind: str = "xlsx", **files: str | None) -> DataFrame:
+    """A folder of workbooks (``xlsx``) or delimited files (``csv``) as one grid."""
+    if kind == "xlsx":
+        from hustings.sources.workbooks import read_workbooks
+
+        return read_workbooks(spark, path, **files)
+    return read_delimited(spark, path, **files)
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:

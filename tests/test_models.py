@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hustings.operators import models
 from hustings.operators.ordering import balanced_folds
 from hustings.plans import history, template, web
+from test_workbooks import write_book
 
 SMALL = {"maxIter": 3, "maxDepth": 3}
 
@@ -18,7 +19,7 @@ def rows(spark):
     return models.training_rows(balanced_folds(df, ["label"], ["i"]), ["x", "c"], "label", ["i"], partitions=2)
 
 
-def test_presets():
+def test_presets(spark):
     main = models.boosted_trees("history")
     assert (main.getMaxIter(), main.getStepSize(), main.getMaxDepth(), main.getSubsamplingRate(), main.getSeed()) == (200, 0.05, 6, 0.8, 42)
     web_trees, template_trees = models.boosted_trees("web"), models.boosted_trees("template", maxIter=9)
@@ -40,7 +41,7 @@ def test_fit_score_and_split_counts(rows, spark):
 
 
 def test_cross_validation_scores_every_row_once(rows):
-    scored = models.cross_validate(rows, lambda: models.boosted_trees("history", **SMALL))
+    scored = models.cross_validate(rows, lambda: models.boosted_trees("history", **SMALL), parallelism=3)
     assert sorted(r.i for r in scored.select("i").collect()) == list(range(400))
     per_fold = models.fold_accuracy(scored)
     values = {r.fold: (r.n_rows, r.accuracy) for r in per_fold.collect()}
@@ -57,7 +58,7 @@ def test_cross_validation_scores_every_row_once(rows):
 
 
 def test_comparison_and_tuning(rows):
-    compared = models.compare_models(rows, models.rival_models(**SMALL), "label", folds=2)
+    compared = models.compare_models(rows, models.rival_models(trees=4, **SMALL), "label", folds=2)
     assert {r.model for r in compared.collect()} == {"boosted trees", "random forest", "logistic regression"}
     tuned = models.tune(rows.where(F.col("state") == "en"), [{**SMALL, "stepSize": s} for s in (0.05, 0.1)], "label", folds=2)
     assert len(tuned.collect()) == 2 and "settings" in tuned.columns
@@ -115,3 +116,26 @@ def test_web_workflow(spark):
     rows = web.training_table(web.candidates_from_pages(spark.createDataFrame(pages, "source string, html string")))
     assert rows.count() == 160 and web.validate(rows, **SMALL).count() == 5
     assert {r.outcome for r in web.outcomes(rows, **SMALL).collect()} == {"WIN", "LOSS"}
+    single = web.outcomes(rows, mode="argmax", **SMALL).where(F.col("outcome") == "WIN")
+    assert {r["count"] for r in single.groupBy("state", "constituency").count().collect()} == {1} and single.count() == 36
+
+
+def test_runs_from_files_to_files(spark, tmp_path):
+    draw = random.Random(8)
+    head = ["STATE/UT NAME", "AC NO.", "AC NAME", "CANDIDATE NAME", "PARTY", "TOTAL"]
+    body = [["KERALA", ac, f"AC {ac}", f"C{ac}-{p}", p, draw.randrange(1, 900)] for ac in range(1, 21) for p in ("BJP", "INC", "IND")]
+    (tmp_path / "data").mkdir()
+    write_book(tmp_path / "data" / "kerala.xlsx", {"Results": [["Title"], head, *body]})
+    titles = ["Sno", "Constituency", "State/UT", "Party", "Candidate", "Predicted Outcome (W/L/O)"]
+    future = [[i, f"AC {i // 2}", "Kerala", ["BJP", "NEW"][i % 2], f"F{i}", None] for i in range(2, 22)]
+    write_book(tmp_path / "data" / "Submission Template.xlsx", {"Kerala": [titles, *future], "Notes": [["n"]]})
+    accuracy = history.run(spark, str(tmp_path / "data"), str(tmp_path / "submission"), **SMALL)
+    assert accuracy.count() == 5
+    written = spark.read.parquet(str(tmp_path / "submission"))
+    assert written.columns == ["state", "constituency", "candidate", "party", "outcome"] and written.count() == 60
+    template.run(spark, str(tmp_path / "data"), str(tmp_path / "data" / "Submission Template.xlsx"), str(tmp_path / "out"), **SMALL)
+    filled = spark.read.parquet(str(tmp_path / "out" / "filled")).collect()
+    wins = [r.cells[1] for r in filled if r.cells[5] == "W"]
+    assert len(filled) == 21 and sorted(wins) == sorted({r[1] for r in future})
+    states = spark.read.option("header", True).csv(str(tmp_path / "out" / "states"))
+    assert {r.part_state for r in states.select("part_state").distinct().collect()} == {"Kerala"} and states.count() == 20
