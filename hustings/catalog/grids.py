@@ -224,7 +224,7 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "s7_html_table",
-    """with c as (select 's' || cast(c_custkey as varchar) as state, c_name,
+    """with c as (select replace('s' || cast(c_custkey as varchar) || '2021', '2021', '') as state, c_name,
         'AC ' || cast(c_nationkey as varchar) as constituency, c_mktsegment as party,
         cast(cast(floor(abs(c_acctbal)) as bigint) as varchar) as amount
       from customer where c_mktsegment <> 'MACHINERY')

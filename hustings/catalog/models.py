@@ -134,8 +134,8 @@ def template_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "e3_web_outcomes",
-    """select 's' || cast(c_custkey as varchar) as state, 2::bigint as n_rows, true as labelled
-    from customer where c_mktsegment <> 'MACHINERY'""",
+    """select replace('s' || cast(c_custkey as varchar) || '2021', '2021', '') as state, 2 * count(*) as n_rows,
+      true as labelled from customer where c_mktsegment <> 'MACHINERY' group by 1""",
 )
 def web_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole web workflow: every table row of every page gets an outcome."""

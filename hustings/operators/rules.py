@@ -61,7 +61,7 @@ def roster_conflicts(memberships: DataFrame) -> DataFrame:
 
 def conflicted_entries(memberships: DataFrame) -> DataFrame:
     """Entries with a member who is also in another entry; all of them are out."""
-    shared = roster_conflicts(memberships).select("person_id")
+    shared = roster_conflicts(memberships).withColumnRenamed("n_entries", "_n")
     pairs = memberships.select("person_id", "entry_id").distinct()
     return spread_join(pairs, shared, ["person_id"], ["entry_id"], "inner").select("entry_id").distinct()
 
