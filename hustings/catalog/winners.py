@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hustings.catalog import query, table
 from hustings.operators.profiles import wealth_to_margin
 from hustings.operators.skew import spread_join
-from hustings.operators.winners import label_winners, margins, pick_winners
+from hustings.operators.winners import label_winners, margins, pick_winners, turnout
 
 LINE = ["l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice"]
 
@@ -84,3 +84,13 @@ def wealth_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = spread_join(contests.join(orders, "l_orderkey"), profiles, ["c_custkey"], ["l_orderkey"], "inner")
     rated = wealth_to_margin(merged, "c_acctbal")
     return rated.select("l_orderkey", "c_custkey", "margin", "wealth_ratio")
+
+
+@query(
+    "a10_turnout",
+    """select l_returnflag, l_suppkey, sum(l_quantity) as votes_cast, max(l_partkey) as electors,
+      sum(l_quantity) / nullif(max(l_partkey), 0) as turnout from lineitem group by 1, 2""",
+)
+def turnout_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantities are whole numbers, so their sums are exact in any order."""
+    return turnout(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_suppkey"], "l_quantity", "l_partkey")

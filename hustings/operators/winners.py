@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from hustings.functions.numbers import ratio
 from hustings.operators.skew import ROWS_PER_TASK, all_known, spread_join
 
 
+def known_score(score: str) -> Column:
+    return F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+
+
 def label_winners(
     df: DataFrame,
     contest: list[str],
@@ -19,19 +24,14 @@ def label_winners(
 ) -> DataFrame:
     """Add ``label``: 1 for the rows with their contest's top vote (all of them on a tie), 0 else, null without a key.
 
-    The top vote is aggregated before the shuffle and joined back, so a contest of any size is compared in parallel.
+    A missing or NaN vote is never the top.  The top is aggregated before the shuffle and joined back, so a contest of
+    any size is compared in parallel.
     """
-    tops = (
-        df.where(all_known(contest))
-        .groupBy(*contest)
-        .agg(F.max(votes).alias("_top"), F.count(F.lit(1)).alias("_n"))
-    )
+    vote = F.when(known_score(votes), F.col(votes))
+    tops = df.where(all_known(contest)).groupBy(*contest).agg(F.max(vote).alias("_top"), F.count(F.lit(1)).alias("_n"))
     joined = spread_join(df, tops, contest, row_id, "left", rows_per_task)
-    return joined.withColumn(label, (F.col(votes) == F.col("_top")).cast("int")).drop("_top")
-
-
-def known_score(score: str) -> Column:
-    return F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    is_top = F.coalesce(vote == F.col("_top"), F.lit(False)).cast("int")
+    return joined.withColumn(label, F.when(all_known(contest), is_top)).drop("_top")
 
 
 def best_rows(df: DataFrame, contest: list[str], score: str, row_id: list[str], keep: int = 1) -> DataFrame:
@@ -78,3 +78,11 @@ def margins(df: DataFrame, contest: list[str], votes: str, row_id: list[str], ca
         .agg(at(1, votes).alias("winner_votes"), at(2, votes).alias("runner_up_votes"), *named)
         .withColumn("margin", F.col("winner_votes") - F.coalesce("runner_up_votes", F.lit(0)))
     )
+
+
+def turnout(df: DataFrame, contest: list[str], votes: str, electors: str) -> DataFrame:
+    """Per contest: votes cast and their share of the electors, null where the electors are not known or 0."""
+    cast = df.where(all_known(contest)).groupBy(*contest).agg(
+        F.sum(votes).alias("votes_cast"), F.max(electors).alias("electors")
+    )
+    return cast.withColumn("turnout", ratio(F.col("votes_cast"), F.col("electors")))

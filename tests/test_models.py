@@ -139,3 +139,20 @@ def test_runs_from_files_to_files(spark, tmp_path):
     assert len(filled) == 21 and sorted(wins) == sorted({r[1] for r in future})
     states = spark.read.option("header", True).csv(str(tmp_path / "out" / "states"))
     assert {r.part_state for r in states.select("part_state").distinct().collect()} == {"Kerala"} and states.count() == 20
+
+
+def test_command_line(spark, tmp_path, monkeypatch, capsys):
+    import sys
+
+    from hustings.__main__ import main
+
+    page = '<table id="table1"><tr><th>Candidate</th><th>Constituency</th><th>Party</th><th>Assets</th></tr>{}</table>'
+    cells = "<tr><td>c{0}</td><td>AC {1}</td><td>{2}</td><td>Rs {0}</td></tr>"
+    html = page.format("".join(cells.format(i, i % 4, ["BJP", "IND"][i % 2]) for i in range(60)))
+    spark.createDataFrame([("kerala2021", html)], "source string, html string").write.parquet(str(tmp_path / "pages"))
+    monkeypatch.setitem(models.PRESETS, "web", {**models.PRESETS["web"], **SMALL})
+    monkeypatch.setattr(sys, "argv", ["hustings", "--mode", "argmax", "web", str(tmp_path / "pages"), str(tmp_path / "out")])
+    main()
+    assert "accuracy" in capsys.readouterr().out
+    written = spark.read.parquet(str(tmp_path / "out"))
+    assert written.count() == 60 and written.where("outcome = 'WIN'").count() == 4

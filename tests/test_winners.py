@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hustings.operators.profiles import flag_incumbents, merge_profiles, wealth_to_margin
 from hustings.operators.skew import HOT_KEYS, fits_broadcast, hot_keys, key_counts, lookup, spread_join
-from hustings.operators.winners import label_winners, margins, pick_winners
+from hustings.operators.winners import label_winners, margins, pick_winners, turnout
 
 NAN = float("nan")
 
@@ -16,6 +16,16 @@ def test_every_tied_top_wins_and_null_keys_get_no_label(frame):
     assert got == {"a": 1, "b": 1, "c": 0, "d": 1, "e": None}
 
 
+def test_missing_votes_are_never_the_top(frame):
+    df = frame([(1, "a", NAN), (1, "b", 2.0), (1, "c", None), (2, "d", None)], "k int, c string, v double")
+    assert {r.c: r.win for r in label_winners(df, ["k"], "v", ["c"]).collect()} == {"a": 0, "b": 1, "c": 0, "d": 0}
+
+
+def test_turnout(frame):
+    df = frame([(1, 3.0, 10), (1, 4.0, 10), (2, 5.0, 0), (None, 1.0, 5)], "k int, v double, e int")
+    assert {r.k: r.turnout for r in turnout(df, ["k"], "v", "e").collect()} == {1: 0.7, 2: None}
+
+
 def test_a_contest_with_a_third_of_the_rows_gives_the_same_labels_when_cut(frame):
     draw = random.Random(5)
     rows = [(0 if i % 3 == 0 else i % 50 or None, i, float(draw.randrange(40))) for i in range(3000)]
