@@ -90,7 +90,7 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folds within every state (user) and class (event type)."""
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return balanced_folds(events, ["user_id", "event_type"], ["event_id"])
+    return balanced_folds(events, ["user_id", "event_type"], ["event_id"], digits=1)
 
 
 @query("a6_median", "select round(median(l_extendedprice), 6) as median from lineitem")

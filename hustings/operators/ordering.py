@@ -70,12 +70,13 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
 
 
 def balanced_folds(
-    df: DataFrame, strata: list[str], row_id: list[str], folds: int = 5, seed: int = 42, digits: int = 3
+    df: DataFrame, strata: list[str], row_id: list[str], folds: int = 5, seed: int = 42, digits: int = 4
 ) -> DataFrame:
     """Add ``fold`` (0 … folds-1): a seeded shuffle within each stratum, fold sizes differing by at most one.
 
     Rows are ordered by the MD5 of their identity and the seed and dealt out in turn.  The leading ``digits`` hex
-    digits cut every stratum into equal ranges, so a stratum of any size is numbered in parallel.
+    digits cut every stratum into equal ranges, so a stratum of any size is numbered in parallel; many small strata need
+    fewer digits.
     """
     identity = F.concat(F.concat_ws("|", *row_id), F.lit(f":{seed}"))
     hashed = df.withColumn("_hash", F.md5(identity)).withColumn("_range", F.substring("_hash", 1, digits))

@@ -18,8 +18,8 @@ BROADCAST_ROWS = 200_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; looks at no more than that."""
-    return df.limit(rows + 1).count() <= rows
+    """Whether ``df`` has at most ``rows`` rows; counted in parallel, without reading columns where the source allows."""
+    return df.count() <= rows
 
 
 def all_known(columns: list[str]) -> Column:

@@ -56,8 +56,9 @@ def test_winners_do_not_depend_on_the_order_of_rows(frame):
     assert picks[0] == picks[1] and len(picks[0]) == 7
 
 
-def test_contests_are_cut_down_before_the_shuffle(frame):
-    plan = pick_winners(frame([(1, 0.5, 0)], "c int, p double, i int"), ["c"], "p", ["i"])
+def test_contests_are_cut_down_before_the_shuffle(spark):
+    rows = spark.range(1000).selectExpr("id % 7 as c", "cast(id as double) as p", "id as i")
+    plan = pick_winners(rows, ["c"], "p", ["i"])
     assert plan._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") >= 2
 
 
