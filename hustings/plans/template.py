@@ -19,7 +19,6 @@ from hustings.sources.grids import (
     TEMPLATE_COLUMNS,
     TEMPLATE_SHEETS,
     exact_places,
-    find_headers,
     promote,
     read_folder,
     select_sheets,

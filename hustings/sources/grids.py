@@ -127,11 +127,6 @@ def exact_position(names: list[str]) -> Column:
     return F.coalesce(*[F.when(p > 0, p) for p in places])
 
 
-def label_position(label: str, labelled: Column) -> Column:
-    place = F.array_position(labelled, F.lit(label))
-    return F.when(place > 0, place)
-
-
 def promote(
     grid: DataFrame,
     headers: DataFrame,
