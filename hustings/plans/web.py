@@ -12,7 +12,7 @@ from hustings.operators.models import boosted_trees, cross_validate, fit, fold_a
 from hustings.operators.ordering import balanced_folds
 from hustings.operators.winners import pick_winners
 from hustings.sources.grids import source_state
-from hustings.sources.pages import page_candidates, page_rows
+from hustings.sources.pages import page_candidates
 from hustings.sources.sinks import write_submission
 from hustings.session import materialise
 
@@ -22,7 +22,7 @@ CODES = {"party": "party_code", "education": "edu_code", "constituency": "const_
 
 def candidates_from_pages(pages: DataFrame, source: str = "source", html: str = "html") -> DataFrame:
     """Candidate records of all pages with their ``state``."""
-    return page_candidates(page_rows(pages, source, html)).withColumn("state", source_state(F.col("source")))
+    return page_candidates(pages, source, html).withColumn("state", source_state(F.col("source")))
 
 
 def web_features(cleaned: DataFrame) -> DataFrame:

@@ -31,10 +31,9 @@ def open_elements(html: Column, tag: str, ends: list[str]) -> Column:
 
 
 def table_markup(html: Column, table_id: str = TABLE_ID) -> Column:
-    """Inner markup of the table with the given id, null when the page has none."""
+    """Inner markup of the table with the given id, empty when the page has none."""
     pattern = rf"""(?is)<table\b(?=[^>]*\bid\s*=\s*["']?{table_id}["'\s>])[^>]*>(.*?)</table\s*>"""
-    found = F.regexp_extract(html, pattern, 1)
-    return F.when(found != "", found)
+    return F.regexp_extract(html, pattern, 1)
 
 
 def standard_name(title: Column) -> Column:
@@ -45,37 +44,51 @@ def standard_name(title: Column) -> Column:
     return name
 
 
-def page_rows(pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID) -> DataFrame:
-    """Table rows of every page: ``source, row_idx, header, cells``; the first table row is the header row.
-
-    A page without the table gives no rows; rows without cells are dropped.
-    """
-    tables = pages.select(F.col(source).alias("source"), table_markup(F.col(html), table_id).alias("_table")).where(
-        F.col("_table").isNotNull()
+def page_tables(pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID) -> DataFrame:
+    """One row per page: ``source``, the ``header`` titles and the markup of the table's ``rows``."""
+    tables = pages.select(F.col(source).alias("source"), table_markup(F.col(html), table_id).alias("_table"))
+    return tables.select(
+        "source",
+        F.transform(open_elements(F.col("_table"), "th", ["th", "td", "tr", "/tr"]), plain_text).alias("header"),
+        open_elements(F.col("_table"), "tr", ["tr"]).alias("rows"),
     )
-    titles = F.transform(open_elements(F.col("_table"), "th", ["th", "td", "tr", "/tr"]), plain_text)
-    rows = open_elements(F.col("_table"), "tr", ["tr"])
-    exploded = tables.select("source", titles.alias("header"), F.posexplode(rows).alias("row_idx", "_row"))
-    cells = F.transform(open_elements(F.col("_row"), "td", ["td", "th", "tr", "/tr"]), plain_text)
+
+
+def row_cells(tables: DataFrame, keep: list[str]) -> DataFrame:
+    """Rows below the first with their ``row_idx`` and ``cells``; rows without cells are dropped."""
     return (
-        exploded.where(F.col("row_idx") > 0)
-        .withColumn("cells", cells)
-        .where(F.size("cells") > 0)
-        .select("source", F.col("row_idx").cast("bigint").alias("row_idx"), "header", "cells")
+        tables.select(*keep, F.posexplode("rows").alias("row_idx", "_row"))
+        .where((F.col("row_idx") > 0) & F.col("_row").rlike(r"(?i)<td\b[^>]*>"))
+        .select(
+            *keep,
+            F.col("row_idx").cast("bigint").alias("row_idx"),
+            F.transform(open_elements(F.col("_row"), "td", ["td", "th", "tr", "/tr"]), plain_text).alias("cells"),
+        )
     )
 
 
-def page_candidates(rows: DataFrame) -> DataFrame:
-    """Rows under standard column names, the first title that matches a name wins; null where none does."""
-    named = F.transform("header", standard_name)
-    place = {n: F.array_position(named, F.lit(n)) for n in WEB_COLUMNS.values()}
-    cells = [F.when(p > 0, F.get("cells", p.cast("int") - 1)).alias(n) for n, p in place.items()]
-    return rows.select("source", "row_idx", *cells)
+def page_rows(pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID) -> DataFrame:
+    """Table rows of every page: ``source, header, row_idx, cells``; a page without the table gives none."""
+    return row_cells(page_tables(pages, source, html, table_id), ["source", "header"])
+
+
+def page_candidates(
+    pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID
+) -> DataFrame:
+    """Candidate rows under standard column names, the first title that matches a name wins; null where none does.
+
+    Titles are read and matched once per page, before its rows are taken apart.
+    """
+    named = page_tables(pages, source, html, table_id).withColumn("_named", F.transform("header", standard_name))
+    places = [F.array_position("_named", F.lit(n)).cast("int").alias(f"_at_{n}") for n in WEB_COLUMNS.values()]
+    placed = named.select("source", "rows", *places)
+    found = row_cells(placed, ["source", *[f"_at_{n}" for n in WEB_COLUMNS.values()]])
+    return found.select("source", "row_idx", *[F.get("cells", F.col(f"_at_{n}") - 1).alias(n) for n in WEB_COLUMNS.values()])
 
 
 def pages_without_table(
     pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID
 ) -> DataFrame:
     """Pages that give no rows, with the reason."""
-    reason = F.when(table_markup(F.col(html), table_id).isNull(), F.lit("candidate table not found"))
-    return pages.select(F.col(source).alias("source"), reason.alias("reason")).where(F.col("reason").isNotNull())
+    lacking = pages.where(table_markup(F.col(html), table_id) == "")
+    return lacking.select(F.col(source).alias("source"), F.lit("candidate table not found").alias("reason"))
