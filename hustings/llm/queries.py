@@ -8,7 +8,7 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import exact, licenses, mixing
+from hustings.llm import exact, licenses, mixing, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -85,3 +85,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_license_notices")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_notices(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op8_secret_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(table(spark, sf_dir, "documents"))

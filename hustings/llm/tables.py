@@ -38,3 +38,28 @@ def text_of(column: str | Column) -> Column:
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Whether a row is kept out of training: crc32 of its id as text leaves no remainder.  No id counts as empty."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == 0
+
+
+def bytes_of(column):
+    """An Arrow text column as one array of its UTF-8 bytes and the offsets of its rows; null is empty."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = pc.fill_null(column.cast(pa.large_string()), "")
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def slices(lengths, most: int):
+    """Ranges of neighbouring rows of about ``most`` units together; a longer row stands alone."""
+    start, held = 0, 0
+    for i, length in enumerate(lengths):
+        if held and held + length > most:
+            yield start, i
+            start, held = i, 0
+        held += length
+    if start < len(lengths):
+        yield start, len(lengths)
