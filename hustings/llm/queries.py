@@ -8,7 +8,7 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import exact, licenses, mixing, secret_scan
+from hustings.llm import exact, language, licenses, mixing, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -90,3 +90,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secret_scan")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(table(spark, sf_dir, "documents")).drop("rejected")

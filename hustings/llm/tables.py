@@ -55,6 +55,7 @@ def bytes_of(column):
 
 def slices(lengths, most: int):
     """Ranges of neighbouring rows of about ``most`` units together; a longer row stands alone."""
+    lengths = list(lengths)
     start, held = 0, 0
     for i, length in enumerate(lengths):
         if held and held + length > most:
