@@ -8,7 +8,7 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import exact, language, licenses, mixing, secret_scan
+from hustings.llm import exact, language, licenses, mixing, quality, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -95,3 +95,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_language_id")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents")).drop("rejected")
+
+
+@query("op2_quality_scores")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predict_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
