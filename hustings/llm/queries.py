@@ -8,7 +8,7 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import exact, language, licenses, mixing, quality, secret_scan
+from hustings.llm import exact, language, licenses, mixing, quality, secret_scan, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -100,3 +100,21 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quality_scores")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op6_warc_round_trip",
+    """
+    with p as (
+        select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, ''))) as payload_bytes from pages
+    ), g as (
+        select *, min(page_id) over (partition by html) as first from p
+    )
+    select page_id, payload_bytes, sha256(html) as payload_digest,
+           case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
+           case when payload_bytes >= 100 and page_id <> first then first end as refers_to
+    from g
+    """,
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("problem")
