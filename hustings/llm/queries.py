@@ -8,7 +8,7 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import exact, language, licenses, mixing, quality, secret_scan, warc
+from hustings.llm import decontaminate, exact, language, licenses, mixing, quality, secret_scan, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -118,3 +118,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("problem")
+
+
+@query("op7_benchmark_passages")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
