@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 
 from hustings.llm.tables import own_columns, text_of
 
-EDITS, RECALL, AGREEMENT, SAMPLED = 0.15, 0.99, 0.5, 4
+EDITS, RECALL, AGREEMENT, SAMPLED = 0.15, 0.99, 0.45, 3
 LEAST, MANY = 20, 6
 BLOCK = 4 << 20
-PIECE = 1 << 22
+PIECE = 1 << 24
 PAD = 255
 WORDS = re.compile("[⺀-鿿豈-﫿]|[^\\W_⺀-鿿豈-﫿]+")
 
@@ -95,8 +95,9 @@ def build_index(
     most = np.where(lengths >= LEAST, np.floor(edits * lengths), 0).astype(np.int64)
     random = np.random.default_rng(seed)
     rounds, longest = repetitions(recall, agreement, sampled), int(lengths.max(initial=1))
-    turns = random.integers(0, 1 << 32, (rounds, 2 * longest + 1), dtype=np.uint32) | np.uint32(1)
-    steps = np.sort(random.random((rounds, len(items), sampled)), axis=2) * (2 * lengths)[None, :, None]
+    turns = random.integers(0, 1 << 32, (rounds, longest + sampled), dtype=np.uint32) | np.uint32(1)
+    # The walk takes about two steps a character; the first half of a window drifts least.
+    steps = np.sort(random.random((rounds, len(items), sampled)), axis=2) * lengths[None, :, None]
     steps = steps.astype(np.int64) + np.arange(sampled)
     expected = np.zeros((rounds, len(items), sampled), np.uint8)
     text = np.concatenate([codes(s) for s in strings] + [np.full(1, PAD, np.uint8)])
@@ -151,8 +152,9 @@ def edit_distance(pattern: str, mask: dict[str, int], text: str) -> int:
     full, top = (1 << m) - 1, 1 << (m - 1)
     up, down, score = full, 0, m
     least = m
+    get = mask.get
     for c in text:
-        eq = mask.get(c, 0)
+        eq = get(c, 0)
         xv = eq | down
         xh = (((eq & up) + up) ^ up) | eq
         ph = (down | ~(xh | up)) & full
@@ -161,10 +163,11 @@ def edit_distance(pattern: str, mask: dict[str, int], text: str) -> int:
             score += 1
         elif mh & top:
             score -= 1
+            if score < least:
+                least = score
         ph, mh = (ph << 1) & full, (mh << 1) & full
         up = (mh | ~(xv | ph)) & full
         down = ph & xv
-        least = min(least, score)
     return least
 
 
@@ -172,6 +175,8 @@ def supported(starts: list[int], item: int, index: Index) -> list[int]:
     """The starts that another anchor of the item confirms within its edits; all of them where anchors are few."""
     if not index.paired[item]:
         return starts
+    if len(starts) == 1:
+        return []
     starts.sort()
     slack = int(index.most_edits[item])
     near = [b - a <= slack for a, b in zip(starts, starts[1:])]
@@ -180,17 +185,19 @@ def supported(starts: list[int], item: int, index: Index) -> list[int]:
 
 def matches(texts: Iterable[str], index: Index) -> Iterator[tuple[int, int, int]]:
     """``(text number, item number, edits)`` of every item found in every text; memory follows the longest text."""
-    held, size = [], 0
+    held, size, anchors = [], 0, index.anchors
     for row, text in enumerate(texts):
         ws = words(text)
-        hits = [i for i, w in enumerate(ws) if w in index.anchors]
+        hits = [i for i, w in enumerate(ws) if w in anchors]
         if hits:
             string = " ".join(ws)
-            offsets = np.cumsum([0, *[len(w) + 1 for w in ws[: hits[-1]]]])
+            last = hits[-1] + 1
+            sizes = np.fromiter(map(len, ws[:last]), np.int64, last)
+            offsets = (np.cumsum(sizes + 1) - sizes - 1)[hits].tolist()
             starts = defaultdict(list)
-            for i in hits:
-                for item, off in index.anchors[ws[i]]:
-                    starts[item].append(int(offsets[i]) - off)
+            for i, offset in zip(hits, offsets):
+                for item, off in anchors[ws[i]]:
+                    starts[item].append(offset - off)
             windows = {(item, max(start, 0)) for item, found in starts.items() for start in supported(found, item, index)}
             if windows:
                 held.append((row, string, sorted(windows)))
