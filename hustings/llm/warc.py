@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm.tables import own_columns, slices, text_of
+from hustings.llm.tables import own_columns, slices, stored, text_of
 from hustings.operators.skew import spread_join
 from hustings.session import fresh_path
 
@@ -302,11 +302,11 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolved(records_read: DataFrame) -> DataFrame:
-    """One row per record identifier without payloads; revisits get size, digest and page of the response they refer to.
+    """Equal records once, without payloads and written once, so the archive is read once; revisits get size, digest and page of the response they refer to.
 
     A revisit whose response is missing has problem ``refers_to``.
     """
-    small = records_read.drop("payload", "url").dropDuplicates(["record_id", "record_type"])
+    small = stored(records_read.drop("payload", "url").distinct(), "records")
     responses = small.where("record_type = 'response'")
     target = responses.select(
         F.col("record_id").alias("refers_to"), F.col("page_id").alias("to_page"), F.col("payload_bytes").alias("to_bytes"), F.col("payload_digest").alias("to_digest")
