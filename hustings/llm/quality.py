@@ -18,6 +18,7 @@ CLASSES = (b"#$%&*|<>{}[]\\^~=@_+`", b"!?", bytes(range(65, 91)), bytes(range(48
 USUAL = (0.001, 0.0005, 0.02, 0.002, 0.025)
 PRIOR = 40.0
 THRESHOLD = 0.3
+STRIDE = 1 << 20
 
 
 def statistics(batch_text) -> np.ndarray:
@@ -29,12 +30,15 @@ def statistics(batch_text) -> np.ndarray:
     kinds = np.zeros(256, np.uint8)
     for k, members in enumerate(CLASSES, 1):
         kinds[list(members)] = k
-    of = kinds[data]
+    counts = np.zeros((len(CLASSES) + 1, rows), np.int64)
+    # In strides, so memory does not follow the length of the texts.
+    for at in range(0, len(data), STRIDE):
+        of = kinds[data[at : at + STRIDE]]
+        for k in range(1, len(CLASSES) + 1):
+            row = np.searchsorted(offsets, np.flatnonzero(of == k) + at, "right") - 1
+            counts[k] += np.bincount(row, minlength=rows)
     for k, usual in enumerate(USUAL, 1):
-        # Counts per row from the running sum at the row ends.
-        running = np.concatenate([[0], np.cumsum(of == k, dtype=np.int64)])
-        count = running[offsets[1:]] - running[offsets[:-1]]
-        out[:, k - 1] = np.sqrt((count + PRIOR * usual) / (size + PRIOR))
+        out[:, k - 1] = np.sqrt((counts[k] + PRIOR * usual) / (size + PRIOR))
     for i, text in enumerate(batch_text):
         text = text.as_py() or ""
         words = text.split()
