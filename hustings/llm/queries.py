@@ -8,7 +8,7 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import decontaminate, exact, language, licenses, mixing, quality, secret_scan, warc
+from hustings.llm import decontaminate, exact, language, licenses, mixing, near, quality, secret_scan, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -123,3 +123,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_benchmark_passages")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op4_near_duplicates")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), words=4)
