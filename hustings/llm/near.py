@@ -23,7 +23,7 @@ from hustings.operators.skew import spread_join
 WORDS, SIMILARITY = 5, 80
 TREES, PATH, SHALLOW = 24, 5, 4
 DEPTHS = (5, 7, 10, 15, 25, 60, TREES * PATH)
-SMALL = 8
+SMALL, DRAWS = 16, 1
 ROWS = 2048
 SEEDS = np.random.default_rng(11).integers(0, 1 << 63, TREES * PATH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,8 +127,8 @@ def regions_of(rows: DataFrame, name: str) -> DataFrame:
     return stored(spread_join(rows, counts.withColumn("n", F.col("_n")), ["h"], ["doc"], "inner"), name)
 
 
-def forest(signs: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
-    """All regions of at least two documents at the depths looked at, and those among them that are small.
+def forest(signs: DataFrame, small: int = SMALL) -> DataFrame:
+    """All regions of at least two documents at the depths looked at.
 
     ``signs`` has ``doc, size, sign``.  A region with more than ``small`` documents is looked at again deeper; regions that
     are dense at full depth hold equal signatures.
@@ -144,7 +144,7 @@ def forest(signs: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
         deeper = dense.join(signs, "doc").select("doc", "size", "tree", head(F.col("tree"), F.col("sign"), depth).alias("h"))
         level = regions_of(deeper, "regions")
         every = every.unionAll(level)
-    return every, every.where(F.col("n") <= small)
+    return every
 
 
 def alike(n: Column, m: Column, similarity: int) -> Column:
@@ -172,15 +172,34 @@ def star_pairs(every: DataFrame, similarity: int) -> DataFrame:
     ).distinct()
 
 
-def open_pairs(small: DataFrame, labels: DataFrame, similarity: int) -> DataFrame:
-    """Pairs within small regions whose documents are not yet in one component."""
-    marked = small.join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-    member = F.struct("doc", "size", F.coalesce("label", "doc").alias("label"))
-    groups = marked.groupBy("h").agg(F.collect_set(member).alias("m"))
-    rest = F.flatten(
-        F.transform("m", lambda x: F.transform(F.filter("m", lambda y: (x["doc"] < y["doc"]) & (x["label"] != y["label"]) & alike(x["size"], y["size"], similarity)), lambda y: F.struct(x["doc"].alias("a"), y["doc"].alias("b"))))
-    )
-    return groups.select(F.explode(rest).alias("p")).select("p.a", "p.b").distinct()
+def open_pairs(every: DataFrame, labels: DataFrame, similarity: int, small: int = SMALL) -> DataFrame:
+    """Pairs within regions whose documents are not yet in one component.
+
+    In a small region every such pair.  In a dense one in which a component holds a quarter of the members, each other
+    document with a member of that component, drawn by a hash in every tree and depth anew; its own neighbours it
+    meets deeper down.
+    """
+    marked = every.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    member = F.struct("doc", "size", "label")
+
+    def apart(x: Column, y: Column) -> Column:
+        return (x["label"] != y["label"]) & alike(x["size"], y["size"], similarity)
+
+    def partners(x: Column) -> Column:
+        others = F.filter("m", lambda y: (x["doc"] < y["doc"]) & apart(x, y))
+        return F.transform(others, lambda y: F.struct(x["doc"].alias("a"), y["doc"].alias("b")))
+
+    groups = marked.where(F.col("n") <= small).groupBy("h").agg(F.collect_set(member).alias("m"))
+    groups = groups.where(F.size(F.array_distinct("m.label")) > 1)
+    near = groups.select(F.explode(F.flatten(F.transform("m", partners))).alias("p")).select("p.a", "p.b")
+    dense = marked.where(F.col("n") > small)
+    draw = [F.min(F.struct(F.xxhash64("doc", "h", F.lit(i)).alias("turn"), *("doc", "size", "label"))) for i in range(DRAWS)]
+    drawn = dense.groupBy("h", "label").agg(F.array(*draw).alias("m"), F.count(F.lit(1)).alias("held"))
+    top = drawn.groupBy("h").agg(F.max_by("m", F.struct("held", "label")).alias("m"), F.max("held").alias("held"), F.sum("held").alias("_n"))
+    draws = top.where(F.col("held") * 4 >= F.col("_n")).select("h", "m", "_n")
+    met = spread_join(dense, draws, ["h"], ["doc"], "inner").withColumn("x", member)
+    met = met.select("x", F.explode(F.filter("m", lambda y: apart(F.col("x"), y))).alias("y"))
+    return near.unionAll(met.select(*ordered(F.col("x.doc"), F.col("y.doc")))).distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
@@ -214,12 +233,12 @@ def near_duplicates(
         known.join(reps, ["doc_id", "key"], "left_semi").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"), "sign"),
         "signatures",
     )
-    every, small = forest(signs)
+    every = forest(signs)
     wanted = every.select("doc").distinct()
     texts = stored(rows.where("doc_id is not null").join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     stars = stored(star_pairs(every, similarity), "stars")
     links = stored(confirmed(stars, texts, words, similarity), "links")
-    rest = open_pairs(small, components(links), similarity).join(stars, ["a", "b"], "left_anti")
+    rest = open_pairs(every, components(links), similarity).join(stars, ["a", "b"], "left_anti")
     more = stored(confirmed(stored(rest, "pairs"), texts, words, similarity), "links")
     labels = components(links.unionAll(more))
     label = F.coalesce("label", "rep").alias("component_id")
