@@ -8,7 +8,7 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import decontaminate, exact, language, licenses, mixing, near, quality, secret_scan, warc
+from hustings.llm import decontaminate, exact, extract, language, licenses, mixing, near, quality, secret_scan, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,3 +128,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_near_duplicates")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"), words=4)
+
+
+@query("op3_page_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_texts(table(spark, sf_dir, "pages"))
