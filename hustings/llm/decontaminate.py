@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.tables import own_columns, text_of
+from hustings.llm.tables import own_columns, text_of, unused
 
 EDITS, RECALL, AGREEMENT, SAMPLED = 0.15, 0.99, 0.45, 3
 LEAST, MANY = 20, 6
@@ -304,5 +304,6 @@ def finder(shared, item_kind):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents in which a benchmark item was found; rows without an id are searched and kept."""
-    found = find_passages(docs, benchmark, doc_id, text, **options).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col(f"`{doc_id}`") == F.col("_found"), "left_anti")
+    (hit,) = unused(docs, "_found")
+    found = find_passages(docs, benchmark, doc_id, text, **options).select(F.col("doc_id").alias(hit)).distinct()
+    return docs.join(found, F.col(f"`{doc_id}`") == F.col(hit), "left_anti")

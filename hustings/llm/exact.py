@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hustings.llm.tables import own_columns, stored, text_of
+from hustings.llm.tables import own_columns, stored, text_of, unused
 from hustings.operators.skew import spread_join
 
 LEAST, MOST = 256, 4096
@@ -80,7 +80,7 @@ def exact_duplicates(
 
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_duplicates`` does not keep; rows without an id are kept."""
-    lost = exact_duplicates(docs, doc_id, text).where("not kept")
-    lost = lost.select(F.col("doc_id").alias("_lost"), F.col("text_sha256").alias("_sha"))
-    here = (F.col(f"`{doc_id}`") == F.col("_lost")) & (F.sha2(text_of(f"`{text}`"), 256) == F.col("_sha"))
+    gone, sha = unused(docs, "_lost", "_sha")
+    lost = exact_duplicates(docs, doc_id, text).where("not kept").select(F.col("doc_id").alias(gone), F.col("text_sha256").alias(sha))
+    here = (F.col(f"`{doc_id}`") == F.col(gone)) & (F.sha2(text_of(f"`{text}`"), 256) == F.col(sha))
     return docs.join(lost, here, "left_anti")

@@ -7,7 +7,7 @@ from random import Random
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.tables import WORD, own_columns, stored, text_of
+from hustings.llm.tables import WORD, own_columns, stored, text_of, unused
 from hustings.operators.ordering import positions
 from hustings.operators.skew import spread_join
 
@@ -98,18 +98,19 @@ def mix(
 
 
 def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mixture itself: every row of ``docs`` as often as ``mix`` emits it, with ``copy`` counted from 1.
+    """The mixture itself: every row of ``docs`` as often as ``mix`` emits it, with ``copy`` counted from 1 (a column of
+    that name is replaced).
 
-    Rows are matched on id, source and size; a row without an id, or repeating all three, gets the mean of its copies
-    rounded down.
+    Rows are matched on id, source and size; rows that repeat all three get the mean of their copies rounded down.
     """
+    own, of, words_of, copies = unused(docs, "_id", "_source", "_size", "_copies")
     drawn = mix(docs, doc_id, text, source, **options)
-    per = drawn.groupBy("doc_id", "source", "size").agg(F.floor(F.avg("copies")).cast("int").alias("_copies"))
-    per = per.withColumnsRenamed({"doc_id": "_d", "source": "_s", "size": "_z"}).where("_copies > 0")
+    per = drawn.groupBy("doc_id", "source", "size").agg(F.floor(F.avg("copies")).cast("int").alias(copies))
+    per = per.withColumnsRenamed({"doc_id": own, "source": of, "size": words_of}).where(F.col(copies) > 0)
     here = (
-        F.col(f"`{doc_id}`").eqNullSafe(F.col("_d"))
-        & F.col(f"`{source}`").eqNullSafe(F.col("_s"))
-        & (words(text_of(f"`{text}`")) == F.col("_z"))
+        F.col(f"`{doc_id}`").eqNullSafe(F.col(own))
+        & F.col(f"`{source}`").eqNullSafe(F.col(of))
+        & (words(text_of(f"`{text}`")) == F.col(words_of))
     )
-    emitted = docs.join(per, here).drop("_d", "_s", "_z")
-    return emitted.withColumn("copy", F.explode(F.sequence(F.lit(1), "_copies"))).drop("_copies")
+    emitted = docs.join(per, here).drop(own, of, words_of)
+    return emitted.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop(copies)

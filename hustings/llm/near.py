@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.llm.components import components
-from hustings.llm.tables import own_columns, stored
+from hustings.llm.tables import own_columns, stored, unused
 from hustings.operators.skew import spread_join
 
 WORDS, SIMILARITY = 5, 80
@@ -252,5 +252,6 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each component; rows without an id are kept, rows that share one stay together."""
     lost = near_duplicates(docs, doc_id, text, **options).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
-    lost = lost.where("not kept").select(F.col("doc_id").alias("_lost"))
-    return docs.join(lost, F.col(f"`{doc_id}`") == F.col("_lost"), "left_anti")
+    (gone,) = unused(docs, "_lost")
+    lost = lost.where("not kept").select(F.col("doc_id").alias(gone))
+    return docs.join(lost, F.col(f"`{doc_id}`") == F.col(gone), "left_anti")

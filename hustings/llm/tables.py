@@ -29,6 +29,17 @@ def own_columns(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{given}`").alias(own) for own, given in columns.items()])
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as make it new to ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(column: str | Column) -> Column:
     """The text, null as empty."""
     column = F.col(column) if isinstance(column, str) else column
