@@ -24,14 +24,15 @@ PRIZES = {1: 100_000, 2: 10_000, 3: 5_000}
 def counted_seats(official: DataFrame, as_of: Column | None = None) -> DataFrame:
     """Seats that count: ``state, constituency, winner`` where the latest status is declared.
 
-    With ``as_of``, only reports (``reported_at``) up to that moment are looked at, and the last one per seat holds.
+    Where reports are dated (``reported_at``) the last one per seat holds; with ``as_of`` the last up to that moment.
+    Undated results must have one row per seat.
     """
     latest = official
-    if as_of is not None:
+    if as_of is not None or "reported_at" in official.columns:
         newest = W.partitionBy(*SEAT).orderBy(F.desc("reported_at"), "status", "winner")
+        dated = official if as_of is None else official.where(F.col("reported_at") <= as_of)
         latest = (
-            official.where(F.col("reported_at") <= as_of)
-            .withColumn("_age", F.row_number().over(newest))
+            dated.withColumn("_age", F.row_number().over(newest))
             .where(F.col("_age") == 1)
         )
     return latest.where(F.col("status") == COUNTED_STATUS).select(*SEAT, "winner")
@@ -45,14 +46,17 @@ def without_seats(official: DataFrame, excluded: DataFrame) -> DataFrame:
 def state_accuracy(predictions: DataFrame, seats: DataFrame) -> DataFrame:
     """Per entry and state: ``n_seats`` counted, ``n_predicted``, ``n_correct``, ``accuracy`` = correct / counted.
 
-    ``predictions`` has one ``candidate`` per entry and seat.  A seat the entry left out counts as wrong; a state
-    the entry left out has no row (see :func:`entry_scores`), which spares an entry-by-state grid.
+    A seat counts once per entry: naming its winner again adds nothing, naming different candidates is wrong.  A seat
+    the entry left out counts as wrong; a state the entry left out has no row (see :func:`entry_scores`), which spares
+    an entry-by-state grid.
     """
     totals = seats.groupBy("state").agg(F.count(F.lit(1)).alias("n_seats"))
     judged = lookup(predictions, seats, SEAT, ["entry_id"], "inner")
-    per_state = judged.groupBy("entry_id", "state").agg(
-        F.count(F.lit(1)).alias("n_predicted"),
-        F.count_if(F.col("candidate") == F.col("winner")).alias("n_correct"),
+    picks = judged.groupBy("entry_id", *SEAT).agg(
+        F.bool_and(F.col("candidate").eqNullSafe(F.col("winner")) & F.col("winner").isNotNull()).alias("right")
+    )
+    per_state = picks.groupBy("entry_id", "state").agg(
+        F.count(F.lit(1)).alias("n_predicted"), F.count_if("right").alias("n_correct")
     )
     return (
         lookup(per_state, totals, ["state"], ["entry_id"], "inner")
@@ -84,24 +88,32 @@ def entry_scores(per_state: DataFrame, seats: DataFrame, missing_as_zero: bool =
     )
 
 
+def with_absent(scores: DataFrame, entries: DataFrame) -> DataFrame:
+    """A score for every row of ``entries``: those that predicted no counted seat have 0."""
+    joined = entries.join(scores, "entry_id", "left")
+    return joined.fillna(0, ["aggregate", "breadth", "n_states", "largest_accuracy"])
+
+
 def leaderboard(scores: DataFrame) -> DataFrame:
     """Add ``rank`` and ``tied`` by aggregate, then earlier ``submitted_at``, breadth, accuracy in the largest state.
 
     Entries equal on all four share a rank and are flagged, as the remaining steps need human judgement.  Ranks come
     from the counts of the distinct key combinations, so neither a huge field nor a huge tie meets in one task.
+    A missing key ranks first in its step, and two missing ones are equal.
     """
-    scores = materialise(scores)
-    combos = scores.groupBy(*RANK_KEYS).agg(F.count(F.lit(1)).alias("_n"))
     order = F.struct(
         (-F.col("aggregate")).alias("a"),
         F.col("submitted_at").alias("b"),
         (-F.col("breadth")).alias("c"),
         (-F.col("largest_accuracy")).alias("d"),
     )
-    ranked = positions(combos.withColumn("_order", order), "_order", F.col("_n")).select(
-        *RANK_KEYS, "_n", (F.col("before") + 1).alias("rank"), (F.col("_n") > 1).cast("int").alias("tied")
+    # Inside a struct null equals null.
+    scores = materialise(scores.withColumn("_order", order))
+    combos = scores.groupBy("_order").agg(F.count(F.lit(1)).alias("_n"))
+    ranked = positions(combos, "_order", F.col("_n")).select(
+        "_order", "_n", (F.col("before") + 1).alias("rank"), (F.col("_n") > 1).cast("int").alias("tied")
     )
-    return spread_join(scores, ranked, RANK_KEYS, ["entry_id"], "inner")
+    return spread_join(scores, ranked, ["_order"], ["entry_id"], "inner").drop("_order")
 
 
 def tier(accuracy: Column) -> Column:

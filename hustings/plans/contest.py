@@ -50,7 +50,7 @@ def ranking(contest: Contest, as_of: Column | None = None, **period: object) ->
     predictions = spread_join(contest.predictions, submitted, ["submission_id"], scoring.SEAT, "inner")
     seats = scoring.counted_seats(contest.official, as_of)
     scores = scoring.entry_scores(scoring.state_accuracy(predictions, seats), seats)
-    board = scoring.leaderboard(scores.join(final.select("entry_id", "submitted_at"), "entry_id"))
+    board = scoring.leaderboard(scoring.with_absent(scores, final.select("entry_id", "submitted_at")))
     prized = scoring.prizes(board).select("entry_id", "prize")
     return board.join(prized, "entry_id", "left").withColumn("tier", scoring.tier(F.col("aggregate")))
 

@@ -50,11 +50,17 @@ def file_filter(df: DataFrame, without_prefix: str | None = "~$", without_part:
     return df
 
 
+def file_name(source: Column) -> Column:
+    """The last part of a path; a source that is no path stays as it is."""
+    return F.url_decode(F.regexp_replace(F.substring_index(source, "/", -1), r"\+", "%2B"))
+
+
 def split_cells(line: Column, separator: str = ",") -> Column:
     """Cells of one delimited line, quotes honoured."""
     sep = "\\" + separator if separator in "|.^$*+?()[]{}\\" else separator
     quoted = r'"[^"]*+(?:""[^"]*+)*+"'
-    found = F.regexp_extract_all(line, F.lit(f"(?:^|{sep})({quoted}|[^{sep}]*+)"), F.lit(1))
+    # With a separator in front every cell has one, an empty first cell too.
+    found = F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(f"{sep}({quoted}|[^{sep}]*+)"), F.lit(1))
     return F.transform(
         found,
         lambda c: F.when(
@@ -71,27 +77,26 @@ def read_delimited(
     without_prefix: str | None = "~$",
     without_part: str | None = "Template",
 ) -> DataFrame:
-    """Delimited files as a grid, ``row_idx`` being the line number within the file.
+    """Delimited files as a grid, ``row_idx`` being the line number within the file and ``source`` its whole path.
 
-    Files are read in splits, however large.  A line's number is the number of lines in the earlier splits of its
-    file plus its place within its own split; only the per-split counts are joined back.
+    Files are read in splits, however large, in one pass that writes the lines with their split.  A line's number is
+    the number of lines in the earlier splits of its file plus its place within its own split.
     """
-    lines = file_filter(
+    tagged = file_filter(
         spark.read.option("pathGlobFilter", glob).text(path).select("value", "_metadata"), without_prefix, without_part
     ).select(
-        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("_split"),
-        F.col("_metadata.file_name").alias("source"),
         F.monotonically_increasing_id().alias("_seq"),
         "value",
     )
-    # Counting `value` keeps the column in this scan too, so both scans cut the files alike.
-    splits = lines.groupBy("_file", "_split").agg(F.count("value").alias("_lines"), F.min("_seq").alias("_first"))
-    before = F.sum("_lines").over(W.partitionBy("_file").orderBy("_split")) - F.col("_lines")
-    starts = materialise(splits.withColumn("_start", before).drop("_lines"))
-    return lookup(lines, starts, ["_file", "_split"], ["_seq"], "inner").select(
+    lines = materialise(tagged)
+    splits = lines.groupBy("source", "_split").agg(F.count(F.lit(1)).alias("_lines"), F.min("_seq").alias("_first"))
+    before = F.sum("_lines").over(W.partitionBy("source").orderBy("_split")) - F.col("_lines")
+    starts = splits.withColumn("_start", before).drop("_lines")
+    return lookup(lines, starts, ["source", "_split"], ["_seq"], "inner").select(
         "source",
-        F.regexp_replace("source", r"\.[^.]*$", "").alias("sheet"),
+        F.regexp_replace(file_name(F.col("source")), r"\.[^.]*$", "").alias("sheet"),
         (F.col("_start") + F.col("_seq") - F.col("_first")).alias("row_idx"),
         F.transform(split_cells(F.col("value"), separator), missing_to_null).alias("cells"),
     )
@@ -196,5 +201,6 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
 
 
 def source_state(source: Column) -> Column:
-    """State name from a source key: the year goes, the case stays."""
-    return F.regexp_replace(source, "2021", "")
+    """State name from a source key or the path of a file: folders, extension and year go, the case stays."""
+    name = F.when(F.contains(source, F.lit("/")), F.regexp_replace(F.substring_index(source, "/", -1), r"\.[^.]*$", ""))
+    return F.regexp_replace(F.coalesce(name, source), "2021", "")

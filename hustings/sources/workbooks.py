@@ -34,8 +34,8 @@ def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 with zipfile.ZipFile(io.BytesIO(content)) as archive:
                     text = {n: archive.read(n).decode("utf-8") for n in archive.namelist() if n.startswith("xl/") and n.endswith((".xml", ".rels"))}
-            except (zipfile.BadZipFile, UnicodeDecodeError) as error:
-                yield pd.DataFrame([[name, None, None, None, None, None, str(error)]])
+            except Exception as error:  # whatever is wrong with one file is its reason, the others go on
+                yield pd.DataFrame([[name, None, None, None, None, None, f"{type(error).__name__}: {error}"]])
                 continue
             common = [text.get(BOOK), text.get(LINKS), text.get(STRINGS)]
             for part in sorted(n for n in text if n.startswith("xl/worksheets/") and n.endswith(".xml")):
@@ -62,7 +62,7 @@ def unpacked_workbooks(
     without_part: str | None = "Template",
 ) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("content", "_metadata")
-    named = file_filter(files, without_prefix, without_part).select(F.col("_metadata.file_name").alias("source"), "content")
+    named = file_filter(files, without_prefix, without_part).select(F.col("_metadata.file_path").alias("source"), "content")
     return named.mapInPandas(
         unpack, "source string, part string, xml string, book string, links string, strings string, reason string"
     )
@@ -74,7 +74,7 @@ def workbook_grid(unpacked: DataFrame) -> DataFrame:
         "source",
         "part",
         F.from_xml("xml", SHEET_XML, XML_OPTIONS)["sheetData"]["row"].alias("rows"),
-        F.from_xml("strings", STRINGS_XML, XML_OPTIONS)["si"].alias("shared"),
+        F.transform(F.from_xml("strings", STRINGS_XML, XML_OPTIONS)["si"], inner_text).alias("shared"),
         F.from_xml("book", BOOK_XML, XML_OPTIONS)["sheets"]["sheet"].alias("sheets"),
         F.from_xml("links", LINKS_XML, XML_OPTIONS)["Relationship"].alias("links"),
     )
@@ -82,21 +82,24 @@ def workbook_grid(unpacked: DataFrame) -> DataFrame:
     named = parsed.withColumn("link", F.get(own, F.lit(0))["_Id"]).withColumn(
         "sheet", F.get(F.filter("sheets", lambda s: s["_id"] == F.col("link")), F.lit(0))["_name"]
     )
-    rows = named.select("source", "sheet", "shared", F.explode("rows").alias("row"))
 
     def value(cell: Column) -> Column:
         kind = cell["_t"]
-        text = F.get("shared", cell["v"].try_cast("int"))
         return (
-            F.when(kind == "s", inner_text(text))
+            F.when(kind == "s", F.get("shared", cell["v"].try_cast("int")))
             .when(kind == "inlineStr", inner_text(cell["is"]))
             .when(kind == "b", F.when(cell["v"] == "1", F.lit("True")).otherwise(F.lit("False")))
             .when(kind == "e", F.lit(None).cast("string"))
             .otherwise(cell["v"])
         )
 
-    entries = F.transform("row.c", lambda c: F.struct(column_number(c["_r"]).alias("k"), value(c).alias("v")))
-    placed = rows.select("source", "sheet", (F.col("row._r") - 1).cast("bigint").alias("row_idx"), F.map_from_entries(entries).alias("at"))
+    def resolved(row: Column) -> Column:
+        cells = F.transform(row["c"], lambda c: F.struct(column_number(c["_r"]).alias("k"), value(c).alias("v")))
+        return F.struct(row["_r"].alias("r"), cells.alias("c"))
+
+    # Strings are put in before the rows come apart, so no row carries the string table.
+    rows = named.select("source", "sheet", F.explode(F.transform("rows", resolved)).alias("row"))
+    placed = rows.select("source", "sheet", (F.col("row.r") - 1).cast("bigint").alias("row_idx"), F.map_from_entries("row.c").alias("at"))
     width = F.coalesce(F.array_max(F.map_keys("at")), F.lit(0))
     filled = F.transform(
         F.slice(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), 1, width), lambda i: missing_to_null(F.try_element_at("at", i))
@@ -110,5 +113,7 @@ def read_workbooks(spark: SparkSession, path: str, **files: str | None) -> DataF
 
 
 def unreadable_workbooks(unpacked: DataFrame) -> DataFrame:
-    """Files that are no workbooks: ``source, reason``."""
-    return unpacked.where(F.col("reason").isNotNull()).select("source", "reason")
+    """Files that are no workbooks and sheets whose XML cannot be read: ``source, reason``."""
+    sheet = F.from_xml("xml", f"{SHEET_XML}, broken string", {**XML_OPTIONS, "columnNameOfCorruptRecord": "broken"})
+    reason = F.coalesce("reason", F.when(sheet["broken"].isNotNull(), F.concat(F.lit("malformed XML in "), "part")))
+    return unpacked.select("source", reason.alias("reason")).where(F.col("reason").isNotNull())

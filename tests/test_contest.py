@@ -201,3 +201,29 @@ def test_whole_contest(contest):
     assert {r.entry_id: r["rank"] for r in published(contest, board).collect()} == {"good": 2, "team": 3}
     papers = scoring.certificates(board, contest.members).collect()
     assert {(r.full_name, r.team_name, r.aggregate, r.tier) for r in papers} == {("G", "Team", 0.7, "Tier 1"), ("H", "Team", 0.7, "Tier 1")}
+
+
+def test_a_seat_counts_once_and_double_picks_are_wrong(frame):
+    official = seats(frame, {"K": 2})
+    rows = [("same", "K", "K0", "A")] * 3 + [("both", "K", f"K{i}", c) for i in range(2) for c in "AB"]
+    rows += [("none", "K", "K0", None), ("away", "Z", "Z9", "A")]
+    predictions = frame(rows, "entry_id string, state string, constituency string, candidate string")
+    counted = scoring.counted_seats(official)
+    got = {r.entry_id: (r.n_predicted, r.n_correct, r.accuracy) for r in scoring.state_accuracy(predictions, counted).collect()}
+    assert got == {"same": (1, 1, 0.5), "both": (2, 0, 0.0), "none": (1, 0, 0.0)}
+    everyone = frame([(e,) for e in ("same", "both", "none", "away")], "entry_id string")
+    scores = scoring.with_absent(scoring.entry_scores(scoring.state_accuracy(predictions, counted), counted), everyone)
+    assert {r.entry_id: r.aggregate for r in scores.collect()} == {"same": 0.5, "both": 0.0, "none": 0.0, "away": 0.0}
+
+
+def test_missing_rank_keys_lose_nobody(frame):
+    rows = [("a", 0.9, 1, 0, None), ("b", 0.9, 1, 0, None), ("c", 0.8, None, 0, 0.5), ("d", None, 1, None, 0.5)]
+    scores = frame(rows, "entry_id string, aggregate double, submitted_at int, breadth int, largest_accuracy double")
+    board = {r.entry_id: (r["rank"], r.tied) for r in scoring.leaderboard(scores).collect()}
+    assert len(board) == 4 and board["a"] == board["b"] and board["a"][1] == 1
+
+
+def test_a_seat_disputed_after_its_declaration_does_not_count(frame):
+    rows = [("K", "P", "A", "declared", 1), ("K", "P", "A", "disputed", 2), ("K", "Q", "B", "declared", 1)]
+    official = frame(rows, "state string, constituency string, winner string, status string, reported_at int")
+    assert [r.constituency for r in scoring.counted_seats(official).collect()] == ["Q"]

@@ -112,8 +112,8 @@ def test_union_by_name_and_source_state(frame, spark):
     assert sorted((tuple(r) for r in union_sources([one, two]).collect()), key=str) == [(1, "x", None), (None, "y", 2.0)]
     from pyspark.sql import functions as F
 
-    df = frame([("westbengal2021",), ("Puducherry2021",)], "s string").select(source_state(F.col("s")))
-    assert [r[0] for r in df.collect()] == ["westbengal", "Puducherry"]
+    df = frame([("westbengal2021",), ("Puducherry2021",), ("file:/a.b/Goa2021.csv",)], "s string").select(source_state(F.col("s")))
+    assert [r[0] for r in df.collect()] == ["westbengal", "Puducherry", "Goa"]
 
 
 @pytest.fixture
@@ -131,8 +131,8 @@ def files(tmp_path):
 
 def test_delimited_files(spark, files):
     grid = read_delimited(spark, files)
-    assert {r.source for r in grid.select("source").distinct().collect()} == {"kerala.csv", "assam.csv"}
-    rows = grid.where("source = 'kerala.csv'").orderBy("row_idx").collect()
+    assert {r.source.rpartition("/")[2] for r in grid.select("source").distinct().collect()} == {"kerala.csv", "assam.csv"}
+    rows = grid.where("sheet = 'kerala'").orderBy("row_idx").collect()
     assert [r.cells for r in rows] == [
         ["Results", None, None], ["STATE/UT NAME", "AC NO.", 'AC "NAME"'], ["Kerala", "1", "a, b"], ["Kerala", None, None],
     ]
@@ -145,9 +145,40 @@ def test_row_numbers_hold_across_file_splits(spark, files):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
-        grid = read_delimited(spark, files).where("source = 'assam.csv'")
+        grid = read_delimited(spark, files).where("sheet = 'assam'")
         assert grid.rdd.getNumPartitions() > 1
         wrong = grid.where("cells[1] <> cast(row_idx as string) or cells[0] <> concat('r', row_idx)")
         assert wrong.count() == 0 and grid.count() == 20_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_lines_survive_a_change_of_splits(spark, files):
+    """Settings that cut files elsewhere, changed between building and running, change nothing."""
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.minPartitionNum")}
+    grid = read_delimited(spark, files)
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+        spark.conf.set("spark.sql.files.minPartitionNum", "64")
+        assert grid.where("sheet = 'assam'").count() == 20_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value) if value else spark.conf.unset(key)
+
+
+def test_empty_cells_stay_in_their_column(column):
+    from hustings.sources.grids import split_cells
+
+    lines = [",a,b", ",,x", "", "a,", ",", ',"b, c",', '"",x', '"a ""q""",,"z"']
+    want = [["", "a", "b"], ["", "", "x"], [""], ["a", ""], ["", ""], ["", "b, c", ""], ["", "x"], ['a "q"', "", "z"]]
+    assert column(split_cells, lines) == want
+    assert column(lambda c: split_cells(c, "|"), ["|a||b"]) == [["", "a", "", "b"]]
+
+
+def test_files_of_one_name_in_different_folders_are_different_sheets(spark, tmp_path):
+    for state, winner in (("Kerala", "K"), ("Assam", "A")):
+        (tmp_path / state).mkdir()
+        rows = [HEADER, [state, "1", "P", f"{winner} one", "X", "10"], [state, "1", "P", f"{winner} two", "Y", "9"]]
+        (tmp_path / state / "results.csv").write_text("\n".join(",".join(r) for r in rows) + "\n")
+    got = labelled_results(read_delimited(spark, f"{tmp_path}/*"))
+    assert {r.candidate: r.win for r in got.collect()} == {"K one": 1, "K two": 0, "A one": 1, "A two": 0}

@@ -29,6 +29,8 @@ def test_the_folder_comes_from_the_session():
 def test_a_cluster_without_a_folder_is_an_error():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(session("yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session("local-cluster[2,1,1024]"))
 
 
 def test_a_local_session_gets_one_folder():

@@ -60,7 +60,7 @@ def folder(tmp_path):
 
 def test_sheets_become_grids(spark, folder):
     grid = read_workbooks(spark, folder)
-    rows = {(r.source, r.sheet, r.row_idx): r.cells for r in grid.collect()}
+    rows = {(r.source.rpartition("/")[2], r.sheet, r.row_idx): r.cells for r in grid.collect()}
     assert rows == {
         ("kerala.xlsx", "Results", 0): ["Title"],
         ("kerala.xlsx", "Results", 2): HEAD,
@@ -80,6 +80,36 @@ def test_workbooks_to_winners(spark, folder):
 
 def test_broken_files_are_reported_and_templates_can_be_read(spark, folder):
     bad = unreadable_workbooks(unpacked_workbooks(spark, folder)).collect()
-    assert [(r.source, bool(r.reason)) for r in bad] == [("broken.xlsx", True)]
+    assert [(r.source.rpartition("/")[2], bool(r.reason)) for r in bad] == [("broken.xlsx", True)]
     template = read_workbooks(spark, folder, glob="*Template*", without_part=None)
     assert [(r.sheet, r.cells) for r in template.collect()] == [("Kerala", ["t"])]
+
+
+def test_damaged_parts_and_bad_xml_are_reasons_and_other_files_go_on(spark, tmp_path):
+    write_book(tmp_path / "good.xlsx", {"One": [["x"]]})
+    write_book(tmp_path / "damaged.xlsx", {"One": [["abc " * 2000]]})
+    with zipfile.ZipFile(tmp_path / "damaged.xlsx") as old, zipfile.ZipFile(tmp_path / "packed.xlsx", "w", zipfile.ZIP_DEFLATED) as new:
+        for name in old.namelist():
+            new.writestr(name, old.read(name))
+    data = bytearray((tmp_path / "packed.xlsx").read_bytes())
+    at = data.find(b"xl/sharedStrings.xml") + 25
+    data[at : at + 20] = b"\xff" * 20
+    (tmp_path / "damaged.xlsx").write_bytes(bytes(data))
+    (tmp_path / "packed.xlsx").unlink()
+    write_book(tmp_path / "bad.xlsx", {"One": [["y"]]})
+    with zipfile.ZipFile(tmp_path / "bad.xlsx") as old:
+        parts = {n: old.read(n) for n in old.namelist()}
+    parts["xl/worksheets/sheet1.xml"] = b"<worksheet><sheetData><row r='1'><c r='A1'></row>"
+    with zipfile.ZipFile(tmp_path / "bad.xlsx", "w") as new:
+        for name, part in parts.items():
+            new.writestr(name, part)
+    unpacked = unpacked_workbooks(spark, str(tmp_path))
+    bad = {r.source.rpartition("/")[2]: r.reason for r in unreadable_workbooks(unpacked).collect()}
+    assert set(bad) == {"damaged.xlsx", "bad.xlsx"} and "malformed" in bad["bad.xlsx"]
+    assert [(r.source.rpartition("/")[2], r.cells) for r in read_workbooks(spark, str(tmp_path)).collect()] == [("good.xlsx", ["x"])]
+
+
+def test_many_strings_take_time_in_step_with_rows(spark, tmp_path):
+    write_book(tmp_path / "large.xlsx", {"One": [[f"text {i}"] for i in range(40_000)]})
+    got = read_workbooks(spark, str(tmp_path))
+    assert got.count() == 40_000 and got.where("cells[0] <> concat('text ', row_idx)").count() == 0
