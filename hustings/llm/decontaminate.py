@@ -183,6 +183,12 @@ def supported(starts: list[int], item: int, index: Index) -> list[int]:
     return [s for s, before, after in zip(starts, [False, *near], [*near, False]) if before or after]
 
 
+def may_hold(grams: list[str], slack: int, text: str) -> bool:
+    """Whether enough of an item's trigrams are left: an edit destroys at most three of them."""
+    there = {text[i : i + 3] for i in range(len(text) - 2)}
+    return sum(map(there.__contains__, grams)) >= len(grams) - 3 * slack
+
+
 def matches(texts: Iterable[str], index: Index) -> Iterator[tuple[int, int, int]]:
     """``(text number, item number, edits)`` of every item found in every text; memory follows the longest text."""
     held, size, anchors = [], 0, index.anchors
@@ -227,8 +233,11 @@ def confirmed(held: list, index: Index) -> Iterator[tuple[int, int, int]]:
         start = int(starts[w])
         region = held[key[0]][1][max(start - slack, 0) : start + len(pattern) + slack]
         if key[1] not in known:
-            known[key[1]] = masks(pattern)
-        edits = edit_distance(pattern, known[key[1]], region)
+            known[key[1]] = masks(pattern), [pattern[i : i + 3] for i in range(len(pattern) - 2)]
+        mask, grams = known[key[1]]
+        if not may_hold(grams, slack, region):
+            continue
+        edits = edit_distance(pattern, mask, region)
         if edits <= slack:
             best[key] = min(edits, best.get(key, edits))
     for (d, item), edits in best.items():
