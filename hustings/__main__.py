@@ -1,12 +1,21 @@
-"""Run a workflow: ``python -m hustings history DATA OUT`` or ``python -m hustings template DATA TEMPLATE OUT``."""
+"""Run a workflow: ``python -m hustings history DATA OUT``, ``… template DATA TEMPLATE OUT``, ``… web PAGES OUT`` or
+``… contest TABLES OUT`` (a folder with one Parquet table per field of ``plans.contest.Contest``)."""
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from hustings.plans import history, template, web
+from hustings.operators.models import mean_accuracy
+from hustings.plans import contest, history, template, web
+from hustings.sources.pages import pages_without_table
+
+
+def report(folds: DataFrame) -> None:
+    """Accuracy per fold and their mean."""
+    folds.show()
+    mean_accuracy(folds).show()
 
 
 def main() -> None:
@@ -14,18 +23,23 @@ def main() -> None:
     parser.add_argument("--kind", choices=["xlsx", "csv"], default="xlsx", help="kind of result files")
     parser.add_argument("--mode", choices=["threshold", "argmax"], default="threshold", help="how outcomes are set")
     commands = parser.add_subparsers(dest="command", required=True)
-    for name, arguments in {"history": ["data", "out"], "template": ["data", "template", "out"], "web": ["pages", "out"]}.items():
+    for name, arguments in {"history": ["data", "out"], "template": ["data", "template", "out"], "web": ["pages", "out"], "contest": ["tables", "out"]}.items():
         command = commands.add_parser(name)
         for argument in arguments:
             command.add_argument(argument)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("hustings").getOrCreate()
     if args.command == "history":
-        history.run(spark, args.data, args.out, args.kind, args.mode).show()
+        report(history.run(spark, args.data, args.out, args.kind, args.mode))
+        history.left_out(spark, args.data, args.kind).show(truncate=False)
     elif args.command == "template":
         template.run(spark, args.data, args.template, args.out, args.kind)
+    elif args.command == "web":
+        pages = spark.read.parquet(args.pages)
+        report(web.run(pages, args.out, args.mode))
+        pages_without_table(pages).show(truncate=False)
     else:
-        web.run(spark.read.parquet(args.pages), args.out, args.mode).show()
+        contest.run(spark, args.tables, args.out).show()
 
 
 if __name__ == "__main__":

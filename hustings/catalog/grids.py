@@ -214,8 +214,8 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         table_id,
         F.lit(f'">{header}<tr><td>1</td><td><b>\n '), name, F.lit(" &amp; Sons</b><!-- x --></td><td>AC "), nation,
         F.lit("</td><td>"), F.col("c_mktsegment"), F.lit("</td><td>"), F.lit("2"), F.lit("</td><td>Graduate</td><td>Rs&nbsp;"),
-        amount, F.lit(" ~ 1 Lacs+</td></tr><tr></tr><tr><td>2<td>"), F.lit("D&#39;Souza &#x41;</td><td>AC "), nation,
-        F.lit("</td><td>IND</td><td></td><td>n/a</td><td>Nil</td></tr></table></html>"),
+        amount, F.lit(" ~ 1 Lacs+</td></tr><tr></tr><tr><td>2<td title='a>b'>"), F.lit("D&#39;Souza &#x41;</td><td>AC "), nation,
+        F.lit("</td><td>IND<table><tr><td> west</td></tr></table></td><td></td><td>n/a</td><td>Nil</td></tr></table></html>"),
     )
     return table(spark, sf_dir, "customer").select(
         F.concat(F.lit("s"), F.col("c_custkey").cast("string"), F.lit("2021")).alias("source"), html.alias("html")
@@ -231,11 +231,11 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     select state, 1 as row_idx, c_name || ' & Sons' as candidate, constituency, party, '2' as criminal_cases,
       'Graduate' as education, 'Rs' || chr(160) || amount || ' ~ 1 Lacs+' as total_assets from c
     union all
-    select state, 3, 'D''Souza A', constituency, 'IND', '', 'n/a', 'Nil' from c""",
+    select state, 3, 'D''Souza A', constituency, 'IND   west', '', 'n/a', 'Nil' from c""",
 )
 def html_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = candidates_from_pages(customer_pages(spark, sf_dir))
-    return found.drop("source").withColumn("row_idx", F.col("row_idx").cast("int"))
+    return found.drop("source", "page").withColumn("row_idx", F.col("row_idx").cast("int"))
 
 
 @query(

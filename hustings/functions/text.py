@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,8 +22,9 @@ MISSING_TEXTS = [
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Named character references that occur in table cells.
-ENTITIES = {"&nbsp;": "\u00a0", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+# What may stand in a tag up to its end: quoted values may hold the closing sign.
+ATTRIBUTES = r"""(?:"[^"]*+"|'[^']*+'|[^>"']++)*+"""
+REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
 BLANK = r"[\s\x1c-\x1f\x85\p{Z}]"
 
@@ -68,27 +71,25 @@ def word_count(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Character references (named, decimal, hexadecimal) back to characters."""
-    pieces = F.split(c, "&#")
-    digits = r"^([xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
-
-    def decoded(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, digits, 1)
-        is_hex = F.lower(F.substring(ref, 1, 1)) == "x"
-        code = F.when(is_hex, F.conv(F.substr(ref, F.lit(2)), 16, 16)).otherwise(F.conv(ref, 10, 16))
-        char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-        return F.when(ref != "", F.concat(char, F.regexp_replace(piece, digits, ""))).otherwise(
-            F.concat(F.lit("&#"), piece)
-        )
-
-    rest = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
-    numeric = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(rest, decoded), ""))
-    text = F.when(F.contains(c, F.lit("&#")), numeric).otherwise(c)
-    for name, char in ENTITIES.items():
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return F.when(F.contains(c, F.lit("&")), text).otherwise(c)
+    """Character references (named, decimal, hexadecimal) back to characters, in one pass from left to right."""
+    known = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
+    named = F.from_json(F.lit(json.dumps(known)), "map<string,string>")
+
+    def decoded(ref: Column) -> Column:
+        is_hex = F.lower(F.substring(ref, 2, 1)) == "x"
+        code = F.when(is_hex, F.conv(F.substr(ref, F.lit(3)), 16, 16)).otherwise(F.conv(F.substr(ref, F.lit(2)), 10, 16))
+        number = F.conv(code, 16, 10).cast("bigint")
+        valid = (number > 0) & (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        char = F.when(valid, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        text = F.when(F.startswith(ref, F.lit("#")), char).otherwise(F.try_element_at(named, ref))
+        return F.coalesce(text, F.concat(F.lit("&"), ref, F.lit(";")))
+
+    between = F.split(c, REFERENCE, F.lit(-1))
+    refs = F.transform(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(1)), decoded)
+    parts = F.transform(F.arrays_zip(between.alias("a"), refs.alias("b")), lambda p: F.concat(p["a"], F.coalesce(p["b"], F.lit(""))))
+    return F.when(c.rlike(REFERENCE), F.array_join(parts, "")).otherwise(c)
 
 
 def plain_text(markup: Column) -> Column:
     """Text of a piece of markup: comments and tags removed, references decoded, ends stripped."""
-    return strip(unescape(F.regexp_replace(markup, r"(?s)<!--.*?-->|<[^>]*>", "")))
+    return strip(unescape(F.regexp_replace(markup, rf"(?s)<!--.*?-->|<{ATTRIBUTES}>|<[^>]*>", "")))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.operators import rules, scoring
@@ -58,3 +58,16 @@ def ranking(contest: Contest, as_of: Column | None = None, **period: object) ->
 def published(contest: Contest, board: DataFrame) -> DataFrame:
     """The ranking less the entries that do not wish to appear; ranks stay as they are."""
     return scoring.without_entries(board, contest.registrations.where("media_opt_out"))
+
+
+def read_contest(spark: SparkSession, folder: str) -> Contest:
+    """The contest's tables from a folder with one Parquet table per field."""
+    return Contest(**{f.name: spark.read.parquet(f"{folder}/{f.name}") for f in fields(Contest)})
+
+
+def run(spark: SparkSession, folder: str, out: str, as_of: Column | None = None, **period: object) -> DataFrame:
+    """Tables to the published leaderboard in ``out``."""
+    contest = read_contest(spark, folder)
+    board = materialise(published(contest, ranking(contest, as_of, **period)))
+    board.write.parquet(out)
+    return board.orderBy("rank", "entry_id")

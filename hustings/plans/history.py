@@ -13,8 +13,9 @@ from hustings.operators.models import boosted_trees, cross_validate, fit, fold_a
 from hustings.operators.ordering import balanced_folds
 from hustings.operators.winners import label_winners, pick_winners
 from hustings.session import materialise
-from hustings.sources.grids import ROW_KEY, SHEET_KEY, read_folder, result_records
+from hustings.sources.grids import RESULT_COLUMNS, ROW_KEY, SHEET_KEY, exact_places, find_headers, read_folder, rejected, result_records
 from hustings.sources.sinks import write_submission
+from hustings.sources.workbooks import unpacked_workbooks, unreadable_workbooks
 
 CONTEST = [*SHEET_KEY, "constituency_no"]
 COLUMNS = [*ROW_KEY, "state", "constituency_no", "constituency", "candidate", "party", "total_votes", "win"]
@@ -60,6 +61,17 @@ def outcomes(rows: DataFrame, preset: str = "history", mode: str = "threshold",
     return model, scored.withColumn("outcome", outcome_label())
 
 
+def left_out(spark: SparkSession, folder: str, kind: str = "xlsx", fallback: int | None = None) -> DataFrame:
+    """Files and sheets that give no results and why: ``source, sheet, reason``."""
+    headers = find_headers(read_folder(spark, folder, kind), fallback=fallback)
+    required = list(RESULT_COLUMNS) if fallback is None else ["constituency"]
+    reasons = rejected(headers, exact_places(RESULT_COLUMNS), required)
+    if kind == "xlsx":
+        files = unreadable_workbooks(unpacked_workbooks(spark, folder))
+        reasons = reasons.unionByName(files, allowMissingColumns=True)
+    return reasons
+
+
 def run(spark: SparkSession, folder: str, out: str, kind: str = "xlsx", mode: str = "threshold", **changes: object) -> DataFrame:
     """Result files to a submission in ``out``; gives the accuracy per fold."""
     rows = training_table(labelled_results(read_folder(spark, folder, kind)))

@@ -58,10 +58,41 @@ def filled_template(grid: DataFrame, predicted: DataFrame) -> DataFrame:
     return fill_template(grid, predicted.select(*ROW_KEY, "outcome"))
 
 
+def full_rows(filled: DataFrame, places: DataFrame) -> DataFrame:
+    """The filled template below its headers with a text column per header title, ``sheet`` and ``row_idx`` in front.
+
+    ``places`` are the outcome places of the grid.  The titles of all sheets (one header row each) name the columns, in
+    order of appearance; a sheet without a title has null there.  The outcome column is always among them.  Titles that
+    differ in case only share a column, and a title that is one of the working names gets a space in front.
+    """
+    tops = filled.join(
+        places.select(*SHEET_KEY, F.col("outcome_row").alias("row_idx"), "outcome_row", "outcome_column"), ROW_KEY
+    ).select(*SHEET_KEY, "outcome_row", "outcome_column", F.col("cells").alias("header"))
+    tops = materialise(tops)
+    titles = {}
+    for row in tops.orderBy(*SHEET_KEY).collect():  # one row per sheet of the template
+        for title in row["header"]:
+            if title is not None:
+                titles.setdefault(title.lower(), title)
+    titles.setdefault(OUTCOME_TITLE.lower(), OUTCOME_TITLE)
+    below = filled.join(F.broadcast(tops), SHEET_KEY).where(F.col("row_idx") > F.col("outcome_row"))
+    lowered = F.transform("header", F.lower)
+
+    def cell(key: str) -> F.col:
+        place = F.array_position(lowered, F.lit(key)).cast("int")
+        own = F.when(place > 0, F.get("cells", place - 1))
+        return F.coalesce(own, F.get("cells", F.col("outcome_column") - 1)) if key == OUTCOME_TITLE.lower() else own
+
+    working = ("sheet", "row_idx", "part_state")
+    named = [cell(key).alias(f" {title}" if key in working else title) for key, title in titles.items()]
+    return below.select("sheet", "row_idx", *named)
+
+
 def run(
     spark: SparkSession, folder: str, template: str, out: str, kind: str = "xlsx", sheets: list[str] | None = None, **changes: object
 ) -> DataFrame:
-    """Result files and a template file to predictions by state (``out/states``) and the filled template (``out/filled``).
+    """Result files and a template file to the whole template rows by state (``out/states``, the outcome in its column)
+    and the filled template (``out/filled``).
 
     A file without a header row is read with the usual header position, and only the exact no-candidate text is left out.
     """
@@ -69,7 +100,9 @@ def run(
     grid = select_sheets(
         read_folder(spark, template, kind, glob="*", without_part=None), TEMPLATE_SHEETS if sheets is None else sheets
     )
+    grid = materialise(grid)
     predicted = materialise(predict_template(labelled, template_records(grid, sheets), **changes))
-    write_by_state(predicted, f"{out}/states", ["row_idx"], state="sheet")
-    write_grid(filled_template(grid, predicted), f"{out}/filled")
+    filled = materialise(filled_template(grid, predicted))
+    write_by_state(full_rows(filled, outcome_places(grid)), f"{out}/states", ["row_idx"], state="sheet", working=["sheet", "row_idx"])
+    write_grid(filled, f"{out}/filled")
     return predicted

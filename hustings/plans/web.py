@@ -16,7 +16,7 @@ from hustings.sources.pages import page_candidates
 from hustings.sources.sinks import write_submission
 from hustings.session import materialise
 
-ROW = ["source", "row_idx"]
+ROW = ["source", "page", "row_idx"]
 CODES = {"party": "party_code", "education": "edu_code", "constituency": "const_code", "state": "state_code"}
 
 

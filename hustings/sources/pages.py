@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.functions.text import plain_text
+from hustings.functions.text import ATTRIBUTES, plain_text
 
 # What a lower-cased column title must contain to get each standard name, in order of preference.
 WEB_COLUMNS = {
@@ -21,19 +21,46 @@ TABLE_ID = "table1"
 
 def elements(html: Column, tag: str) -> Column:
     """Inner markup of every ``tag`` element that holds no element of the same tag."""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b{ATTRIBUTES}>(.*?)</{tag}\s*>"), F.lit(1))
 
 
 def open_elements(html: Column, tag: str, ends: list[str]) -> Column:
     """Like :func:`elements`, for tags whose end may be left out: an element also ends before any of ``ends``."""
     stop = "|".join([rf"</{tag}\b", *[rf"<{e}\b" for e in ends], r"\z"])
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)(?={stop})"), F.lit(1))
+    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b{ATTRIBUTES}>(.*?)(?={stop})"), F.lit(1))
 
 
 def table_markup(html: Column, table_id: str = TABLE_ID) -> Column:
-    """Inner markup of the table with the given id, empty when the page has none."""
-    pattern = rf"""(?is)<table\b(?=[^>]*\bid\s*=\s*["']?{table_id}["'\s>])[^>]*>(.*?)</table\s*>"""
-    return F.regexp_extract(html, pattern, 1)
+    """Inner markup of the first table with the given id, empty when the page has none.
+
+    Tags are matched by depth, so tables inside its cells do not end it; of those the text stays, as part of the cell.
+    """
+    tag = rf"(?is)<table\b{ATTRIBUTES}>|</table\s*>"
+    name = r"(?<![\w-])id\s*="
+    wanted = rf"""(?is)^<table\b(?:(?!{name})(?:"[^"]*+"|'[^']*+'|[^>"']))*+{name}\s*["']?{table_id}["'\s>]"""
+    pieces = F.split(html, tag, F.lit(-1))
+    pairs = F.arrays_zip(
+        F.regexp_extract_all(html, F.lit(tag), F.lit(0)).alias("tag"),
+        F.slice(pieces, F.lit(2), F.size(pieces) - 1).alias("after"),
+    )
+
+    def step(state: Column, pair: Column) -> Column:
+        opens = ~F.startswith(pair["tag"], F.lit("</"))
+        starts = (state["depth"] == 0) & ~state["done"] & pair["tag"].rlike(wanted)
+        inside = state["depth"] > 0
+        depth = (
+            F.when(starts, F.lit(1))
+            .when(inside & opens, state["depth"] + 1)
+            .when(inside, state["depth"] - 1)
+            .otherwise(F.lit(0))
+        )
+        kept = F.when(depth == 1, pair["after"]).when(depth > 1, F.regexp_replace(pair["after"], f"<{ATTRIBUTES}>", " ")).otherwise("")
+        return F.struct(
+            depth.alias("depth"), (state["done"] | (inside & (depth == 0))).alias("done"), F.concat(state["text"], kept).alias("text")
+        )
+
+    start = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("done"), F.lit("").alias("text"))
+    return F.coalesce(F.aggregate(pairs, start, step, lambda state: state["text"]), F.lit(""))
 
 
 def standard_name(title: Column) -> Column:
@@ -45,10 +72,13 @@ def standard_name(title: Column) -> Column:
 
 
 def page_tables(pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID) -> DataFrame:
-    """One row per page: ``source``, the ``header`` titles and the markup of the table's ``rows``."""
-    tables = pages.select(F.col(source).alias("source"), table_markup(F.col(html), table_id).alias("_table"))
+    """One row per page: ``source``, a ``page`` key, the ``header`` titles and the markup of the table's ``rows``."""
+    tables = pages.select(
+        F.col(source).alias("source"), F.md5(F.col(html)).alias("page"), table_markup(F.col(html), table_id).alias("_table")
+    )
     return tables.select(
         "source",
+        "page",
         F.transform(open_elements(F.col("_table"), "th", ["th", "td", "tr", "/tr"]), plain_text).alias("header"),
         open_elements(F.col("_table"), "tr", ["tr"]).alias("rows"),
     )
@@ -58,7 +88,7 @@ def row_cells(tables: DataFrame, keep: list[str]) -> DataFrame:
     """Rows below the first with their ``row_idx`` and ``cells``; rows without cells are dropped."""
     return (
         tables.select(*keep, F.posexplode("rows").alias("row_idx", "_row"))
-        .where((F.col("row_idx") > 0) & F.col("_row").rlike(r"(?i)<td\b[^>]*>"))
+        .where((F.col("row_idx") > 0) & F.col("_row").rlike(rf"(?i)<td\b{ATTRIBUTES}>"))
         .select(
             *keep,
             F.col("row_idx").cast("bigint").alias("row_idx"),
@@ -69,7 +99,7 @@ def row_cells(tables: DataFrame, keep: list[str]) -> DataFrame:
 
 def page_rows(pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID) -> DataFrame:
     """Table rows of every page: ``source, header, row_idx, cells``; a page without the table gives none."""
-    return row_cells(page_tables(pages, source, html, table_id), ["source", "header"])
+    return row_cells(page_tables(pages, source, html, table_id), ["source", "page", "header"])
 
 
 def page_candidates(
@@ -81,9 +111,9 @@ def page_candidates(
     """
     named = page_tables(pages, source, html, table_id).withColumn("_named", F.transform("header", standard_name))
     places = [F.array_position("_named", F.lit(n)).cast("int").alias(f"_at_{n}") for n in WEB_COLUMNS.values()]
-    placed = named.select("source", "rows", *places)
-    found = row_cells(placed, ["source", *[f"_at_{n}" for n in WEB_COLUMNS.values()]])
-    return found.select("source", "row_idx", *[F.get("cells", F.col(f"_at_{n}") - 1).alias(n) for n in WEB_COLUMNS.values()])
+    placed = named.select("source", "page", "rows", *places)
+    found = row_cells(placed, ["source", "page", *[f"_at_{n}" for n in WEB_COLUMNS.values()]])
+    return found.select("source", "page", "row_idx", *[F.get("cells", F.col(f"_at_{n}") - 1).alias(n) for n in WEB_COLUMNS.values()])
 
 
 def pages_without_table(

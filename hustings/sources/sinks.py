@@ -33,15 +33,19 @@ def write_by_state(
     fmt: str = "csv",
     mode: str = "errorifexists",
     rows_per_file: int = 5_000_000,
+    working: list[str] | None = None,
 ) -> None:
     """One folder per state (``part_state=…``), rows in ``order``; the state stays a column of the files.
 
+    Columns in ``working`` serve the order only and are not written.
+
     Rows are ranged by state and order, so a large state is written by several tasks and a small one by one.
     """
     (
         df.withColumn("part_state", F.col(state))
         .repartitionByRange("part_state", *order)
         .sortWithinPartitions("part_state", *order)
+        .drop(*working or [])
         .write.mode(mode)
         .partitionBy("part_state")
         .option("header", True)

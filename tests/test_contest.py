@@ -203,6 +203,18 @@ def test_whole_contest(contest):
     assert {(r.full_name, r.team_name, r.aggregate, r.tier) for r in papers} == {("G", "Team", 0.7, "Tier 1"), ("H", "Team", 0.7, "Tier 1")}
 
 
+def test_contest_from_tables_to_a_published_board(contest, spark, tmp_path):
+    from dataclasses import fields
+
+    from hustings.plans.contest import run
+
+    for f in fields(contest):
+        getattr(contest, f.name).write.parquet(f"{tmp_path}/{f.name}")
+    board = run(spark, str(tmp_path), f"{tmp_path}/out").collect()
+    assert [(r["rank"], r.entry_id) for r in board] == [(2, "good"), (3, "team")]
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
+
+
 def test_a_seat_counts_once_and_double_picks_are_wrong(frame):
     official = seats(frame, {"K": 2})
     rows = [("same", "K", "K0", "A")] * 3 + [("both", "K", f"K{i}", c) for i in range(2) for c in "AB"]

@@ -139,6 +139,12 @@ def test_runs_from_files_to_files(spark, tmp_path):
     assert len(filled) == 21 and sorted(wins) == sorted({r[1] for r in future})
     states = spark.read.option("header", True).csv(str(tmp_path / "out" / "states"))
     assert {r.part_state for r in states.select("part_state").distinct().collect()} == {"Kerala"} and states.count() == 20
+    assert states.columns == [*titles, "part_state"]
+    assert {r.Candidate for r in states.collect()} == {f[4] for f in future}
+    best = [r for r in states.collect() if r[titles[5]] == "W"]
+    assert len(best) == len({r.Constituency for r in best}) == len({f[1] for f in future})
+    reasons = history.left_out(spark, str(tmp_path / "data")).collect()
+    assert [r.reason for r in reasons] == []
 
 
 def test_command_line(spark, tmp_path, monkeypatch, capsys):

@@ -49,3 +49,18 @@ def test_incomplete_rows_go_before_numbers_are_read(frame):
     df = frame([("a", "p", "x"), ("b", "p", None), (None, "p", "1")], "candidate string, constituency string, total_votes_raw string")
     assert [r.candidate for r in drop_incomplete(df, df.columns).collect()] == ["a"]
     assert drop_incomplete(df, ["candidate"]).where(F.col("total_votes_raw").isNull()).count() == 1
+
+
+def test_tables_inside_cells_and_signs_inside_attributes(frame):
+    html = """<table class="a>b" id="table1"><tr><th>Candidate</th><th>Party</th></tr>
+    <tr><td title="x>y">A<table id=inner><tr><td> (old)</td></tr></table></td><td>P</td></tr>
+    <tr><td>B &rsquo;99 &amp;lt; &#38;gt;</td><td>Q</td></tr></table><table><tr><td>after</td></tr></table>"""
+    got = page_rows(frame([("s", html)], "source string, html string")).orderBy("row_idx").collect()
+    assert [[" ".join(c.split()) for c in r.cells] for r in got] == [["A (old)", "P"], ["B \u201999 &lt; &gt;", "Q"]]
+    assert got[0].header == ["Candidate", "Party"]
+
+
+def test_pages_of_one_source_keep_their_rows_apart(frame):
+    pages = frame([("s", PAGE), ("s", PAGE.replace("A &amp; B", "E"))], "source string, html string")
+    found = candidates_from_pages(pages).collect()
+    assert len({(r.source, r.page, r.row_idx) for r in found}) == len(found) == 4
