@@ -1,7 +1,8 @@
 """Registrations, submissions, scoring and ranking.
 
 Entries are line number and status of the line items, seats are parts, states are part types.  An entry predicts ``A``
-for a seat when its largest quantity there is at least 13.
+for a seat when its largest quantity there is at least 13; entries 1 and 2 always do, and entry 2 says everything twice.
+Entry 5 names both candidates for every tenth seat, ``twin`` repeats entry 2O, and ``idle`` predicts no seat that counts.
 """
 
 from __future__ import annotations
@@ -19,12 +20,22 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     per_seat = lines.groupBy("entry_id", "l_partkey").agg(F.max("l_quantity").alias("q"))
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("state"))
-    return per_seat.join(parts, "l_partkey").select(
+    always = F.col("entry_id").substr(1, 1).isin("1", "2")
+    picks = per_seat.join(parts, "l_partkey").select(
         "entry_id",
         "state",
         F.col("l_partkey").alias("constituency"),
-        F.when(F.col("q") >= 13, "A").otherwise("B").alias("candidate"),
+        F.when(always | (F.col("q") >= 13), "A").otherwise("B").alias("candidate"),
     )
+    first = F.col("entry_id").substr(1, 1)
+    other = F.when(F.col("candidate") == "A", "B").otherwise("A")
+    both = picks.where((first == "5") & (F.col("constituency") % 10 == 0)).withColumn("candidate", other)
+    twin = picks.where(F.col("entry_id") == "2O").withColumn("entry_id", F.lit("twin"))
+    uncounted = table(spark, sf_dir, "part").where(F.col("p_brand") == "Brand#1")
+    idle = uncounted.select(F.lit("idle").alias("entry_id"), F.col("p_type").alias("state"), F.col("p_partkey").alias("constituency"), F.lit("A").alias("candidate"))
+    for more in (picks.where(first == "2"), both, twin, idle):
+        picks = picks.unionByName(more)
+    return picks
 
 
 def official(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,30 +60,39 @@ def board(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("entry_id")
         .agg(F.min("l_shipdate").alias("submitted_at"))
     )
+    twin = times.where(F.col("entry_id") == "2O").withColumn("entry_id", F.lit("twin"))
+    idle = times.groupBy(F.lit("idle").alias("entry_id")).agg(F.min("submitted_at").alias("submitted_at"))
+    entries = times.unionByName(twin).unionByName(idle)
     ranked_out = times.where(F.col("entry_id") == "1F")
-    return scoring.leaderboard(scoring.without_entries(scores.join(times, "entry_id"), ranked_out))
+    return scoring.leaderboard(scoring.without_entries(scoring.with_absent(scores, entries), ranked_out))
 
 
 _STATES = """
   seats as (select p_type as state, p_partkey as constituency, case when p_size <= 45 then 'A' else 'B' end as winner
     from part where p_brand not in ('Brand#1', 'Brand#2', 'Brand#3')),
   totals as (select state, count(*) as n_seats from seats group by 1),
-  picks as (select cast(l_linenumber as varchar) || l_linestatus as entry_id, l_partkey as constituency,
-    case when max(l_quantity) >= 13 then 'A' else 'B' end as candidate from lineitem group by 1, 2),
+  own as (select cast(l_linenumber as varchar) || l_linestatus as entry_id, l_partkey as constituency,
+    case when max(l_quantity) >= 13 or l_linenumber <= 2 then 'A' else 'B' end as candidate,
+    l_linenumber = 5 and l_partkey % 10 = 0 as twice from lineitem group by l_linenumber, l_linestatus, l_partkey),
+  picks as (select * from own union all select 'twin', constituency, candidate, twice from own where entry_id = '2O'),
   per_state as (select entry_id, state, any_value(n_seats) as n_seats, count(*) as n_predicted,
-      cast(sum(cast(candidate = winner as int)) as bigint) as n_correct,
-      sum(cast(candidate = winner as int))::double / any_value(n_seats) as accuracy
+      count(*) filter (candidate = winner and not twice) as n_correct,
+      count(*) filter (candidate = winner and not twice)::double / any_value(n_seats) as accuracy
     from picks join seats using (constituency) join totals using (state) group by entry_id, state)"""
 _BOARD = f"""with {_STATES},
   big as (select *, row_number() over (partition by entry_id order by n_seats desc, state desc) as rn from per_state),
   scored as (select entry_id, round(sum(accuracy) / (select count(*) from totals), 9) as aggregate,
       count(*) filter (accuracy >= 0.75) as breadth, round(max(case when rn = 1 then accuracy end), 9) as largest_accuracy
     from big group by 1),
-  times as (select cast(l_linenumber as varchar) || l_linestatus as entry_id, min(l_shipdate) as submitted_at
+  lines as (select cast(l_linenumber as varchar) || l_linestatus as entry_id, min(l_shipdate) as submitted_at
     from lineitem group by 1),
+  times as (select * from lines union all select 'twin', submitted_at from lines where entry_id = '2O'
+    union all select 'idle', min(submitted_at) from lines),
+  scores as (select entry_id, submitted_at, coalesce(aggregate, 0) as aggregate, coalesce(breadth, 0) as breadth,
+      coalesce(largest_accuracy, 0) as largest_accuracy from times left join scored using (entry_id)),
   board as (select *, rank() over w as rank, cast(count(*) over (
       partition by aggregate, submitted_at, breadth, largest_accuracy) > 1 as int) as tied
-    from scored join times using (entry_id) where entry_id <> '1F'
+    from scores where entry_id <> '1F'
     window w as (order by aggregate desc, submitted_at, breadth desc, largest_accuracy desc))"""
 
 

@@ -9,7 +9,7 @@ from hustings.catalog import query, table
 from hustings.operators.winners import pick_winners
 from hustings.plans.history import labelled_results
 from hustings.plans.web import candidates_from_pages
-from hustings.functions.text import plain_text
+from hustings.functions.text import missing_to_null, plain_text
 from hustings.sources.grids import (
     GRID,
     RESULT_COLUMNS,
@@ -21,6 +21,7 @@ from hustings.sources.grids import (
     result_records,
     select_sheets,
     source_state,
+    split_cells,
     union_sources,
 )
 from hustings.sources.pages import elements
@@ -127,6 +128,27 @@ def _labelled_sql(names: str) -> str:
     select *, cast(total_votes = max(total_votes) over (partition by source, constituency_no) as int) as win from kept"""
 
 
+@query(
+    "s2_delimited_grid",
+    """select o_orderkey, case when o_orderkey % 3 > 0 then cast(o_orderkey as varchar) end as a,
+      case when o_custkey % 4 > 0 then cast(o_custkey as varchar) end as b, o_orderpriority || ', "x"' as c,
+      case when o_orderkey % 2 = 0 then 'end' end as d, 4 as n from orders""",
+)
+def delimited_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with empty cells at every place and quoted ones, cut into cells."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    line = F.concat_ws(
+        ",",
+        F.when(key % 3 > 0, key.cast("string")).otherwise(""),
+        F.when(customer % 4 > 0, customer.cast("string")).otherwise(""),
+        F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""x"""')),
+        F.when(key % 2 == 0, "end").otherwise(""),
+    )
+    cells = table(spark, sf_dir, "orders").select("o_orderkey", F.transform(split_cells(line), missing_to_null).alias("cells"))
+    named = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate("abcd")]
+    return cells.select("o_orderkey", *named, F.size("cells").alias("n"))
+
+
 @query("e1_labelled_results", _labelled_sql("upper(candidate) not in ('NOTA', 'NONE OF THE ABOVE')"))
 def labelled_broad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled_results(order_grid(spark, sf_dir)).drop("sheet")

@@ -18,11 +18,12 @@ from pyspark.util import inheritable_thread_target
 
 from hustings.session import fresh_path, materialise, shared_folder
 
-# The three published parameter sets.
+# The three published parameter sets.  ``maxBins`` is ours: codes of hundreds of constituencies need
+# more thresholds than the library's 32.
 PRESETS: dict[str, dict[str, object]] = {
-    "history": {"maxIter": 200, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
-    "web": {"maxIter": 150, "stepSize": 0.08, "maxDepth": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
-    "template": {"maxIter": 150, "stepSize": 0.08, "maxDepth": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "all"},
+    "history": {"maxBins": 256, "maxIter": 200, "stepSize": 0.05, "maxDepth": 6, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
+    "web": {"maxBins": 256, "maxIter": 150, "stepSize": 0.08, "maxDepth": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8"},
+    "template": {"maxBins": 256, "maxIter": 150, "stepSize": 0.08, "maxDepth": 5, "subsamplingRate": 0.8, "featureSubsetStrategy": "all"},
 }
 SEED = 42
 
@@ -109,12 +110,15 @@ def split_counts(model: Model, spark, features: list[str]) -> DataFrame:
     return names.join(splits, "i", "left").select("feature", F.coalesce("n", F.lit(0)).alias("n_splits"))
 
 
-def rival_models(label: str = "label", trees: int = 100, **tree_changes: object) -> dict[str, Callable[[], Estimator]]:
-    """The compared classifiers; logistic regression sees scaled features.  ``trees`` is the size of the forest."""
+def rival_models(
+    label: str = "label", trees: int = 100, logistic_steps: int = 100, **tree_changes: object
+) -> dict[str, Callable[[], Estimator]]:
+    """The compared classifiers; logistic regression sees scaled features.  ``trees`` is the size of the forest,
+    ``logistic_steps`` the most iterations of the regression."""
 
     def logistic() -> Estimator:
         scaler = StandardScaler(inputCol="features", outputCol="scaled")
-        return Pipeline(stages=[scaler, LogisticRegression(featuresCol="scaled", labelCol=label, maxIter=20)])
+        return Pipeline(stages=[scaler, LogisticRegression(featuresCol="scaled", labelCol=label, maxIter=logistic_steps)])
 
     return {
         "boosted trees": lambda: boosted_trees("history", label, **tree_changes),
