@@ -10,6 +10,7 @@ from hustings.operators.winners import pick_winners
 from hustings.plans.history import labelled_results
 from hustings.plans.web import candidates_from_pages
 from hustings.functions.text import missing_to_null, plain_text
+from hustings.session import materialise
 from hustings.sources.grids import (
     GRID,
     RESULT_COLUMNS,
@@ -305,5 +306,5 @@ def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(texts("Constituency", "Part", "Supplier", OUTCOME_TITLE))
         .alias("cells"),
     )
-    filled = fill_template(union_sources([body, heads]), outcomes)
+    filled = fill_template(materialise(union_sources([body, heads])), outcomes)
     return filled.select("sheet", F.array_join("cells", "|").alias("line"))

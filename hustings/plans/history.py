@@ -27,9 +27,10 @@ def labelled_results(
 ) -> DataFrame:
     """Who won each constituency: cleaned result rows with ``win``.
 
-    Constituency numbers repeat between states, so the contest is a sheet and a number.
+    Constituency numbers repeat between states, so the contest is a sheet and a number.  The grid is written once, so its
+    sources are opened once; counts, headers and records are taken from that table.
     """
-    records = clean_results(result_records(grid, fallback, strict), broad)
+    records = clean_results(result_records(materialise(grid), fallback, strict), broad)
     return label_winners(records, CONTEST, "total_votes", ["row_idx"]).select(*COLUMNS)
 
 

@@ -81,7 +81,8 @@ def fill_template(grid: DataFrame, outcomes: DataFrame, title: str = OUTCOME_TIT
     """The template grid with each row's outcome written into its outcome column, everything else unchanged.
 
     ``outcomes`` has ``source, sheet, row_idx, outcome``, one row per template row below the header.  Rows are
-    matched by ``row_idx``; short rows are extended with nulls up to the outcome column.
+    matched by ``row_idx``; short rows are extended with nulls up to the outcome column.  The grid is read more than once:
+    pass a written one.
     """
     places = outcome_places(grid, title)
     joined = lookup(grid, places, SHEET_KEY, ["row_idx"], "inner").join(
