@@ -9,21 +9,22 @@ from hustings.llm.tables import stored
 from hustings.operators.skew import spread_join
 
 
+def is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether of rows ``u`` points at ``v`` every ``u`` has one target and no target points on itself."""
+    targets = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+    return targets.where("n > 1").isEmpty() and edges.select(F.col("v").alias("u")).join(targets, "u", "left_semi").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links`` (``a, b``); the label is the smallest node of the component.
 
-    Every round points all neighbours of a node at the smallest one, first the larger neighbours, then the smaller; the
-    rounds needed grow with the logarithm of the longest chain.  A node with very many links is a hot key of the joins and
-    is spread.  Each round is written to the shared folder, so no lineage builds up.
+    Every round points all neighbours of a node at the smallest one, first the larger neighbours, then the smaller, until
+    no node that is pointed at points on; the rounds needed grow with the logarithm of the longest chain.  A node with very
+    many links is a hot key of the joins and is spread.  Each round is written to the shared folder, so no lineage builds up.
     """
     down = F.struct(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = stored(links.where("a != b").select(down.alias("e")).select("e.*").distinct(), "links")
-    before = None
-    while True:
-        after = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == before or after[0] == 0:
-            break
-        before = after
+    while not is_forest_of_stars(edges):
         both = edges.unionAll(edges.select("v", "u")).toDF("x", "y")
         least = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"), F.count(F.lit(1)).alias("_n"))
         large = spread_join(both, least, ["x"], ["y"], "inner").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v"))
@@ -37,3 +38,14 @@ def components(links: DataFrame) -> DataFrame:
         edges = stored(small.distinct(), "links")
     labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
     return labels.unionAll(edges.select("v", "v").distinct().toDF("node", "label"))
+
+
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (``node, label``) after further ``links``: only the labels the links connect are worked on."""
+    if links.isEmpty():
+        return labels
+    ends = links.join(labels.toDF("a", "la"), "a", "left").join(labels.toDF("b", "lb"), "b", "left")
+    ends = ends.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    moved = stored(components(ends), "moved")
+    known = labels.join(moved.toDF("label", "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    return known.unionAll(moved.join(labels, "node", "left_anti"))

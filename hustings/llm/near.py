@@ -16,13 +16,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.components import components
+from hustings.llm.components import components, joined_components
 from hustings.llm.tables import own_columns, stored, unused
 from hustings.operators.skew import spread_join
 
 WORDS, SIMILARITY = 5, 80
 TREES, PATH, SHALLOW = 24, 5, 4
-DEPTHS = (5, 7, 10, 15, 25, 60, TREES * PATH)
+DEPTHS = (5, 7, 10, 15, 30, TREES * PATH)
 SMALL, DRAWS = 16, 1
 ROWS = 2048
 SEEDS = np.random.default_rng(11).integers(0, 1 << 63, TREES * PATH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -238,9 +238,9 @@ def near_duplicates(
     texts = stored(rows.where("doc_id is not null").join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     stars = stored(star_pairs(every, similarity), "stars")
     links = stored(confirmed(stars, texts, words, similarity), "links")
-    rest = open_pairs(every, components(links), similarity).join(stars, ["a", "b"], "left_anti")
-    more = stored(confirmed(stored(rest, "pairs"), texts, words, similarity), "links")
-    labels = components(links.unionAll(more))
+    first = stored(components(links), "labels")
+    rest = open_pairs(every, first, similarity).join(stars, ["a", "b"], "left_anti")
+    labels = joined_components(first, stored(confirmed(rest, texts, words, similarity), "links"))
     label = F.coalesce("label", "rep").alias("component_id")
     of_key = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", label, "_n")
     whole = sketches.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
