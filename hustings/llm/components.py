@@ -11,8 +11,9 @@ from hustings.operators.skew import spread_join
 
 def is_forest_of_stars(edges: DataFrame) -> bool:
     """Whether of rows ``u`` points at ``v`` every ``u`` has one target and no target points on itself."""
-    targets = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
-    return targets.where("n > 1").isEmpty() and edges.select(F.col("v").alias("u")).join(targets, "u", "left_semi").isEmpty()
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out")).unionAll(edges.select("v", F.lit(0)))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("targets"), F.min("out").alias("least"))
+    return seen.where("targets > 1 or (targets = 1 and least = 0)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
