@@ -3,12 +3,13 @@
 A signature is read as several short paths, one per tree; documents that share the head of a path lie in one region.
 Regions are followed down to the depth at which few documents are left, so dense regions are cut deeper than thin ones.
 Inside a region every document is first compared with one centre; documents that are then in one component need no further
-comparison, the others of a small region are compared with each other.  Links are confirmed on whole shingle sets.
+comparison.  All others that share a region at the first depth are compared with each other: in a small region directly, in
+a dense one block against block (see ``dense_links``).  Links are confirmed on whole shingle sets.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,7 @@ from hustings.operators.skew import spread_join
 WORDS, SIMILARITY = 5, 80
 TREES, PATH, SHALLOW = 24, 5, 4
 DEPTHS = (6, 10, 20, TREES * PATH)
-SMALL, DRAWS = 16, 1
+SMALL, BLOCK, TILE, OFTEN = 16, 512, 256, 32
 ROWS = 2048
 SEEDS = np.random.default_rng(11).integers(0, 1 << 63, TREES * PATH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,16 +128,15 @@ def regions_of(rows: DataFrame, name: str) -> DataFrame:
     return stored(spread_join(rows, counts.withColumn("n", F.col("_n")), ["h"], ["doc"], "inner"), name)
 
 
-def forest(signs: DataFrame, small: int = SMALL) -> DataFrame:
-    """All regions of at least two documents at the depths looked at.
+def forest(signs: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
+    """The regions of at least two documents at the first depth, and those at all depths looked at.
 
     ``signs`` has ``doc, size, sign``.  A region with more than ``small`` documents is looked at again deeper; regions that
     are dense at full depth hold equal signatures.
     """
     trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), head(t, F.col("sign"), SHALLOW).alias("h")))
     rows = signs.select("doc", "size", F.explode(trees).alias("p")).select("doc", "size", "p.tree", "p.h")
-    level = regions_of(rows, "regions")
-    every = level
+    first = level = every = regions_of(rows, "regions")
     for depth in DEPTHS:
         dense = level.where(F.col("n") > small).select("doc", "tree")
         if dense.isEmpty():
@@ -144,7 +144,7 @@ def forest(signs: DataFrame, small: int = SMALL) -> DataFrame:
         deeper = dense.join(signs, "doc").select("doc", "size", "tree", head(F.col("tree"), F.col("sign"), depth).alias("h"))
         level = regions_of(deeper, "regions")
         every = every.unionAll(level)
-    return every
+    return first, every
 
 
 def alike(n: Column, m: Column, similarity: int) -> Column:
@@ -172,34 +172,221 @@ def star_pairs(every: DataFrame, similarity: int) -> DataFrame:
     ).distinct()
 
 
-def open_pairs(every: DataFrame, labels: DataFrame, similarity: int, small: int = SMALL) -> DataFrame:
-    """Pairs within regions whose documents are not yet in one component.
+def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the component of ``doc``, which is its own where it has no link."""
+    return rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
 
-    In a small region every such pair.  In a dense one in which a component holds a quarter of the members, each other
-    document with a member of that component, drawn by a hash in every tree and depth anew; its own neighbours it
-    meets deeper down.
-    """
-    marked = every.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    member = F.struct("doc", "size", "label")
 
-    def apart(x: Column, y: Column) -> Column:
-        return (x["label"] != y["label"]) & alike(x["size"], y["size"], similarity)
+def open_pairs(marked: DataFrame, similarity: int) -> DataFrame:
+    """All pairs within small regions whose documents are not yet in one component."""
+    member = F.struct("doc", "size", "label")
 
     def partners(x: Column) -> Column:
-        others = F.filter("m", lambda y: (x["doc"] < y["doc"]) & apart(x, y))
+        others = F.filter("m", lambda y: (x["doc"] < y["doc"]) & (x["label"] != y["label"]) & alike(x["size"], y["size"], similarity))
         return F.transform(others, lambda y: F.struct(x["doc"].alias("a"), y["doc"].alias("b")))
 
-    groups = marked.where(F.col("n") <= small).groupBy("h").agg(F.collect_set(member).alias("m"))
+    groups = marked.groupBy("h").agg(F.collect_set(member).alias("m"))
     groups = groups.where(F.size(F.array_distinct("m.label")) > 1)
-    near = groups.select(F.explode(F.flatten(F.transform("m", partners))).alias("p")).select("p.a", "p.b")
-    dense = marked.where(F.col("n") > small)
-    draw = [F.min(F.struct(F.xxhash64("doc", "h", F.lit(i)).alias("turn"), *("doc", "size", "label"))) for i in range(DRAWS)]
-    drawn = dense.groupBy("h", "label").agg(F.array(*draw).alias("m"), F.count(F.lit(1)).alias("held"))
-    top = drawn.groupBy("h").agg(F.max_by("m", F.struct("held", "label")).alias("m"), F.max("held").alias("held"), F.sum("held").alias("_n"))
-    draws = top.where(F.col("held") * 4 >= F.col("_n")).select("h", "m", "_n")
-    met = spread_join(dense, draws, ["h"], ["doc"], "inner").withColumn("x", member)
-    met = met.select("x", F.explode(F.filter("m", lambda y: apart(F.col("x"), y))).alias("y"))
-    return near.unionAll(met.select(*ordered(F.col("x.doc"), F.col("y.doc")))).distinct()
+    return groups.select(F.explode(F.flatten(F.transform("m", partners))).alias("p")).select("p.a", "p.b").distinct()
+
+
+def block_pairs(rows: DataFrame, weight: Column) -> DataFrame:
+    """Rows ``g, doc, size, label`` of groups, once for every pair of blocks ``i, j`` of their group that their ``block`` is in.
+
+    A block has members of about ``BLOCK`` units of ``weight``.  Members of the label that holds a quarter of its group or
+    more have blocks of their own, which do not meet each other; a group of one label has no blocks.
+    """
+    per = rows.groupBy("g", "label").agg(F.count(F.lit(1)).alias("held"), F.sum(weight).alias("w"))
+    facts = per.groupBy("g").agg(
+        F.max(F.struct("held", "label", "w")).alias("top"),
+        F.sum("held").alias("_n"),
+        F.sum("w").alias("w"),
+        F.count(F.lit(1)).alias("kinds"),
+    ).where("kinds > 1")
+    own = F.col("top.held") * 4 >= F.col("_n")
+    blocks = facts.select(
+        "g",
+        "_n",
+        F.when(own, F.col("top.label")).alias("top"),
+        F.ceil((F.col("w") - F.when(own, F.col("top.w")).otherwise(0)) / BLOCK).alias("k"),
+        F.when(own, F.ceil(F.col("top.w") / BLOCK)).otherwise(0).alias("k_top"),
+    )
+    placed = spread_join(rows, blocks, ["g"], ["doc"], "inner")
+    top = F.coalesce(F.col("label") == F.col("top"), F.lit(False))
+    turn = F.xxhash64("doc", F.lit("block"))
+    block = F.when(top, F.col("k") + F.pmod(turn, F.greatest("k_top", F.lit(1)))).otherwise(F.pmod(turn, F.col("k")))
+    last = F.when(top, F.col("k")).otherwise(F.col("k") + F.col("k_top")) - 1
+    met = placed.withColumn("block", block).select(
+        "g", "doc", "size", "label", "block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("c")
+    )
+    return met.select(
+        "g", F.least("block", "c").alias("i"), F.greatest("block", "c").alias("j"), "doc", "size", "label", "block"
+    )
+
+
+def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that follow each other with equal ``g, i, j``, whatever batches they come in."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(c).to_numpy() for c in range(3)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and last != tuple(keys[a]):
+                yield pa.Table.from_batches(held)
+                held = []
+            last = tuple(keys[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def agreements(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many places every row of ``x`` agrees with every row of ``y``."""
+    out = np.zeros((len(x), len(y)), np.uint8)
+    columns = [np.ascontiguousarray(z.T) for z in (x, y)]
+    for a in range(0, len(x), TILE):
+        for b in range(0, len(y), TILE):
+            part = out[a : a + TILE, b : b + TILE]
+            for p, q in zip(*columns):
+                part += p[a : a + TILE, None] == q[None, b : b + TILE]
+    return out
+
+
+def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with the sets ``right``, exactly.
+
+    Elements of many sets are counted by a product of matrices, the others place by place.
+    """
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    element = np.concatenate(sets)
+    order = np.argsort(element, kind="stable")
+    owner, (_, number, times) = owner[order], np.unique(element[order], return_inverse=True, return_counts=True)
+    out = np.zeros((len(left), len(right)), np.float32)
+    often = np.flatnonzero(times >= OFTEN)
+    column = np.full(len(times), -1)
+    column[often] = np.arange(len(often))
+    column = column[number]
+    for at in range(0, len(often), ROWS):
+        here = (column >= at) & (column < at + ROWS)
+        held = np.zeros((len(sets), ROWS), np.float32)
+        held[owner[here], column[here] - at] = 1
+        out += held[left] @ held[right].T
+    rare = column < 0
+    owner, number = owner[rare], number[rare]
+    place = [np.full(len(sets), -1) for _ in range(2)]
+    place[0][left], place[1][right] = np.arange(len(left)), np.arange(len(right))
+    counted = np.zeros(out.size, np.int64)
+    for step in range(1, OFTEN):
+        at = np.flatnonzero(number[step:] == number[:-step])
+        if not len(at):
+            break
+        p, q = owner[at], owner[at + step]
+        for x, y in ((p, q), (q, p)):
+            met = (place[0][x] >= 0) & (place[1][y] >= 0)
+            np.add.at(counted, place[0][x[met]] * len(right) + place[1][y[met]], 1)
+    return out.astype(np.int64) + counted.reshape(out.shape)
+
+
+def spanning(linked: np.ndarray, left: np.ndarray, right: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of all linked pairs as few as connect the same of ``n`` members, each with a partner closer to the smallest one."""
+    root, by = np.arange(n), np.arange(n)
+    while True:
+        before = root.copy()
+        for mine, other, pairs in ((left, right, linked), (right, left, linked.T)):
+            reach = np.where(pairs, root[other][None, :], n)
+            at = reach.argmin(axis=1)
+            least = reach[np.arange(len(mine)), at]
+            better = least < root[mine]
+            by[mine[better]] = other[at[better]]
+            root[mine[better]] = least[better]
+        if (before == root).all():
+            moved = np.flatnonzero(by != np.arange(n))
+            return moved, by[moved]
+
+
+def comparer(similarity: int, tell: Callable[[pa.Table, np.ndarray, np.ndarray], np.ndarray]):
+    """Pairs ``a, b`` that connect what ``tell`` links between the two blocks of every group, among pairs of different
+    labels whose sizes allow the similarity."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in in_groups(batches):
+            i, j = (table.column(c)[0].as_py() for c in (1, 2))
+            block = table.column("block").to_numpy()
+            left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            if not len(left) or not len(right):
+                continue
+            size = table.column("size").to_numpy()
+            label = table.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+            x, y = size[left][:, None], size[right][None, :]
+            may = (label[left][:, None] != label[right][None, :]) & (np.minimum(x, y) * 100 >= np.maximum(x, y) * similarity)
+            if not may.any():
+                continue
+            a, b = spanning(may & tell(table, left, right), left, right, len(size))
+            doc = table.column("doc").combine_chunks()
+            yield pa.RecordBatch.from_arrays([doc.take(pa.array(a)), doc.take(pa.array(b))], names=["a", "b"])
+
+    return compare
+
+
+def resembling(similarity: int):
+    """Signatures that agree in so many places that a pair at the similarity is missed only beyond six deviations."""
+    s, n = similarity / 100, TREES * PATH
+    least = int(np.floor(n * s - 6 * np.sqrt(n * s * (1 - s))))
+
+    def tell(table: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(-1, n)
+        return agreements(signs[left], signs[right]) >= max(least, 0)
+
+    return comparer(similarity, tell)
+
+
+def exactly(n: int, similarity: int):
+    """Whole shingle sets that reach the similarity."""
+
+    def tell(table: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        known = WordHashes()
+        sets = [shingles(split_words(text.as_py()), n, known) for text in table.column("text")]
+        sizes = np.array([len(s) for s in sets])
+        both = overlaps(sets, left, right)
+        return 100 * both >= similarity * (sizes[left][:, None] + sizes[right][None, :] - both)
+
+    return comparer(similarity, tell)
+
+
+def by_blocks(rows: DataFrame, further: DataFrame, compare, kind: str) -> DataFrame:
+    """Links ``a, b`` that ``compare`` finds in the pairs of blocks ``rows``, with a further column of every ``doc``."""
+    whole = rows.join(further, "doc").select("g", "i", "j", "block", "doc", "size", "label", further.columns[1])
+    dealt = whole.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    return dealt.mapInArrow(compare, f"a {kind}, b {kind}")
+
+
+def dense_links(marked: DataFrame, signs: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
+    """Links that connect all documents of dense regions that are linked at all, in place of those within one component.
+
+    First signatures are compared, block against block within each region, and connected to families of texts that
+    resemble each other; a link cannot lead out of a family.  Within a family every pair of different components whose sizes
+    allow it is compared by whole shingle sets, block against block.
+    """
+    kind = signs.schema["doc"].dataType.simpleString()
+    # The lowest byte of every step: others agree by chance once in 256, which only lets more pairs through.
+    short = signs.select("doc", F.transform("sign", lambda x: F.pmod(x, F.lit(256))).alias("sign"))
+    short = short.mapInArrow(narrowed, f"doc {kind}, sign binary")
+    region = block_pairs(marked.select(F.col("h").alias("g"), "doc", "size", "label"), F.lit(1))
+    edges = stored(by_blocks(region, short, resembling(similarity), kind).distinct(), "resembling")
+    families = stored(components(edges), "families").select(F.col("node").alias("doc"), F.xxhash64("label").alias("g"))
+    members = families.join(marked.select("doc", "size", "label").distinct(), "doc")
+    family = block_pairs(members, F.col("size") / 512 + 1)
+    return by_blocks(family, texts.toDF("doc", "text"), exactly(n, similarity), kind).distinct()
+
+
+def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Steps below 256 as one byte each."""
+    for batch in batches:
+        packed = [np.asarray(sign.values, np.uint8).tobytes() for sign in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc", "sign"])
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
@@ -233,14 +420,19 @@ def near_duplicates(
         known.join(reps, ["doc_id", "key"], "left_semi").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"), "sign"),
         "signatures",
     )
-    every = forest(signs)
-    wanted = every.select("doc").distinct()
+    shallow, every = forest(signs)
+    wanted = shallow.select("doc").distinct()
     texts = stored(rows.where("doc_id is not null").join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     stars = stored(star_pairs(every, similarity), "stars")
     links = stored(confirmed(stars, texts, words, similarity), "links")
     first = stored(components(links), "labels")
-    rest = open_pairs(every, first, similarity).join(stars, ["a", "b"], "left_anti")
-    labels = joined_components(first, stored(confirmed(rest, texts, words, similarity), "links"))
+    marked = stored(labelled(shallow, first), "marked")
+    rest = open_pairs(marked.where(F.col("n") <= SMALL), similarity).join(stars, ["a", "b"], "left_anti")
+    last = confirmed(rest, texts, words, similarity)
+    dense = marked.where(F.col("n") > SMALL)
+    if not dense.isEmpty():
+        last = last.unionAll(dense_links(dense, signs, texts, words, similarity))
+    labels = joined_components(first, stored(last, "links"))
     label = F.coalesce("label", "rep").alias("component_id")
     of_key = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", label, "_n")
     whole = sketches.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
