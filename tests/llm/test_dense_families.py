@@ -53,3 +53,9 @@ def test_overlaps_are_exact():
     for x, y in ((left, right), (left, left)):
         got = near.overlaps(sets, x, y)
         assert all(got[i, j] == len(np.intersect1d(sets[a], sets[b])) for i, a in enumerate(x) for j, b in enumerate(y) if a != b)
+
+
+def test_depths_decide_no_link(frame, family, monkeypatch):
+    monkeypatch.setattr(near, "DEPTHS", ())
+    got, wanted = found(frame, family)
+    assert got == wanted
