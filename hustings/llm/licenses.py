@@ -30,8 +30,8 @@ FAMILIES = (
     ("zlib", "zlib(?: libpng)?", "zlib", ()),
     ("boost", "boost software", "boost", ("1 0",)),
     ("bsd", "(?:free )?bsd", "bsd", ("0 clause", "2 clause", "3 clause", "4 clause")),
-    ("gnu-gpl", "(?:gnu )?(?:general public|gpl)", "gnu", ("1", "1 0", "2", "2 0", "3", "3 0")),
-    ("gnu-lgpl", "(?:gnu )?(?:lesser general public|library general public|lgpl)", "gnu", ("2", "2 0", "2 1", "3", "3 0")),
+    ("gnu-gpl", "(?:gnu )?(?:general public|gpl)", "public", ("1", "1 0", "2", "2 0", "3", "3 0")),
+    ("gnu-lgpl", "(?:gnu )?(?:lesser general public|library general public|lgpl)", "public", ("2", "2 0", "2 1", "3", "3 0")),
     ("gnu-agpl", "(?:gnu )?(?:affero general public|agpl)", "affero", ("1", "3", "3 0")),
     ("gnu-fdl", "(?:gnu )?(?:free documentation|fdl)", "documentation", ("1 1", "1 2", "1 3")),
     ("mpl", "(?:mozilla public|mpl)", "mozilla", ("1 0", "1 1", "2 0")),
@@ -102,7 +102,7 @@ def rules() -> list[dict]:
     made = []
     for family, name, keyword, versions in FAMILIES:
         # A family is also known by its short name.
-        short = [n for n in name.replace("(", "|").replace(")", "|").split("|") if n in SHORT and n != keyword]
+        short = [n for n in name.replace("(?:", "|").replace(")", "|").split("|") if n in SHORT and n != keyword]
         for gate in (keyword, *short):
             for level, weight, more, form in FORMS:
                 for version in versions if "{v}" in form else ("",):
