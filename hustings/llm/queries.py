@@ -8,7 +8,19 @@ from random import Random
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import decontaminate, exact, extract, language, licenses, mixing, near, quality, secret_scan, warc
+from hustings.llm import (
+    decontaminate,
+    exact,
+    extract,
+    language,
+    licenses,
+    mixing,
+    near,
+    personal,
+    quality,
+    secret_scan,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -133,3 +145,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_page_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op12_personal_data")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_personal_data(table(spark, sf_dir, "documents"))
