@@ -18,6 +18,7 @@ from hustings.llm import (
     near,
     personal,
     quality,
+    repair,
     secret_scan,
     warc,
 )
@@ -150,3 +151,92 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_personal_data")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.find_personal_data(table(spark, sf_dir, "documents"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    return f"""xor(4294967295::bigint, list_reduce(
+        list_prepend(4294967295::bigint, list_transform(string_split({text}, ''), lambda c: ord(c)::bigint)),
+        lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+            lambda v, step: case when v & 1 = 1 then xor(v >> 1, 3988292384::bigint) else v >> 1 end)))"""
+
+
+def best_sql(state: int) -> str:
+    """The cheapest way on from ``state`` without an insertion before the row: (cost, audit, lines)."""
+    go = {0: 2, 1: 2, 2: 3, 3: 2}[state]
+    role = {2: "user", 3: "assistant"}[go]
+    kept = {0: "case first when 's' then 1 when 'u' then 2 end", 1: "case first when 'u' then 2 end",
+            2: "case first when 'a' then 3 end", 3: "case first when 'u' then 2 end"}[state]
+    return f"""list_sort(list_filter([
+        {{'c': ways[{state + 1}].c + 2, 'a': 'D' || ways[{state + 1}].a, 't': ways[{state + 1}].t}},
+        case when not gone and {kept} is not null then
+            {{'c': ways[{kept} + 1].c + 5 * cut, 'a': 'K' || ways[{kept} + 1].a, 't': list_prepend(role || ':' || text, ways[{kept} + 1].t)}} end,
+        case when not gone then
+            {{'c': ways[{go + 1}].c + 1 + 5 * cut, 'a': 'R' || ways[{go + 1}].a, 't': list_prepend('{role}:' || text, ways[{go + 1}].t)}} end
+    ], lambda way: way is not null))[1]"""
+
+
+def insert_sql(own: str, after: str, role: str) -> str:
+    return f"""list_sort([{own}, {{'c': ({after}).c + 5, 'a': 'I' || ({after}).a, 't': list_prepend('{role}:', ({after}).t)}}])[1]"""
+
+
+@query(
+    "op11_repair_conversations",
+    f"""
+    with recursive hit as (
+        select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+               {crc32_sql("coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ')")} % 20 as m
+        from conversations
+    ), standing as (
+        select conv_id, turn, case when m = 4 then 'user' else role end as role,
+               case m when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+               unnest(case m when 0 then []::int[] when 3 then [1, 2] else [1] end) as copy
+        from hit
+    ), placed as (
+        select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(text), copy) as place,
+               count(*) over (partition by conv_id) as n
+        from standing
+    ), faulty as (
+        select conv_id, turn, role, text, place, n, role[1] as first,
+               not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+               row_number() over (partition by conv_id, role, text order by place) > 1 as again,
+               not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') as open_end,
+               lag(role[1]) over (partition by conv_id order by place) as before
+        from placed
+    ), judged as (
+        select *, blank or again as gone, cast(open_end and not blank and not again as int) as cut from faulty
+    ), counted as (
+        select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+               count(*) filter (where blank) as blank, count(*) filter (where again and not blank) as duplicate,
+               cast(sum(cut) as bigint) as truncated,
+               count(*) filter (where place > 1 and before || first not in ('su', 'ua', 'au')) as illegal
+        from judged group by conv_id
+    ), ending as (
+        select distinct conv_id, n + 1 as place,
+               [{{'c': 0, 'a': '', 't': []::varchar[]}}, {{'c': 10, 'a': 'II', 't': ['user:', 'assistant:']}},
+                {{'c': 5, 'a': 'I', 't': ['assistant:']}}, {{'c': 0, 'a': '', 't': []::varchar[]}}] as ways
+        from placed
+    ), solved as (
+        select conv_id, place, ways from ending
+        union all
+        select conv_id, place, [{insert_sql("b0", "i2", "user")}, {insert_sql("b1", "i2", "user")}, i2, i3]
+        from (
+            select *, {insert_sql("b2", "b3", "assistant")} as i2, {insert_sql("b3", "b2", "user")} as i3
+            from (
+                select j.conv_id, j.place, {best_sql(0)} as b0, {best_sql(1)} as b1, {best_sql(2)} as b2, {best_sql(3)} as b3
+                from solved s join judged j on j.conv_id is not distinct from s.conv_id and j.place = s.place - 1
+            )
+        )
+    ), every as (select distinct conv_id from conversations)
+    select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+           coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+           cast(coalesce(ways[1].c, 0) as bigint) as cost, coalesce(ways[1].a, '') as audit,
+           sha256(coalesce(array_to_string(ways[1].t, chr(10)), '')) as repaired_sha256
+    from every e
+    left join counted c on c.conv_id is not distinct from e.conv_id
+    left join solved s on s.conv_id is not distinct from e.conv_id and s.place = 1
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), "times")
