@@ -17,6 +17,7 @@ from hustings.llm import (
     mixing,
     near,
     personal,
+    prefixes,
     quality,
     repair,
     secret_scan,
@@ -240,3 +241,43 @@ def insert_sql(own: str, after: str, role: str) -> str:
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")), "times")
+
+
+@query(
+    "op13_prefix_trie",
+    f"""
+    with turns as (
+        select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+    ), named as (
+        select conv_id, turn, role, octet_length(encode(text)) as size,
+               left(sha256(octet_length(encode(role)) || ':' || role || text), 32) as id
+        from turns
+    ), own as (
+        select conv_id, list(id order by turn nulls first, role, id) as ids, list(size order by turn nulls first, role, id) as sizes,
+               cast({crc32_sql("conv_id::varchar")} % 9 as int) as h
+        from named group by conv_id
+    ), rebuilt as (
+        select c.conv_id, list_concat(coalesce(b.ids, [])[1:c.h], c.ids[c.h + 1:]) as ids,
+               list_concat(coalesce(b.sizes, [])[1:c.h], c.sizes[c.h + 1:]) as sizes
+        from own c left join own b on b.conv_id = c.conv_id - c.conv_id % 5
+    ), path as (
+        select conv_id, depth, array_to_string(ids[1:depth], ',') as node, array_to_string(ids[1:depth - 1], ',') as above,
+               case when depth = 0 then 0 else sizes[depth] end as size, depth = len(ids) as ended
+        from (select *, unnest(range(0, len(ids) + 1)) as depth from rebuilt)
+    ), node as (
+        select depth, node, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs, any_value(size) as size,
+               sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where ended), '')) as ends_sha256
+        from path group by depth, node
+    ), children as (select depth - 1 as depth, above as node, count(*) as n_children from node where depth > 0 group by all),
+    counted as (select node.*, coalesce(n_children, 0) as n_children from node left join children using (depth, node)),
+    below as (
+        select p.depth, p.node, count(*) filter (where c.n_children = 0) as n_leaves, cast(sum((c.n_convs - 1) * c.size) as bigint) as saved_tokens
+        from counted c join path p on p.conv_id = c.conv_id and p.depth <= c.depth group by all
+    )
+    select c.conv_id, cast(c.depth as bigint) as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+    from counted c join below using (depth, node)
+    left join counted p on p.depth = c.depth - 1 and p.node = c.above
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(prefixes.rebuilt(prefixes.sequences(table(spark, sf_dir, "conversations"))))
