@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.catalog import query, table
-from hustings.operators import rules, scoring
+from hustings.operators import copies, rules, scoring
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -345,3 +345,50 @@ def agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     placed = lines.withColumns({"state": F.lit("all"), "block": F.floor(F.col("constituency") / 4).cast("int")})
     return rules.copied_submissions(placed, ["block"])
+
+
+# Entries are documents and their lines predictions; every tenth document with ten lines or more is submitted again later
+# with one line changed in each block of ten, and every fifteenth as it is.
+_COPIES = r"""lines as (select doc_id, string_split(text, chr(10)) as l from documents),
+  own as (select doc_id as entry_id, cast(i as int) as constituency, l[i + 1] as candidate, len(l) as n
+    from (select doc_id, l, unnest(range(len(l))) as i from lines)),
+  p as (select entry_id, constituency, candidate from own
+    union all select entry_id + 100000000, constituency, case when constituency % 10 = entry_id % 7
+      then '-' else candidate end
+    from own where entry_id % 10 = 0 and n >= 10
+    union all select entry_id + 200000000, constituency, candidate from own where entry_id % 15 = 0),
+  prints as (select entry_id, count(*) as size, string_agg(candidate, chr(10) order by constituency) as print from p group by 1),
+  equal as (select entry_id, size, min(entry_id) over same as copy_of, count(*) over same as n_equal from prints
+    window same as (partition by size, print))"""
+
+
+def resubmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.split("text", "\n").alias("l"))
+    own = lines.select(F.col("doc_id").alias("entry_id"), F.size("l").alias("n"), F.posexplode("l").alias("constituency", "candidate"))
+    hit = F.col("constituency") % 10 == F.col("entry_id") % 7
+    changed = own.where((F.col("entry_id") % 10 == 0) & (F.col("n") >= 10)).withColumns(
+        {"candidate": F.when(hit, "-").otherwise(F.col("candidate")), "entry_id": F.col("entry_id") + 100_000_000}
+    )
+    again = own.where(F.col("entry_id") % 15 == 0).withColumn("entry_id", F.col("entry_id") + 200_000_000)
+    every = own.unionByName(changed).unionByName(again)
+    return every.select("entry_id", F.col("entry_id").alias("submitted_at"), F.lit("all").alias("state"), "constituency", "candidate")
+
+
+@query("j11_equal_submissions", f"with {_COPIES} select * from equal")
+def equal_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.equal_submissions(resubmitted(spark, sf_dir))
+
+
+@query(
+    "j11_changed_seats",
+    f"""with {_COPIES}, first as (select entry_id, size from equal where entry_id = copy_of),
+    kept as (select * from p join first using (entry_id)),
+    pairs as (select b.entry_id, a.entry_id as source_entry, any_value(b.size) as size, any_value(a.size) as source_size,
+        count(*) as n_shared
+      from kept a join kept b on a.constituency = b.constituency and a.candidate = b.candidate and a.entry_id < b.entry_id
+      group by 1, 2)
+    select *, n_shared::double / greatest(size, source_size) as agreement from pairs
+    where 100 * n_shared >= 80 * greatest(size, source_size)""",
+)
+def changed_seats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return copies.near_copies(resubmitted(spark, sf_dir), 80)
