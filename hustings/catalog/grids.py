@@ -10,7 +10,7 @@ from hustings.operators.winners import pick_winners
 from hustings.plans.history import labelled_results
 from hustings.plans.web import candidates_from_pages
 from hustings.functions.text import missing_to_null, plain_text
-from hustings.session import materialise
+from hustings.session import fresh_path, materialise
 from hustings.sources.grids import (
     GRID,
     RESULT_COLUMNS,
@@ -18,6 +18,7 @@ from hustings.sources.grids import (
     exact_position,
     find_headers,
     promote,
+    read_delimited,
     rejected,
     result_records,
     select_sheets,
@@ -176,6 +177,40 @@ def _tagged(
     return [body, heads.select("*", F.lit(0).cast("bigint").alias("row_idx"), texts(*titles).alias("cells")).select(GRID)]
 
 
+@query(
+    "s2_multiline_records",
+    """with o as (select o_orderkey % 4 as part, o_orderkey, o_orderpriority as p, o_orderstatus as s, o_custkey as c from orders)
+    select part || '' as part, row_number() over (partition by part order by o_orderkey) - 1 as row_idx, cast(o_orderkey as varchar) as key,
+      case c % 3 when 0 then p || chr(10) || '"' || s || '", two' || chr(10) || chr(10) || 'end' when 1 then p || ', 5" ' || s else p || '"' end as note,
+      cast(c as varchar) as customer
+    from o""",
+)
+def multiline_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written with quoted line breaks, quotes and separators, read in splits of 16 kB."""
+    c = F.col("o_custkey")
+    cells = (
+        F.when(c % 3 == 0, F.concat(F.lit('"'), "o_orderpriority", F.lit('\n""'), "o_orderstatus", F.lit('"", two\n\nend"')))
+        .when(c % 3 == 1, F.concat(F.lit('"'), "o_orderpriority", F.lit(', 5"" '), "o_orderstatus", F.lit('"')))
+        .otherwise(F.concat("o_orderpriority", F.lit('"')))
+    )
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), cells, c.cast("string"))
+    path = fresh_path(spark, "orders-csv")
+    orders = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 4).alias("part"), "o_orderkey", line.alias("value"))
+    placed = orders.repartition(4, "part").sortWithinPartitions("part", "o_orderkey")
+    placed.select("part", "value").write.partitionBy("part").option("compression", "none").text(path)
+    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        grid = read_delimited(spark, path, glob="*.txt")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", whole)
+    return grid.select(
+        F.regexp_extract("source", "part=([0-9]+)", 1).alias("part"),
+        "row_idx",
+        *[F.get("cells", F.lit(i)).alias(n) for i, n in enumerate(("key", "note", "customer"))],
+    )
+
+
 @query(
     "s1_multi_source_union",
     """with r as (

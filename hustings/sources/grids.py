@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from hustings.functions.text import missing_to_null
 from hustings.operators.skew import key_counts, lookup
 from hustings.session import materialise
+from hustings.sources.delimited import escaped, opens, records
 
 GRID = ["source", "sheet", "row_idx", "cells"]
 SHEET_KEY = ["source", "sheet"]
@@ -57,7 +58,7 @@ def file_name(source: Column) -> Column:
 
 def split_cells(line: Column, separator: str = ",") -> Column:
     """Cells of one delimited line, quotes honoured."""
-    sep = "\\" + separator if separator in "|.^$*+?()[]{}\\" else separator
+    sep = escaped(separator)
     quoted = r'"[^"]*+(?:""[^"]*+)*+"'
     # With a separator in front every cell has one, an empty first cell too.
     found = F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(f"{sep}({quoted}|[^{sep}]*+)"), F.lit(1))
@@ -77,10 +78,10 @@ def read_delimited(
     without_prefix: str | None = "~$",
     without_part: str | None = "Template",
 ) -> DataFrame:
-    """Delimited files as a grid, ``row_idx`` being the line number within the file and ``source`` its whole path.
+    """Delimited files as a grid, ``row_idx`` being the record's number within the file and ``source`` its whole path.
 
-    Files are read in splits, however large, in one pass that writes the lines with their split.  A line's number is
-    the number of lines in the earlier splits of its file plus its place within its own split.
+    Files are read in splits, however large, in one pass that writes the lines with their split.  A record is a line, or
+    several where a quoted cell spans them; see :func:`hustings.sources.delimited.records`.
     """
     tagged = file_filter(
         spark.read.option("pathGlobFilter", glob).text(path).select("value", "_metadata"), without_prefix, without_part
@@ -89,15 +90,13 @@ def read_delimited(
         F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_seq"),
         "value",
+        opens(F.col("value"), separator, False).alias("open0"),
+        opens(F.col("value"), separator, True).alias("open1"),
     )
-    lines = materialise(tagged)
-    splits = lines.groupBy("source", "_split").agg(F.count(F.lit(1)).alias("_lines"), F.min("_seq").alias("_first"))
-    before = F.sum("_lines").over(W.partitionBy("source").orderBy("_split")) - F.col("_lines")
-    starts = splits.withColumn("_start", before).drop("_lines")
-    return lookup(lines, starts, ["source", "_split"], ["_seq"], "inner").select(
+    return records(materialise(tagged)).select(
         "source",
         F.regexp_replace(file_name(F.col("source")), r"\.[^.]*$", "").alias("sheet"),
-        (F.col("_start") + F.col("_seq") - F.col("_first")).alias("row_idx"),
+        "row_idx",
         F.transform(split_cells(F.col("value"), separator), missing_to_null).alias("cells"),
     )
 
