@@ -75,7 +75,7 @@ def test_well_formed_files_read_as_the_standard_library_does(spark, tmp_path):
 def test_a_quote_that_is_never_closed_joins_nothing(spark, tmp_path):
     (tmp_path / "a.csv").write_text('x,"1\n2",y\n"open,z\nmore,q\nlast\n')
     got = read_delimited(spark, str(tmp_path)).orderBy("row_idx").collect()
-    assert [(r.row_idx, r.cells[0]) for r in got] == [(0, "x"), (1, '"open'), (2, "more"), (3, "last")]
+    assert [(r.row_idx, r.cells[0]) for r in got] == [(0, "x"), (1, "open"), (2, "more"), (3, "last")]
     assert got[0].cells == ["x", "1\n2", "y"]
 
 
