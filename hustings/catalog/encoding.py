@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.catalog import query, table
-from hustings.operators.encoding import SafeEncoder, encode_closed, field_values, sorted_codes, with_sentinel
+from hustings.operators.encoding import SafeEncoder, SafeEncoderModel, encode_closed, field_values, sorted_codes, with_sentinel
 from hustings.operators.ordering import balanced_folds, exact_median
+from hustings.session import fresh_path
 
 
 @query(
@@ -58,6 +59,37 @@ def safe_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoder.fit(past).transform(rows).select("c_custkey", "number_code", "nation_code")
 
 
+@query(
+    "m3_kept_encoder",
+    """with v as (select 'number' as field, substr(s_name, 10) as value from supplier union select 'number', substr(c_name, 10) from customer
+        where c_custkey % 2 = 0 union select 'nation', cast(s_nationkey as varchar) from supplier
+        union select 'nation', nullif(cast(c_nationkey as varchar), '7') from customer where c_custkey % 2 = 0
+        union select 'number', 'UNKNOWN' union select 'nation', 'UNKNOWN'),
+    code as (select field, value, cast(row_number() over (partition by field order by value) - 1 as int) as code from v where value is not null),
+    unknown as (select field, code from code where value = 'UNKNOWN')
+    select c_custkey, coalesce(n.code, (select code from unknown where field = 'number')) as number_code,
+      coalesce(k.code, (select code from unknown where field = 'nation')) as nation_code
+    from customer left join code n on n.field = 'number' and n.value = substr(c_name, 10)
+      left join code k on k.field = 'nation' and k.value = nullif(cast(c_nationkey as varchar), '7')""",
+)
+def kept_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An encoder with a template and then its model are saved and loaded; half of the customers are unseen."""
+    past = table(spark, sf_dir, "supplier").select(
+        F.substr("s_name", F.lit(10)).alias("number"), F.col("s_nationkey").cast("string").alias("nation")
+    )
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.substr("c_name", F.lit(10)).alias("number"),
+        F.nullif(F.col("c_nationkey").cast("string"), F.lit("7")).alias("nation"),
+    )
+    columns = {"inputCols": ["number", "nation"], "outputCols": ["number_code", "nation_code"]}
+    given = SafeEncoder(**columns, template=rows.where(F.col("c_custkey") % 2 == 0), rowId=["c_custkey"], broadcastRows=100)
+    paths = fresh_path(spark, "encoder"), fresh_path(spark, "encoder-model")
+    given.save(paths[0])
+    SafeEncoder.load(paths[0]).fit(past).save(paths[1])
+    return SafeEncoderModel.load(paths[1]).transform(rows).select("c_custkey", "number_code", "nation_code")
+
+
 @query(
     "j2_encode_closed",
     """with e as (select event_id, coalesce(nullif(event_type, 'error'), 'nan') as kind, cast(user_id as varchar) as person

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from hustings.operators.encoding import encode_closed
 from hustings.operators.ordering import balanced_folds
 from hustings.operators.winners import pick_winners
 from hustings.plans import history, template, web
-from hustings.session import materialise
+from hustings.session import fresh_path, materialise
 from hustings.sources.grids import union_sources
 
 SMALL = {"maxIter": 3, "maxDepth": 4}
@@ -182,3 +183,24 @@ def web_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.groupBy("state", "constituency").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("outcome") == "WIN").alias("n_wins")
     )
+
+
+@query(
+    "m10_kept_pipeline",
+    """with c as (select 's' || replace(cast(c_custkey as varchar) || '2021', '2021', '') as state,
+        'AC ' || cast(c_nationkey as varchar) as constituency from customer where c_mktsegment <> 'MACHINERY')
+    select state, constituency, 2 * count(*) as n_rows, 1::bigint as n_wins, 2 * count(*) as n_same from c group by 1, 2""",
+)
+def kept_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The web workflow as one saved and reloaded pipeline; ``n_same`` rows have the score and outcome of the direct run."""
+    candidates = materialise(web.candidates_from_pages(customer_pages(spark, sf_dir)))
+    path = fresh_path(spark, "pipeline")
+    web.fit_pipeline(candidates, "argmax", **SMALL).save(path)
+    kept = PipelineModel.load(path).transform(candidates)
+    direct = web.outcomes(web.training_table(candidates), mode="argmax", **SMALL)
+    same = direct.select(*web.ROW, F.col("outcome").alias("_outcome"), F.col("p_win").alias("_p"))
+    both = kept.join(same, web.ROW)
+    agrees = (F.col("outcome") == F.col("_outcome")) & (F.col("p_win") == F.col("_p"))
+    return both.groupBy("state", "constituency").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("outcome") == "WIN").alias("n_wins"), F.count_if(agrees).alias("n_same")
+    )

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.sql import DataFrame
+from pyspark.ml.util import MLReadable, MLReader, MLWritable, MLWriter
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.functions.text import category
+from hustings.operators.keeping import TableReader, TableWriter
 from hustings.operators.ordering import positions
 from hustings.operators.skew import BROADCAST_ROWS, spread_join
 from hustings.session import materialise
@@ -44,69 +46,135 @@ def sorted_codes(values: DataFrame) -> DataFrame:
     )
 
 
-class SafeEncoder(Estimator, HasInputCols, HasOutputCols):
+class EncoderParams(HasInputCols, HasOutputCols):
+    """What a fitted and an unfitted encoder have in common.
+
+    ``missing`` is the category of null values.  With ``sentinel`` it belongs to every vocabulary and unseen values get its
+    code; without, it is a category like any other and unseen values get the number of known ones.  Vocabularies of more than
+    ``broadcastRows`` values are joined by spread keys, for which ``rowId`` tells the rows apart.
+    """
+
+    missing = Param(Params._dummy(), "missing", "category of null values", TypeConverters.toString)
+    sentinel = Param(Params._dummy(), "sentinel", "whether unseen values are taken as missing", TypeConverters.toBoolean)
+    rowId = Param(Params._dummy(), "rowId", "columns that tell the rows apart", TypeConverters.toListString)
+    broadcastRows = Param(Params._dummy(), "broadcastRows", "largest vocabulary to broadcast", TypeConverters.toInt)
+
+    def __init__(self) -> None:
+        super().__init__()
+        self._setDefault(missing=UNKNOWN, sentinel=True, rowId=[], broadcastRows=BROADCAST_ROWS)
+
+    @property
+    def row_id(self) -> list[str]:
+        return self.getOrDefault("rowId")
+
+    @row_id.setter
+    def row_id(self, columns: list[str]) -> None:
+        self._set(rowId=columns)
+
+    @property
+    def broadcast_rows(self) -> int:
+        return self.getOrDefault("broadcastRows")
+
+    @broadcast_rows.setter
+    def broadcast_rows(self, rows: int) -> None:
+        self._set(broadcastRows=rows)
+
+    def category(self, column: str) -> Column:
+        return F.coalesce(F.col(column).cast("string"), F.lit(self.getOrDefault("missing")))
+
+
+class SafeEncoder(Estimator, EncoderParams, MLReadable, MLWritable):
     """Learns one sorted vocabulary per input column; unseen and missing values get the code of ``UNKNOWN``.
 
-    ``template`` adds the values of a second dataset (columns of the same names) to the vocabularies.
+    ``template`` adds the values of a second dataset (columns of the same names) to the vocabularies; a saved encoder keeps
+    them as a table.
     """
 
     @keyword_only
-    def __init__(self, *, inputCols: list[str], outputCols: list[str], template: DataFrame | None = None):
+    def __init__(
+        self,
+        *,
+        inputCols: list[str] | None = None,
+        outputCols: list[str] | None = None,
+        template: DataFrame | None = None,
+        missing: str = UNKNOWN,
+        sentinel: bool = True,
+        rowId: list[str] | None = None,
+        broadcastRows: int = BROADCAST_ROWS,
+    ):
         super().__init__()
-        self._set(inputCols=inputCols, outputCols=outputCols)
-        self.template = template
+        given = dict(self._input_kwargs)
+        self.template = given.pop("template", None)
+        self._set(**given)
 
     def _fit(self, dataset: DataFrame) -> SafeEncoderModel:
-        fields = {c: c for c in self.getInputCols()}
-        values = field_values(dataset, fields)
+        columns = self.getInputCols()
+        fields = {c: f"_cat_{c}" for c in columns}
+        values = field_values(dataset.select(*[self.category(c).alias(f"_cat_{c}") for c in columns]), fields)
         if self.template is not None:
-            values = values.unionByName(field_values(self.template, fields))
-        vocabulary = materialise(sorted_codes(with_sentinel(values, list(fields))))
-        return SafeEncoderModel(vocabulary)._set(inputCols=self.getInputCols(), outputCols=self.getOutputCols())
+            values = values.unionByName(field_values(self.template, {c: c for c in columns}))
+        values = with_sentinel(values, columns, self.getOrDefault("missing")) if self.getOrDefault("sentinel") else values.distinct()
+        model = SafeEncoderModel(materialise(sorted_codes(values)))
+        return self._copyValues(model)
+
+    def write(self) -> MLWriter:
+        return TableWriter(self, self.template.select(*self.getInputCols()).distinct() if self.template is not None else None)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return TableReader(cls, lambda table: cls(template=table))
 
 
-class SafeEncoderModel(Model, HasInputCols, HasOutputCols):
-    """Vocabulary table ``field, value, code`` and its lookup."""
+class SafeEncoderModel(Model, EncoderParams, MLReadable, MLWritable):
+    """Vocabulary table ``field, value, code`` and its lookup; saved and loaded with the table."""
 
-    def __init__(self, vocabulary: DataFrame, broadcast_rows: int = BROADCAST_ROWS, row_id: list[str] | None = None):
+    def __init__(self, vocabulary: DataFrame):
         super().__init__()
         self.vocabulary = vocabulary
-        self.broadcast_rows = broadcast_rows
-        self.row_id = row_id
-        facts = vocabulary.groupBy("field").agg(
-            F.count(F.lit(1)).alias("size"), F.max(F.when(F.col("value") == UNKNOWN, F.col("code"))).alias("unknown")
-        )
-        rows = facts.collect()  # one row per encoded column
-        self.sizes = {r["field"]: r["size"] for r in rows}
-        self.unknown = {r["field"]: r["unknown"] for r in rows}
+        self._sizes: dict[str, int] | None = None
+
+    @property
+    def sizes(self) -> dict[str, int]:
+        if self._sizes is None:
+            # One row per encoded column.
+            rows = self.vocabulary.groupBy("field").agg(F.count(F.lit(1)).alias("size")).collect()
+            self._sizes = {r["field"]: r["size"] for r in rows}
+        return self._sizes
+
+    def unseen(self) -> dict[str, int]:
+        """The code of unseen values per column."""
+        if not self.getOrDefault("sentinel"):
+            return self.sizes
+        missing = F.col("value") == self.getOrDefault("missing")
+        return {r["field"]: r["code"] for r in self.vocabulary.where(missing).collect()}
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        out = dataset
+        out, unseen = dataset, self.unseen()
         for field, target in zip(self.getInputCols(), self.getOutputCols()):
             codes = self.vocabulary.where(F.col("field") == field).select(
                 F.col("value").alias("_value"), F.col("code").alias(target)
             )
-            keyed = out.withColumn("_value", F.coalesce(F.col(field).cast("string"), F.lit(UNKNOWN)))
-            if self.sizes[field] <= self.broadcast_rows:
+            keyed = out.withColumn("_value", self.category(field))
+            if self.sizes.get(field, 0) <= self.broadcast_rows:
                 joined = keyed.join(F.broadcast(codes), "_value", "left")
             else:
                 joined = spread_join(keyed, codes, ["_value"], self.row_id or dataset.columns)
-            out = joined.drop("_value").withColumn(target, F.coalesce(target, F.lit(self.unknown[field])))
+            out = joined.drop("_value").withColumn(target, F.coalesce(target, F.lit(unseen.get(field, 0))))
         return out
 
+    def write(self) -> MLWriter:
+        return TableWriter(self, self.vocabulary)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return TableReader(cls, cls)
+
+
+def closed_encoder(columns: dict[str, str], row_id: list[str]) -> SafeEncoder:
+    """An encoder over the values of the training rows themselves, null being the category ``nan``."""
+    return SafeEncoder(inputCols=list(columns), outputCols=list(columns.values()), missing="nan", sentinel=False, rowId=row_id)
+
 
 def encode_closed(df: DataFrame, columns: dict[str, str], row_id: list[str]) -> DataFrame:
     """Codes over the values of ``df`` itself, null being the category ``nan``; ``columns`` maps input to output."""
-    filled = df.withColumns({f"_cat_{c}": category(F.col(c)) for c in columns})
-    fields = {c: f"_cat_{c}" for c in columns}
-    model = SafeEncoderModel(materialise(sorted_codes(field_values(filled, fields))), row_id=row_id)
-    out = filled
-    for column, target in columns.items():
-        codes = model.vocabulary.where(F.col("field") == column).select(
-            F.col("value").alias(f"_cat_{column}"), F.col("code").alias(target)
-        )
-        if model.sizes[column] <= model.broadcast_rows:
-            out = out.join(F.broadcast(codes), f"_cat_{column}")
-        else:
-            out = spread_join(out, codes, [f"_cat_{column}"], row_id, "inner")
-    return out.drop(*fields.values())
+    return closed_encoder(columns, row_id).fit(df).transform(df)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hustings.functions.text import MAJOR_PARTIES
 from hustings.operators.cleaning import tidy_keys
 from hustings.operators.encoding import SafeEncoder
-from hustings.operators.features import RESULT_FEATURES, add_major_flag
-from hustings.operators.models import assemble, boosted_trees, fit, score, training_rows
-from hustings.operators.winners import pick_winners
+from hustings.operators.features import RESULT_FEATURES
+from hustings.operators.models import boosted_trees, fit
+from hustings.operators.stages import MajorFlag, Outcomes, TidyKeys, prediction_pipeline
 from hustings.plans.history import CODES, labelled_results
 from hustings.session import materialise
 from hustings.sources.grids import (
@@ -42,15 +44,36 @@ def predict_template(
 
     The vocabularies cover both datasets, and state names are brought to the same form first.
     """
-    train = materialise(add_major_flag(tidy_keys(labelled, ["state"])))
-    future = materialise(add_major_flag(tidy_keys(template, ["state"])))
-    encoder = SafeEncoder(inputCols=list(CODES), outputCols=list(CODES.values()), template=future).fit(train)
-    encoder.row_id = ROW_KEY
-    rows = training_rows(encoder.transform(train), RESULT_FEATURES, "win", ROW_KEY, partitions)
-    model = fit(rows, boosted_trees("template", "win", **changes))
-    scored = score(model, assemble(encoder.transform(future), RESULT_FEATURES))
-    scored = materialise(scored.select(*ROW_KEY, "constituency", "state", "party", "p_win"))
-    return pick_winners(scored, [*SHEET_KEY, "constituency"], "p_win", ["row_idx"])
+    model, rows = fit_pipeline(labelled, template, partitions, **changes)
+    return predict(model, rows)
+
+
+def fit_pipeline(
+    labelled: DataFrame, template: DataFrame, partitions: int | None = None, **changes: object
+) -> tuple[PipelineModel, DataFrame]:
+    """A pipeline from records to outcomes, fitted on past results, and the written template rows it covers.
+
+    The model can be saved and loaded; it holds the vocabularies of both datasets.
+    """
+    columns = list(CODES)
+    future = materialise(template)
+    known = materialise(labelled.where(F.col("win").isNotNull()))
+    encoder = SafeEncoder(inputCols=columns, outputCols=list(CODES.values()), template=tidy_keys(future, ["state"]), rowId=ROW_KEY)
+    pipeline = prediction_pipeline(
+        [TidyKeys(columns=["state"]), MajorFlag(names=MAJOR_PARTIES)],
+        encoder,
+        RESULT_FEATURES,
+        boosted_trees("template", "win", **changes),
+        ROW_KEY,
+        Outcomes(contest=[*SHEET_KEY, "constituency"], rowId=["row_idx"], win="W", lose="L"),
+        partitions,
+    )
+    return fit(known, pipeline), future
+
+
+def predict(model: PipelineModel, template: DataFrame) -> DataFrame:
+    """Outcomes of template rows by a fitted, or loaded, pipeline."""
+    return model.transform(template).select(*ROW_KEY, "constituency", "state", "party", "p_win", "outcome")
 
 
 def filled_template(grid: DataFrame, predicted: DataFrame) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hustings.functions.text import MAJOR_PARTIES_WEB
 from hustings.operators.cleaning import clean_candidates
-from hustings.operators.encoding import encode_closed
+from hustings.operators.encoding import closed_encoder, encode_closed
 from hustings.operators.features import WEB_FEATURES, add_web_flags, proxy_label
 from hustings.operators.models import boosted_trees, cross_validate, fit, fold_accuracy, outcome_label, score, training_rows
 from hustings.operators.ordering import balanced_folds
+from hustings.operators.stages import CleanCandidates, MajorFlag, Outcomes, StandInLabel, prediction_pipeline
 from hustings.operators.winners import pick_winners
 from hustings.sources.grids import source_state
 from hustings.sources.pages import page_candidates
@@ -50,6 +53,21 @@ def outcomes(rows: DataFrame, mode: str = "threshold", **changes: object) -> Dat
     return scored.withColumn("outcome", outcome_label())
 
 
+def pipeline(mode: str = "threshold", **changes: object) -> Pipeline:
+    """From candidate records to outcomes as one pipeline; its model is fitted with :func:`fit_pipeline` and can be saved.
+
+    The model scores the records of other pages too: values it has not seen get a code of their own.
+    """
+    prepare = [CleanCandidates(), MajorFlag(names=MAJOR_PARTIES_WEB, anyCase=False), StandInLabel(rowId=ROW)]
+    outcome = Outcomes(contest=["state", "constituency"] if mode == "argmax" else [], rowId=ROW)
+    return prediction_pipeline(prepare, closed_encoder(CODES, ROW), WEB_FEATURES, boosted_trees("web", "proxy", **changes), ROW, outcome)
+
+
+def fit_pipeline(candidates: DataFrame, mode: str = "threshold", **changes: object) -> PipelineModel:
+    """The fitted pipeline; the pages of ``candidates`` are parsed once."""
+    return fit(materialise(candidates), pipeline(mode, **changes))
+
+
 def run(pages: DataFrame, out: str, mode: str = "threshold", **changes: object) -> DataFrame:
     """Stored pages (``source, html``) to a submission in ``out``; gives the accuracy per fold."""
     rows = training_table(candidates_from_pages(pages))
