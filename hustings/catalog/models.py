@@ -11,6 +11,7 @@ from hustings.catalog.grids import ORDER_ROWS, customer_pages, order_grid, texts
 from hustings.operators import models
 from hustings.operators.encoding import encode_closed
 from hustings.operators.ordering import balanced_folds
+from hustings.operators.skew import lookup
 from hustings.operators.winners import pick_winners
 from hustings.plans import history, template, web
 from hustings.session import fresh_path, materialise
@@ -73,12 +74,15 @@ def cv_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("m7_split_counts", f"select unnest({DOC_FEATURES}) as feature, true as whole, true as any_split")
 def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All features once, none with a negative count, and at least one split over all of them."""
+    """All features once, each with as many splits as the trees' printed form has, and a split over all of them."""
     rows = document_rows(spark, sf_dir)
     model = models.fit(rows, models.boosted_trees("web", "quality", **SMALL))
     counts = materialise(models.split_counts(model, spark, DOC_FEATURES))
     total = counts.agg(F.sum("n_splits")).scalar()
-    return counts.select("feature", (F.col("n_splits") >= 0).alias("whole"), (total > 0).alias("any_split"))
+    printed = F.lit(0)
+    for i, feature in enumerate(DOC_FEATURES):
+        printed = F.when(F.col("feature") == feature, model.toDebugString.count(f"If (feature {i} ")).otherwise(printed)
+    return counts.select("feature", (F.col("n_splits") == printed).alias("whole"), (total > 0).alias("any_split"))
 
 
 @query(
@@ -86,12 +90,14 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """select unnest(['boosted trees', 'random forest', 'logistic regression']) as model, true as in_range, true as learned""",
 )
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every classifier once, its accuracy in range and above a coin's."""
+    """Every classifier once, its accuracy that of Spark's own cross-validator and above a coin's."""
     rows = document_rows(spark, sf_dir)
     rivals = models.rival_models("quality", trees=5, logistic_steps=20, maxIter=2, maxDepth=3)
     found = models.compare_models(rows, rivals, "quality", parallelism=FITS)
-    accuracy = F.col("mean_accuracy")
-    return found.select("model", accuracy.between(0, 1).alias("in_range"), (accuracy > 0.5).alias("learned"))
+    own = [models.select_model(rows, make(), [{}], "quality", parallelism=FITS)[1].withColumn("model", F.lit(n)) for n, make in rivals.items()]
+    both = found.join(union_sources(own).select("model", F.col("mean_accuracy").alias("_own")), "model")
+    same = F.abs(F.col("mean_accuracy") - F.col("_own")) < 1e-9
+    return both.select("model", same.alias("in_range"), (F.col("mean_accuracy") > 0.5).alias("learned"))
 
 
 @query(
@@ -100,11 +106,14 @@ def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     from (select unnest(['0.05', '0.1']) as s), (select unnest(['2', '4']) as d)""",
 )
 def state_tuning(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Learning rate and depth tried on one state; the state is picked before anything is encoded."""
+    """Learning rate and depth tried on one state, picked before anything is encoded; the means are those of Spark's own
+    cross-validator."""
     rows = document_rows(spark, sf_dir, "en")
     grid = [{"maxIter": 2, "stepSize": s, "maxDepth": d} for s in (0.05, 0.1) for d in (2, 4)]
     found = models.tune(rows, grid, "quality", parallelism=FITS)
-    return found.select("settings", F.col("mean_accuracy").between(0, 1).alias("in_range"))
+    _, own = models.select_model(rows, models.boosted_trees("history", "quality"), grid, "quality", parallelism=FITS)
+    both = found.join(own.select("settings", F.col("mean_accuracy").alias("_own")), "settings")
+    return both.select("settings", (F.abs(F.col("mean_accuracy") - F.col("_own")) < 1e-9).alias("in_range"))
 
 
 @query(
@@ -124,6 +133,76 @@ def precision_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "m13_model_selection",
+    f"""with s as (select 'stepSize=' || s || ', maxDepth=' || d as settings from (select unnest(['0.05', '0.1']) as s), (select unnest(['2', '4']) as d)),
+    n as (select count(*) as n from ({_LABELLED}) where lang = 'en')
+    select settings, true as agrees, n as n_scored from s, n union all select 'chosen: 1', true, n from n""",
+)
+def model_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Settings tried on one state with Spark's cross-validator.  ``agrees``: mean and deviation are those of folds fitted and
+    counted one by one; in the last row: the chosen setting has the highest mean and is the one that is returned."""
+    rows = document_rows(spark, sf_dir, "en")
+    grid = models.parameter_grid(stepSize=[0.05, 0.1], maxDepth=[2, 4])
+    trees = models.boosted_trees("history", "quality", maxIter=2)
+    best, found = models.select_model(rows, trees, grid, "quality", parallelism=FITS)
+    found = materialise(found)
+    checks = []
+    for changes in grid:
+        scored = models.cross_validate(rows, lambda c=changes: models.boosted_trees("history", "quality", maxIter=2, **c), parallelism=FITS)
+        folds = models.fold_accuracy(scored, "quality")
+        name = ", ".join(f"{k}={v}" for k, v in changes.items())
+        checks.append(folds.agg(F.avg("accuracy").alias("_mean"), F.stddev_pop("accuracy").alias("_dev")).withColumn("settings", F.lit(name)))
+    scored = models.score(best, rows).agg(F.count_if(F.col("p_win").between(0, 1)).alias("n_scored"))
+    near = (F.abs(F.col("mean_accuracy") - F.col("_mean")) < 1e-9) & (F.abs(F.col("deviation") - F.col("_dev")) < 1e-9)
+    each = found.join(union_sources(checks), "settings").select("settings", near.alias("agrees"))
+    kept = F.lit(f"stepSize={best.getOrDefault('stepSize')}, maxDepth={best.getOrDefault('maxDepth')}")
+    chosen = found.agg(
+        F.concat(F.lit("chosen: "), F.count_if("chosen").cast("string")).alias("settings"),
+        ((F.max("mean_accuracy") == F.max(F.when(F.col("chosen"), F.col("mean_accuracy")))) & (F.max(F.when(F.col("chosen"), F.col("settings"))) == kept)).alias("agrees"),
+    )
+    return each.unionByName(chosen).join(F.broadcast(scored))
+
+
+@query(
+    "m14_pr_area",
+    """with p as (select l_linestatus, l_returnflag, round(l_discount + l_tax, 4) as threshold, count(*) as n,
+        count(*) filter (l_quantity > 25 and l_returnflag <> 'N') as hits
+      from lineitem where l_discount <> 0.05 group by all),
+    s as (select *, sum(hits) over w as hits_above, sum(n) over w as n_above, sum(hits) over (partition by l_linestatus, l_returnflag) as all_hits
+      from p window w as (partition by l_linestatus, l_returnflag order by threshold desc))
+    select l_linestatus, l_returnflag, cast(sum(n) as bigint) as n_rows, cast(sum(hits) as bigint) as n_hits,
+      round(sum(case when all_hits > 0 then hits_above::double / n_above::double * (hits::double / all_hits::double) end), 9) as area
+    from s group by all""",
+)
+def pr_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact average precision of a given score; groups of line items as states, one of them without a hit."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_linestatus",
+        "l_returnflag",
+        F.when(F.col("l_discount") != 0.05, F.round(F.col("l_discount") + F.col("l_tax"), 4)).alias("score"),
+        ((F.col("l_quantity") > 25) & (F.col("l_returnflag") != "N")).cast("int").alias("label"),
+    )
+    area = models.precision_recall_area(lines, ["l_linestatus", "l_returnflag"], "label", "score")
+    return area.withColumn("area", F.round("area", 9))
+
+
+@query(
+    "m14_pr_points",
+    """with p as (select n_nationkey as state, l_extendedprice as threshold, count(*) as n, count(*) filter (l_returnflag = 'R') as hits
+      from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey group by all)
+    select state, threshold, n, hits, sum(hits) over w / cast(sum(n) over w as double) as precision,
+      sum(hits) over w / cast(nullif(sum(hits) over (partition by state), 0) as double) as recall
+    from p window w as (partition by state order by threshold desc)""",
+)
+def pr_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Precision and recall at every price, suppliers' nations as states."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_extendedprice", "l_returnflag")
+    nations = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("state"))
+    scored = lookup(lines, nations, ["l_suppkey"], ["l_extendedprice"], "inner").withColumn("label", (F.col("l_returnflag") == "R").cast("int"))
+    return models.precision_recall_points(scored, ["state"], "label", "l_extendedprice").drop("all_hits")
+
+
 @query(
     "e1_outcomes",
     f"""with r as ({ORDER_ROWS}), k as (
@@ -141,13 +220,23 @@ def history_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "e2_template_outcomes",
-    """select 'sheet ' || cast(c_nationkey % 5 as varchar) as sheet, 'AC ' || cast(c_nationkey as varchar) as constituency,
-      count(*) as n_rows, 1::bigint as n_winners from customer group by 1, 2""",
-)
+_TEMPLATE_WINNERS = """select 'sheet ' || cast(c_nationkey % 5 as varchar) as sheet, 'AC ' || cast(c_nationkey as varchar) as constituency,
+    count(*) as n_rows, 1::bigint as n_winners from customer group by 1, 2"""
+
+
+@query("e2_template_outcomes", _TEMPLATE_WINNERS)
 def template_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole template workflow: history from the orders, template rows from the customers, five sheets."""
+    return winners_of_the_template(spark, sf_dir, **SMALL)
+
+
+@query("e2_full_preset", _TEMPLATE_WINNERS)
+def full_preset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The template workflow with the whole published preset: 150 trees of depth 5."""
+    return winners_of_the_template(spark, sf_dir)
+
+
+def winners_of_the_template(spark: SparkSession, sf_dir: str, **changes: object) -> DataFrame:
     body = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("book "), (F.col("c_nationkey") % 5).cast("string")).alias("source"),
         F.concat(F.lit("sheet "), (F.col("c_nationkey") % 5).cast("string")).alias("sheet"),
@@ -162,7 +251,7 @@ def template_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = union_sources([body, heads])
     sheets = [f"sheet {i}" for i in range(5)] + ["Absent"]
     future = template.template_records(grid, sheets)
-    predicted = template.predict_template(history.labelled_results(order_grid(spark, sf_dir)), future, **SMALL)
+    predicted = template.predict_template(history.labelled_results(order_grid(spark, sf_dir)), future, **changes)
     filled = template.filled_template(grid, predicted)
     body_rows = filled.where(F.col("row_idx") > 0)
     return body_rows.groupBy("sheet", F.get("cells", F.lit(1)).alias("constituency")).agg(

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from itertools import product
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.pipeline import Pipeline
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.util import inheritable_thread_target
 
+from hustings.operators.ordering import running_totals
 from hustings.session import fresh_path, materialise, shared_folder
 
 # The three published parameter sets.  ``maxBins`` is ours: codes of hundreds of constituencies need
@@ -159,6 +163,79 @@ def tune(
     return compare_models(rows, rivals, label, folds, parallelism).withColumnRenamed("model", "settings")
 
 
+def select_model(
+    rows: DataFrame,
+    estimator: Estimator,
+    grid: list[dict[str, object]],
+    label: str,
+    folds: int = 5,
+    parallelism: int = 1,
+) -> tuple[Model, DataFrame]:
+    """The best setting fitted on all of ``rows`` (usually one state), and what every setting achieved.
+
+    The table has ``settings, mean_accuracy, deviation`` (of the folds, as of a whole population) and ``chosen``: the highest
+    mean, the first in the grid on a tie.  ``rows`` needs ``features`` and ``fold``.  Settings are parameter names of
+    ``estimator`` with values.
+    """
+    shared_folder(rows.sparkSession)
+    maps = [{estimator.getParam(k): v for k, v in changes.items()} for changes in grid]
+    judge = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
+    search = CrossValidator(
+        estimator=estimator,
+        estimatorParamMaps=maps,
+        evaluator=judge,
+        numFolds=folds,
+        foldCol="fold",
+        parallelism=parallelism,
+    )
+    found = search.fit(rows.withColumn(label, F.col(label).cast("double")))
+    named = [", ".join(f"{k}={v}" for k, v in changes.items()) for changes in grid]
+    best = max(range(len(grid)), key=lambda i: (found.avgMetrics[i], -i))
+    table = [(n, float(m), float(d), i == best) for i, (n, m, d) in enumerate(zip(named, found.avgMetrics, found.stdMetrics))]
+    ddl = "settings string, mean_accuracy double, deviation double, chosen boolean"
+    return found.bestModel, rows.sparkSession.createDataFrame(table, ddl)
+
+
+def parameter_grid(**values: list[object]) -> list[dict[str, object]]:
+    """Every combination of the listed values, the last name changing fastest."""
+    return [dict(zip(values, chosen)) for chosen in product(*values.values())]
+
+
+def precision_recall_points(scored: DataFrame, by: list[str], label: str = "label", score: str = "p_win") -> DataFrame:
+    """Per group and distinct score: ``threshold, n, hits`` and exact ``precision`` and ``recall`` when all rows that score at
+    least as much are taken.
+
+    Rows without a score or a label are left out; recall is null where a group has no positive row.  A group of any size is
+    summed up in ranges of its scores.
+    """
+    known = scored.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")) & F.col(label).isNotNull())
+    value = F.col(score).cast("double")
+    # Null groups are groups too; 0.0 and -0.0 are one score.
+    points = known.groupBy(*by, (value + F.lit(0.0)).alias("threshold")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("bigint")).alias("hits")
+    )
+    summed = running_totals(points, by, [-F.col("threshold")], ["n", "hits"])
+    taken, right = F.col("n") + F.col("before_n"), F.col("hits") + F.col("before_hits")
+    return summed.select(
+        *by,
+        "threshold",
+        "n",
+        "hits",
+        (right / taken).alias("precision"),
+        F.try_divide(right.cast("double"), F.col("all_hits").cast("double")).alias("recall"),
+        "all_hits",
+    )
+
+
+def precision_recall_area(scored: DataFrame, by: list[str], label: str = "label", score: str = "p_win") -> DataFrame:
+    """Per group ``n_rows, n_hits`` and ``area``, the exact average precision over all distinct scores; null without hits."""
+    points = precision_recall_points(scored, by, label, score)
+    share = F.try_divide(F.col("hits").cast("double"), F.col("all_hits").cast("double"))
+    return points.groupBy(*by).agg(
+        F.sum("n").alias("n_rows"), F.sum("hits").alias("n_hits"), F.sum(F.col("precision") * share).alias("area")
+    )
+
+
 def precision_recall(scored: DataFrame, by: list[str], label: str = "label", steps: int = 20) -> DataFrame:
     """Precision and recall per group at score thresholds 0, 1/steps, …; counts per step are summed from the top."""
     step = F.least(F.floor(F.col("p_win") * steps), F.lit(steps - 1)).cast("int")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from hustings.operators.skew import spread_join
 from hustings.session import materialise
 
 
@@ -35,6 +36,37 @@ def positions(keyed: DataFrame, key: str, weight: Column | None = None, ranges:
     )
 
 
+def running_totals(df: DataFrame, group: list[str], order: list[Column], sums: list[str]) -> DataFrame:
+    """Add ``before_x`` and ``all_x`` for every ``x`` in ``sums``: the total of ``x``, a whole number, over the rows of the same
+    group that come earlier in ``order``, and over the whole group.
+
+    The order is strict within a group; nulls make a group like any value.  Rows are cut into ranges of group and order, so
+    a group of any size is summed by many tasks: the totals of lower ranges plus those within the own range, less what lies
+    before the group.
+    """
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.struct(*group, *[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    ranged = materialise(df.withColumn("_key", key).repartitionByRange(ranges, "_key").withColumn("_range", F.spark_partition_id()))
+    # One row per range.
+    totals = ranged.groupBy("_range").agg(*[F.sum(x).alias(f"_total_{x}") for x in sums])
+    lower = W.orderBy("_range")
+    starts = totals.select("_range", *[(F.sum(f"_total_{x}").over(lower) - F.col(f"_total_{x}")).alias(f"_start_{x}") for x in sums])
+    inside = W.partitionBy("_range").orderBy("_key").rowsBetween(W.unboundedPreceding, 0)
+    placed = ranged.join(F.broadcast(starts), "_range").withColumns(
+        {f"_before_{x}": F.col(f"_start_{x}") + F.sum(x).over(inside) - F.col(x) for x in sums}
+    )
+    keyed = placed.withColumn("_group", F.to_json(F.struct(*group), {"ignoreNullFields": "false"}) if group else F.lit(""))
+    facts = keyed.groupBy("_group").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.min(f"_before_{x}").alias(f"_first_{x}") for x in sums],
+        *[F.sum(x).alias(f"all_{x}") for x in sums],
+    )
+    joined = spread_join(keyed, facts, ["_group"], ["_key"], "inner")
+    return joined.select(
+        *df.columns, *[(F.col(f"_before_{x}") - F.col(f"_first_{x}")).alias(f"before_{x}") for x in sums], *[f"all_{x}" for x in sums]
+    )
+
+
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row with the exact median of the known values of ``column``, as ``median``.
 

@@ -162,3 +162,49 @@ def test_command_line(spark, tmp_path, monkeypatch, capsys):
     assert "accuracy" in capsys.readouterr().out
     written = spark.read.parquet(str(tmp_path / "out"))
     assert written.count() == 60 and written.where("outcome = 'WIN'").count() == 4
+
+
+def test_the_chosen_model_is_fitted_on_all_rows(rows):
+    grid = models.parameter_grid(maxDepth=[1, 3], stepSize=[0.05, 0.1])
+    assert grid == [{"maxDepth": d, "stepSize": s} for d in (1, 3) for s in (0.05, 0.1)]
+    best, table = models.select_model(rows, models.boosted_trees("history", maxIter=2), grid, "label", parallelism=4)
+    found = {r.settings: r for r in table.collect()}
+    assert list(found) == [f"maxDepth={d}, stepSize={s}" for d in (1, 3) for s in (0.05, 0.1)]
+    chosen = [r for r in found.values() if r.chosen]
+    assert len(chosen) == 1 and chosen[0].mean_accuracy == max(r.mean_accuracy for r in found.values())
+    assert chosen[0].settings == f"maxDepth={best.getOrDefault('maxDepth')}, stepSize={best.getOrDefault('stepSize')}"
+    again = models.fit(rows, models.boosted_trees("history", maxIter=2, maxDepth=best.getOrDefault("maxDepth"), stepSize=best.getOrDefault("stepSize")))
+    assert [r.p_win for r in models.score(best, rows).orderBy("i").collect()] == [r.p_win for r in models.score(again, rows).orderBy("i").collect()]
+    assert all(r.deviation >= 0 for r in found.values())
+
+
+def average_precision(pairs):
+    """Over distinct scores from the top, by definition."""
+    area, taken, right, hits = 0.0, 0, 0, sum(h for _, h in pairs)
+    for score in sorted({s for s, _ in pairs}, reverse=True):
+        here = [h for s, h in pairs if s == score]
+        taken, right = taken + len(here), right + sum(here)
+        area += right / taken * sum(here) / hits if hits else 0
+    return area if hits else None
+
+
+def test_exact_precision_recall(frame):
+    draw = random.Random(9)
+    data = [(draw.choice(["big", "big", "big", "a", None, "none"]), round(draw.random(), draw.choice([1, 2, 5])), int(draw.random() < 0.4)) for _ in range(3000)]
+    data = [(s, x, 0 if s == "none" else h) for s, x, h in data] + [("a", 0.0, 1), ("a", -0.0, 0)]
+    rows = data + [("a", None, 1), ("a", float("nan"), 1), ("a", 0.5, None), ("gone", None, 1)]
+    df = frame(rows, "state string, p_win double, label int")
+    got = {r.state: r for r in models.precision_recall_area(df, ["state"]).collect()}
+    assert set(got) == {"big", "a", None, "none"}
+    for state, r in got.items():
+        own = [(x, h) for s, x, h in data if s == state]
+        assert (r.n_rows, r.n_hits) == (len(own), sum(h for _, h in own))
+        want = average_precision(own)
+        assert r.area == (want if want is None else pytest.approx(want, abs=1e-9))
+    for r in models.precision_recall_points(df, ["state"]).collect():
+        taken = [h for s, x, h in data if s == r.state and x >= r.threshold]
+        assert r.precision == sum(taken) / len(taken)
+        assert r.recall is None if r.state == "none" else r.recall == sum(taken) / got[r.state].n_hits
+    whole = models.precision_recall_area(df, []).collect()
+    assert len(whole) == 1 and whole[0].area == pytest.approx(average_precision([(x, h) for _, x, h in data]), abs=1e-9)
+    assert models.precision_recall_area(df.limit(0), ["state"]).collect() == []
