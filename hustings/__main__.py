@@ -5,23 +5,32 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import SparkSession
 
 from hustings.operators.models import mean_accuracy
 from hustings.plans import contest, history, template, web
-from hustings.sources.pages import pages_without_table
+from hustings.plans.outcome import Outcome
+from hustings.sources.sinks import check_target
 
 
-def report(folds: DataFrame) -> None:
-    """Accuracy per fold and their mean."""
-    folds.show()
-    mean_accuracy(folds).show()
+def report(outcome: Outcome) -> None:
+    """Everything a workflow has to tell: what was read and left out, class balance, accuracy per fold and its mean, splits."""
+    if outcome.counts:
+        print(", ".join(f"{n} {what}" for what, n in outcome.counts.items()))
+    outcome.left_out.show(truncate=False)
+    for told in (outcome.balance, outcome.accuracy, outcome.accuracy if outcome.accuracy is None else mean_accuracy(outcome.accuracy), outcome.splits):
+        if told is not None:
+            told.show()
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(prog="hustings")
     parser.add_argument("--kind", choices=["xlsx", "csv"], default="xlsx", help="kind of result files")
     parser.add_argument("--mode", choices=["threshold", "argmax"], default="threshold", help="how outcomes are set")
+    parser.add_argument("--overwrite", action="store_true", help="replace what an earlier run has written")
+    parser.add_argument("--save-model", metavar="DIR", help="keep the fitted pipeline")
+    parser.add_argument("--load-model", metavar="DIR", help="use a kept pipeline instead of fitting one")
     commands = parser.add_subparsers(dest="command", required=True)
     for name, arguments in {"history": ["data", "out"], "template": ["data", "template", "out"], "web": ["pages", "out"], "contest": ["tables", "out"]}.items():
         command = commands.add_parser(name)
@@ -29,17 +38,21 @@ def main() -> None:
             command.add_argument(argument)
     args = parser.parse_args()
     spark = SparkSession.builder.appName("hustings").getOrCreate()
+    if args.command == "contest":
+        contest.run(spark, args.tables, args.out, overwrite=args.overwrite).show()
+        return
+    if args.save_model:
+        check_target(spark, args.save_model)
+    given = {"overwrite": args.overwrite, "model": PipelineModel.load(args.load_model) if args.load_model else None}
     if args.command == "history":
-        report(history.run(spark, args.data, args.out, args.kind, args.mode))
-        history.left_out(spark, args.data, args.kind).show(truncate=False)
+        outcome = history.process(spark, args.data, args.out, args.kind, args.mode, **given)
     elif args.command == "template":
-        template.run(spark, args.data, args.template, args.out, args.kind)
-    elif args.command == "web":
-        pages = spark.read.parquet(args.pages)
-        report(web.run(pages, args.out, args.mode))
-        pages_without_table(pages).show(truncate=False)
+        outcome = template.process(spark, args.data, args.template, args.out, args.kind, **given)
     else:
-        contest.run(spark, args.tables, args.out).show()
+        outcome = web.process(spark.read.parquet(args.pages), args.out, args.mode, **given)
+    if args.save_model:
+        outcome.model.save(args.save_model)
+    report(outcome)
 
 
 if __name__ == "__main__":

@@ -27,7 +27,7 @@ from hustings.sources.grids import (
     union_sources,
 )
 from hustings.sources.pages import elements
-from hustings.sources.sinks import OUTCOME_TITLE, fill_template
+from hustings.sources.sinks import OUTCOME_TITLE, check_target, fill_template, write_by_state, write_submission
 
 TITLES = ["STATE/UT NAME", "AC NO.", "AC NAME", "CANDIDATE NAME", "PARTY", "TOTAL"]
 
@@ -343,3 +343,43 @@ def template_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     filled = fill_template(materialise(union_sources([body, heads])), outcomes)
     return filled.select("sheet", F.array_join("cells", "|").alias("line"))
+
+
+def submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("state "), F.col("c_nationkey").cast("string")).alias("state"),
+        F.col("c_mktsegment").alias("constituency"),
+        F.concat("c_name", F.lit(', "'), "c_mktsegment", F.lit('"')).alias("candidate"),
+        F.when(F.col("c_acctbal") > 5000, "WIN").otherwise("LOSS").alias("outcome"),
+        "c_custkey",
+    )
+
+
+@query(
+    "s11_submission",
+    """select 'state ' || c_nationkey as state, c_mktsegment as constituency, c_name || ', "' || c_mktsegment || '"' as candidate,
+      case when c_acctbal > 5000 then 'WIN' else 'LOSS' end as outcome from customer where c_nationkey > 3""",
+)
+def flat_submission(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat submission written, replaced by a second run and read back; columns that do not belong to it are not written."""
+    rows, path = submission(spark, sf_dir), fresh_path(spark, "submission")
+    write_submission(rows, path, "csv", check_target(spark, path))
+    again = rows.where(F.substring_index("state", " ", -1).cast("int") > 3)
+    write_submission(again, path, "csv", check_target(spark, path, True))
+    return spark.read.option("header", True).option("escape", '"').csv(path)
+
+
+@query(
+    "s12_states_replaced",
+    """select 'state ' || c_nationkey as state, c_custkey, case when c_nationkey % 3 = 0 then 'LOSS'
+      when c_acctbal > 5000 then 'WIN' else 'LOSS' end as outcome, c_nationkey % 3 = 0 as replaced from customer
+    where c_nationkey % 3 <> 0 or c_mktsegment <> 'BUILDING'""",
+)
+def states_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder per state; the second run holds every third state, with other outcomes and fewer rows, and replaces only these."""
+    rows, path = submission(spark, sf_dir).withColumn("replaced", F.lit(False)), fresh_path(spark, "states")
+    write_by_state(rows, path, ["c_custkey"], fmt="parquet", mode=check_target(spark, path))
+    again = rows.where((F.substring_index("state", " ", -1).cast("int") % 3 == 0) & (F.col("constituency") != "BUILDING"))
+    again = again.withColumns({"outcome": F.lit("LOSS"), "replaced": F.lit(True)})
+    write_by_state(again, path, ["c_custkey"], fmt="parquet", mode=check_target(spark, path, True))
+    return spark.read.parquet(path).select("state", "c_custkey", "outcome", "replaced")

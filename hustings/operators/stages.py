@@ -21,6 +21,9 @@ from hustings.operators.ordering import exact_median
 from hustings.operators.winners import pick_winners
 from hustings.session import materialise
 
+# Where the trees stand in a prediction pipeline, from its end.
+TREES = -2
+
 
 def text_list(name: str, doc: str) -> Param:
     return Param(Params._dummy(), name, doc, TypeConverters.toListString)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hustings.operators import rules, scoring
 from hustings.operators.skew import spread_join
 from hustings.session import materialise
+from hustings.sources.sinks import check_target
 
 
 @dataclass
@@ -65,9 +66,12 @@ def read_contest(spark: SparkSession, folder: str) -> Contest:
     return Contest(**{f.name: spark.read.parquet(f"{folder}/{f.name}") for f in fields(Contest)})
 
 
-def run(spark: SparkSession, folder: str, out: str, as_of: Column | None = None, **period: object) -> DataFrame:
-    """Tables to the published leaderboard in ``out``."""
+def run(
+    spark: SparkSession, folder: str, out: str, as_of: Column | None = None, overwrite: bool = False, **period: object
+) -> DataFrame:
+    """Tables to the published leaderboard in ``out``, which is checked first."""
+    mode = check_target(spark, out, overwrite)
     contest = read_contest(spark, folder)
     board = materialise(published(contest, ranking(contest, as_of, **period)))
-    board.write.parquet(out)
+    board.write.mode(mode).parquet(out)
     return board.orderBy("rank", "entry_id")

@@ -12,7 +12,8 @@ from hustings.operators.encoding import SafeEncoder
 from hustings.operators.features import RESULT_FEATURES
 from hustings.operators.models import boosted_trees, fit
 from hustings.operators.stages import MajorFlag, Outcomes, TidyKeys, prediction_pipeline
-from hustings.plans.history import CODES, labelled_results
+from hustings.plans.history import CODES, read_results
+from hustings.plans.outcome import Outcome
 from hustings.session import materialise
 from hustings.sources.grids import (
     FALLBACK_HEADER,
@@ -22,19 +23,37 @@ from hustings.sources.grids import (
     TEMPLATE_SHEETS,
     exact_places,
     promote,
-    read_folder,
+    read_files,
+    rejected,
     select_sheets,
 )
-from hustings.sources.sinks import OUTCOME_TITLE, fill_template, outcome_places, write_by_state, write_grid
+from hustings.sources.sinks import OUTCOME_TITLE, check_target, fill_template, outcome_places, write_by_state, write_grid
 
 
-def template_records(grid: DataFrame, sheets: list[str] | None = None) -> DataFrame:
-    """Candidates to predict.  A sheet's header is the row naming the outcome column, else its first row."""
-    chosen = select_sheets(grid, TEMPLATE_SHEETS if sheets is None else sheets)
+def template_sheets(grid: DataFrame, sheets: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Candidates to predict, and the sheets that give none with the reason: ``source, sheet, reason``.
+
+    A sheet's header is the row naming the outcome column, else its first row.  Sheets without a constituency column have
+    nothing to predict; a wanted sheet that is nowhere in the file is named too, without a source.
+    """
+    wanted = TEMPLATE_SHEETS if sheets is None else sheets
+    chosen = select_sheets(grid, wanted)
     places = outcome_places(chosen, OUTCOME_TITLE)
     header_rows = chosen.select(*ROW_KEY, F.col("cells").alias("header"))
-    headers = places.withColumnRenamed("outcome_row", "row_idx").join(header_rows, ROW_KEY)
-    return promote(chosen, headers.withColumnRenamed("row_idx", "header_idx"), exact_places(TEMPLATE_COLUMNS))
+    headers = places.withColumnRenamed("outcome_row", "row_idx").join(header_rows, ROW_KEY, "left")
+    headers = headers.withColumnRenamed("row_idx", "header_idx")
+    columns = exact_places(TEMPLATE_COLUMNS)
+    known = headers.where(F.col("header").isNotNull())
+    lacking = rejected(headers.withColumn("header_idx", F.when(F.col("header").isNotNull(), F.col("header_idx"))), columns, ["constituency"])
+    named = grid.sparkSession.createDataFrame([(s,) for s in wanted], "sheet string")
+    absent = named.join(F.broadcast(places.select("sheet").distinct()), "sheet", "left_anti")
+    absent = absent.select(F.lit(None).cast("string").alias("source"), "sheet", F.lit("no such sheet").alias("reason"))
+    return promote(chosen, known, columns), lacking.unionByName(absent)
+
+
+def template_records(grid: DataFrame, sheets: list[str] | None = None) -> DataFrame:
+    """Candidates to predict."""
+    return template_sheets(grid, sheets)[0]
 
 
 def predict_template(
@@ -111,21 +130,44 @@ def full_rows(filled: DataFrame, places: DataFrame) -> DataFrame:
     return below.select("sheet", "row_idx", *named)
 
 
-def run(
-    spark: SparkSession, folder: str, template: str, out: str, kind: str = "xlsx", sheets: list[str] | None = None, **changes: object
-) -> DataFrame:
+def process(
+    spark: SparkSession,
+    folder: str | None,
+    template: str,
+    out: str,
+    kind: str = "xlsx",
+    sheets: list[str] | None = None,
+    overwrite: bool = False,
+    model: PipelineModel | None = None,
+    **changes: object,
+) -> Outcome:
     """Result files and a template file to the whole template rows by state (``out/states``, the outcome in its column)
     and the filled template (``out/filled``).
 
     A file without a header row is read with the usual header position, and only the exact no-candidate text is left out.
+    The targets are checked before anything is read; with ``overwrite`` the states in the template are replaced and other
+    states' folders stay.  With a kept ``model`` no results are read and nothing is fitted.
     """
-    labelled = labelled_results(read_folder(spark, folder, kind), broad=False, fallback=FALLBACK_HEADER)
-    grid = select_sheets(
-        read_folder(spark, template, kind, glob="*", without_part=None), TEMPLATE_SHEETS if sheets is None else sheets
-    )
-    grid = materialise(grid)
-    predicted = materialise(predict_template(labelled, template_records(grid, sheets), **changes))
+    states_mode, filled_mode = (check_target(spark, f"{out}/{part}", overwrite) for part in ("states", "filled"))
+    read = read_files(spark, template, kind, glob="*", without_part=None)
+    grid = materialise(select_sheets(read.grid, TEMPLATE_SHEETS if sheets is None else sheets))
+    records, lacking = template_sheets(grid, sheets)
+    reasons, counts = lacking.unionByName(read.problems), read.counts
+    if model is None:
+        labelled, others, counts = read_results(spark, folder, kind, broad=False, fallback=FALLBACK_HEADER)
+        reasons = reasons.unionByName(others)
+        model, records = fit_pipeline(labelled, records, **changes)
+    predicted = materialise(predict(model, records))
     filled = materialise(filled_template(grid, predicted))
-    write_by_state(full_rows(filled, outcome_places(grid)), f"{out}/states", ["row_idx"], state="sheet", working=["sheet", "row_idx"])
-    write_grid(filled, f"{out}/filled")
-    return predicted
+    write_by_state(
+        full_rows(filled, outcome_places(grid)), f"{out}/states", ["row_idx"], state="sheet", working=["sheet", "row_idx"], mode=states_mode
+    )
+    write_grid(filled, f"{out}/filled", filled_mode)
+    return Outcome(predicted, materialise(reasons), model=model, counts=counts)
+
+
+def run(
+    spark: SparkSession, folder: str, template: str, out: str, kind: str = "xlsx", sheets: list[str] | None = None, **changes: object
+) -> DataFrame:
+    """Result files and a template file to the predicted rows; see :func:`process`."""
+    return process(spark, folder, template, out, kind, sheets, **changes).predicted

@@ -10,14 +10,24 @@ from hustings.functions.text import MAJOR_PARTIES_WEB
 from hustings.operators.cleaning import clean_candidates
 from hustings.operators.encoding import closed_encoder, encode_closed
 from hustings.operators.features import WEB_FEATURES, add_web_flags, proxy_label
-from hustings.operators.models import boosted_trees, cross_validate, fit, fold_accuracy, outcome_label, score, training_rows
+from hustings.operators.models import (
+    boosted_trees,
+    cross_validate,
+    fit,
+    fold_accuracy,
+    outcome_label,
+    score,
+    split_counts,
+    training_rows,
+)
 from hustings.operators.ordering import balanced_folds
-from hustings.operators.stages import CleanCandidates, MajorFlag, Outcomes, StandInLabel, prediction_pipeline
+from hustings.operators.stages import TREES, CleanCandidates, MajorFlag, Outcomes, StandInLabel, prediction_pipeline
 from hustings.operators.winners import pick_winners
-from hustings.sources.grids import source_state
-from hustings.sources.pages import page_candidates
-from hustings.sources.sinks import write_submission
+from hustings.plans.outcome import Outcome, class_balance
 from hustings.session import materialise
+from hustings.sources.grids import source_state
+from hustings.sources.pages import candidate_rows, page_candidates, page_tables, tables_lacking
+from hustings.sources.sinks import check_target, write_submission
 
 ROW = ["source", "page", "row_idx"]
 CODES = {"party": "party_code", "education": "edu_code", "constituency": "const_code", "state": "state_code"}
@@ -68,9 +78,36 @@ def fit_pipeline(candidates: DataFrame, mode: str = "threshold", **changes: obje
     return fit(materialise(candidates), pipeline(mode, **changes))
 
 
+def read_candidates(pages: DataFrame, source: str = "source", html: str = "html") -> tuple[DataFrame, DataFrame]:
+    """Candidate records and the pages without a candidate table, from one reading of the pages."""
+    tables = materialise(page_tables(pages, source, html))
+    return candidate_rows(tables).withColumn("state", source_state(F.col("source"))), tables_lacking(tables)
+
+
+def process(
+    pages: DataFrame, out: str, mode: str = "threshold", overwrite: bool = False, model: PipelineModel | None = None, **changes: object
+) -> Outcome:
+    """Stored pages (``source, html``) to a submission in ``out``; the target is checked first and the pages are read once.
+
+    With a kept ``model`` nothing is fitted or validated.
+    """
+    spark = pages.sparkSession
+    write_mode = check_target(spark, out, overwrite)
+    candidates, reasons = read_candidates(pages)
+    candidates = materialise(candidates)
+    if model is not None:
+        predicted = materialise(model.transform(candidates))
+        write_submission(predicted, out, mode=write_mode)
+        return Outcome(predicted, reasons, model=model)
+    rows = training_table(candidates)
+    accuracy = materialise(validate(rows, **changes))
+    fitted = fit(candidates, pipeline(mode, **changes))
+    predicted = materialise(fitted.transform(candidates))
+    write_submission(predicted, out, mode=write_mode)
+    splits = materialise(split_counts(fitted.stages[TREES], spark, WEB_FEATURES))
+    return Outcome(predicted, reasons, accuracy, class_balance(rows, "proxy"), splits, fitted)
+
+
 def run(pages: DataFrame, out: str, mode: str = "threshold", **changes: object) -> DataFrame:
     """Stored pages (``source, html``) to a submission in ``out``; gives the accuracy per fold."""
-    rows = training_table(candidates_from_pages(pages))
-    accuracy = validate(rows, **changes)
-    write_submission(outcomes(rows, mode, **changes), out)
-    return accuracy
+    return process(pages, out, mode, **changes).accuracy

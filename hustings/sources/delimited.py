@@ -49,7 +49,8 @@ def numbered_lines(lines: DataFrame) -> DataFrame:
     before = F.sum("_lines").over(W.partitionBy("source").orderBy("_split")) - F.col("_lines")
     starts = splits.withColumn("_start", before).withColumnRenamed("_lines", "_n")
     placed = lookup(lines, starts, SPLIT, ["_seq"], "inner")
-    return placed.select("source", (F.col("_start") + F.col("_seq") - F.col("_first")).alias("row_idx"), "value")
+    number = (F.col("_start") + F.col("_seq") - F.col("_first")).alias("row_idx")
+    return placed.select("source", number, "value", F.lit(False).alias("loose"))
 
 
 def split_states(marked: DataFrame) -> DataFrame:
@@ -116,28 +117,28 @@ def joined_records(lines: DataFrame) -> DataFrame:
         loose.alias("loose"),
         (which("in") | F.coalesce(which("_then"), F.col("_next"), F.lit(False))).alias("several"),
     )
-    alone = rows.where("not loose and not several").select("source", F.col("record").alias("row_idx"), "value")
+    alone = rows.where("not loose and not several").select("source", F.col("record").alias("row_idx"), "value", "loose")
     pieces = F.array_sort(F.collect_list(F.struct("line", "value")))
     together = (
         rows.where("several and not loose")
         .groupBy("source", F.col("record").alias("row_idx"))
-        .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("value"))
+        .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("value"), F.lit(False).alias("loose"))
     )
     unclosed = rows.where("loose")
     begins = unclosed.groupBy("source").agg(F.min("line").alias("_begin"), F.count(F.lit(1)).alias("_n"))
     singly = lookup(unclosed, begins, ["source"], ["line"], "inner").select(
-        "source", (F.col("record") + F.col("line") - F.col("_begin")).alias("row_idx"), "value"
+        "source", (F.col("record") + F.col("line") - F.col("_begin")).alias("row_idx"), "value", "loose"
     )
     return alone.unionByName(together).unionByName(singly)
 
 
 def records(lines: DataFrame) -> DataFrame:
-    """``source, row_idx, value``, one row per record, from a written table of lines.
+    """``source, row_idx, value, loose``, one row per record, from a written table of lines.
 
     ``lines`` is ``source, _split, _seq, value, open0, open1``: where the split begins, an order within it, and whether a
     quoted cell is open after the line, had it begun outside or inside one.  Only files in which a cell is left open by some
     line go through more than numbering.  Line breaks within a record become ``\\n``.  A quote that is never closed joins
-    nothing: from its record on every line of the file is a record of its own.
+    nothing: from its record on every line of the file is a record of its own, and ``loose``.
     """
     torn = lines.where("open0").groupBy("source").agg(F.count(F.lit(1)).alias("torn"))
     if torn.isEmpty():

@@ -6,9 +6,10 @@ DataFrame; nothing here loops over files.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -70,7 +71,7 @@ def split_cells(line: Column, separator: str = ",") -> Column:
     )
 
 
-def read_delimited(
+def delimited_rows(
     spark: SparkSession,
     path: str,
     glob: str = "*.csv",
@@ -78,10 +79,11 @@ def read_delimited(
     without_prefix: str | None = "~$",
     without_part: str | None = "Template",
 ) -> DataFrame:
-    """Delimited files as a grid, ``row_idx`` being the record's number within the file and ``source`` its whole path.
+    """The grid of delimited files with ``reason``, what is wrong with a row's file from that row on, and ``is_row``.
 
-    Files are read in splits, however large, in one pass that writes the lines with their split.  A record is a line, or
-    several where a quoted cell spans them; see :func:`hustings.sources.delimited.records`.
+    ``row_idx`` is the record's number within the file and ``source`` its whole path.  Files are read in splits, however large,
+    in one pass that writes the lines with their split.  A record is a line, or several where a quoted cell spans them; see
+    :func:`hustings.sources.delimited.records`.
     """
     tagged = file_filter(
         spark.read.option("pathGlobFilter", glob).text(path).select("value", "_metadata"), without_prefix, without_part
@@ -98,9 +100,41 @@ def read_delimited(
         F.regexp_replace(file_name(F.col("source")), r"\.[^.]*$", "").alias("sheet"),
         "row_idx",
         F.transform(split_cells(F.col("value"), separator), missing_to_null).alias("cells"),
+        F.when(F.col("loose"), F.lit("a quote is never closed")).alias("reason"),
+        F.lit(True).alias("is_row"),
     )
 
 
+def read_delimited(spark: SparkSession, path: str, **files: str | None) -> DataFrame:
+    """Delimited files as a grid; ``files`` are the settings of :func:`delimited_rows`."""
+    return delimited_rows(spark, path, **files).select(GRID)
+
+
+@dataclass
+class ReadFiles:
+    """What one reading of a folder gives: the ``grid``, the ``problems`` (``source, sheet, reason``) and the observed
+    ``counts`` of rows and of rows with a problem.  Both tables are views of one written table."""
+
+    grid: DataFrame
+    problems: DataFrame
+    counts: dict[str, int]
+
+
+def read_files(spark: SparkSession, path: str, kind: str = "xlsx", **files: str | None) -> ReadFiles:
+    """A folder of workbooks (``xlsx``) or delimited files (``csv``), every file opened once."""
+    if kind == "xlsx":
+        from hustings.sources.workbooks import unpacked_workbooks, workbook_rows
+
+        rows = workbook_rows(unpacked_workbooks(spark, path, **files))
+    else:
+        rows = delimited_rows(spark, path, **files)
+    seen = Observation()
+    counted = rows.observe(seen, F.count_if("is_row").alias("rows"), F.count("reason").alias("problems"))
+    written = materialise(counted)
+    problems = written.where(F.col("reason").isNotNull()).select(*SHEET_KEY, "reason").distinct()
+    return ReadFiles(written.where("is_row").select(GRID), problems, dict(seen.get))
+
+
 def select_sheets(grid: DataFrame, sheets: list[str]) -> DataFrame:
     """The named sheets; a name that does not occur adds nothing."""
     return grid.where(F.col("sheet").isin(sheets))
@@ -172,8 +206,8 @@ def exact_places(columns: dict[str, list[str]]) -> dict[str, Column]:
     return {name: exact_position(titles) for name, titles in columns.items()}
 
 
-def result_records(grid: DataFrame, fallback: int | None = None, strict: bool = False) -> DataFrame:
-    """Result sheets as records under their standard names.
+def result_sheets(grid: DataFrame, fallback: int | None = None, strict: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Result sheets as records under their standard names, and the sheets left out with the reason.
 
     Sheets lacking one of the columns are left out.  With a ``fallback`` header row the constituency name alone is
     required and other absent columns are null.
@@ -182,7 +216,13 @@ def result_records(grid: DataFrame, fallback: int | None = None, strict: bool =
     if strict:
         headers = require_headers(headers)
     required = list(RESULT_COLUMNS) if fallback is None else ["constituency"]
-    return promote(grid, headers, exact_places(RESULT_COLUMNS), required)
+    places = exact_places(RESULT_COLUMNS)
+    return promote(grid, headers, places, required), rejected(headers, places, required)
+
+
+def result_records(grid: DataFrame, fallback: int | None = None, strict: bool = False) -> DataFrame:
+    """The records of :func:`result_sheets`."""
+    return result_sheets(grid, fallback, strict)[0]
 
 
 def read_folder(spark: SparkSession, path: str, kind: str = "xlsx", **files: str | None) -> DataFrame:

@@ -72,15 +72,21 @@ def standard_name(title: Column) -> Column:
 
 
 def page_tables(pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID) -> DataFrame:
-    """One row per page: ``source``, a ``page`` key, the ``header`` titles and the markup of the table's ``rows``."""
+    """One row per page: ``source``, a ``page`` key, the ``header`` titles and the markup of the table's ``rows``; ``lacking``
+    tells that the page has no such table.
+
+    A page is its source and its text: a page that a source holds several times counts once, so that source, page and row
+    tell all rows apart.
+    """
     tables = pages.select(
         F.col(source).alias("source"), F.md5(F.col(html)).alias("page"), table_markup(F.col(html), table_id).alias("_table")
-    )
+    ).dropDuplicates(["source", "page"])
     return tables.select(
         "source",
         "page",
         F.transform(open_elements(F.col("_table"), "th", ["th", "td", "tr", "/tr"]), plain_text).alias("header"),
         open_elements(F.col("_table"), "tr", ["tr"]).alias("rows"),
+        (F.col("_table") == "").alias("lacking"),
     )
 
 
@@ -102,20 +108,28 @@ def page_rows(pages: DataFrame, source: str = "source", html: str = "html", tabl
     return row_cells(page_tables(pages, source, html, table_id), ["source", "page", "header"])
 
 
-def page_candidates(
-    pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID
-) -> DataFrame:
-    """Candidate rows under standard column names, the first title that matches a name wins; null where none does.
-
-    Titles are read and matched once per page, before its rows are taken apart.
-    """
-    named = page_tables(pages, source, html, table_id).withColumn("_named", F.transform("header", standard_name))
+def candidate_rows(tables: DataFrame) -> DataFrame:
+    """Candidate rows of :func:`page_tables` under standard column names, the first title that matches a name wins; null where
+    none does.  Titles are matched once per page, before its rows are taken apart."""
+    named = tables.withColumn("_named", F.transform("header", standard_name))
     places = [F.array_position("_named", F.lit(n)).cast("int").alias(f"_at_{n}") for n in WEB_COLUMNS.values()]
     placed = named.select("source", "page", "rows", *places)
     found = row_cells(placed, ["source", "page", *[f"_at_{n}" for n in WEB_COLUMNS.values()]])
     return found.select("source", "page", "row_idx", *[F.get("cells", F.col(f"_at_{n}") - 1).alias(n) for n in WEB_COLUMNS.values()])
 
 
+def page_candidates(
+    pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID
+) -> DataFrame:
+    """Candidate rows of all pages under standard column names."""
+    return candidate_rows(page_tables(pages, source, html, table_id))
+
+
+def tables_lacking(tables: DataFrame) -> DataFrame:
+    """Pages of :func:`page_tables` that give no rows, with the reason: ``source, page, reason``."""
+    return tables.where("lacking").select("source", "page", F.lit("candidate table not found").alias("reason"))
+
+
 def pages_without_table(
     pages: DataFrame, source: str = "source", html: str = "html", table_id: str = TABLE_ID
 ) -> DataFrame:

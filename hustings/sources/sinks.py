@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -13,6 +13,8 @@ from hustings.session import materialise
 # The template's outcome column, the column used when no sheet row names it, the submission columns.
 OUTCOME_TITLE = "Predicted Outcome (W/L/O)"
 OUTCOME_COLUMN = 6
+# Quotes in delimited files are doubled, as spreadsheets read them.
+CSV = {"header": "true", "escape": '"'}
 SUBMISSION_COLUMNS = ["state", "constituency", "candidate", "party", "outcome"]
 
 
@@ -21,8 +23,18 @@ def project_existing(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[c for c in columns if c in df.columns])
 
 
+def check_target(spark: SparkSession, path: str, overwrite: bool = False) -> str:
+    """The write mode for ``path``; an error at once, before anything is read or fitted, if it exists and must not change."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if overwrite:
+        return "overwrite"
+    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        raise FileExistsError(f"{path} already exists; ask for overwriting to replace it")
+    return "errorifexists"
+
+
 def write_submission(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    project_existing(df, SUBMISSION_COLUMNS).write.mode(mode).format(fmt).option("header", True).save(path)
+    project_existing(df, SUBMISSION_COLUMNS).write.mode(mode).format(fmt).options(**CSV).save(path)
 
 
 def write_by_state(
@@ -37,7 +49,8 @@ def write_by_state(
 ) -> None:
     """One folder per state (``part_state=…``), rows in ``order``; the state stays a column of the files.
 
-    Columns in ``working`` serve the order only and are not written.
+    Columns in ``working`` serve the order only and are not written.  With ``mode="overwrite"`` the folders of the states in
+    ``df`` are replaced and those of other states stay.
 
     Rows are ranged by state and order, so a large state is written by several tasks and a small one by one.
     """
@@ -48,7 +61,8 @@ def write_by_state(
         .drop(*working or [])
         .write.mode(mode)
         .partitionBy("part_state")
-        .option("header", True)
+        .options(**CSV)
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", rows_per_file)
         .format(fmt)
         .save(path)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.functions.text import missing_to_null
-from hustings.sources.grids import file_filter
+from hustings.sources.grids import GRID, file_filter
 
 TEXT = "struct<t: string, r: array<struct<t: string>>>"
 SHEET_XML = f"sheetData struct<row: array<struct<_r: int, c: array<struct<_r: string, _t: string, v: string, `is`: {TEXT}>>>>>"
@@ -68,12 +68,17 @@ def unpacked_workbooks(
     )
 
 
-def workbook_grid(unpacked: DataFrame) -> DataFrame:
-    """Cells of all sheets; numbers stay as written in the file, empty and missing cells are null."""
-    parsed = unpacked.where(F.col("part").isNotNull()).select(
+def workbook_rows(unpacked: DataFrame) -> DataFrame:
+    """The grid of all sheets with ``reason`` and ``is_row``; a file or sheet that cannot be read is one row with the reason.
+
+    Numbers stay as written in the file, empty and missing cells are null.  The XML is parsed once.
+    """
+    sheet = F.from_xml("xml", f"{SHEET_XML}, broken string", {**XML_OPTIONS, "columnNameOfCorruptRecord": "broken"})
+    parsed = unpacked.withColumn("_sheet", sheet).select(
         "source",
         "part",
-        F.from_xml("xml", SHEET_XML, XML_OPTIONS)["sheetData"]["row"].alias("rows"),
+        F.coalesce("reason", F.when(F.col("_sheet.broken").isNotNull(), F.concat(F.lit("malformed XML in "), "part"))).alias("reason"),
+        F.col("_sheet.sheetData.row").alias("rows"),
         F.transform(F.from_xml("strings", STRINGS_XML, XML_OPTIONS)["si"], inner_text).alias("shared"),
         F.from_xml("book", BOOK_XML, XML_OPTIONS)["sheets"]["sheet"].alias("sheets"),
         F.from_xml("links", LINKS_XML, XML_OPTIONS)["Relationship"].alias("links"),
@@ -98,13 +103,23 @@ def workbook_grid(unpacked: DataFrame) -> DataFrame:
         return F.struct(row["_r"].alias("r"), cells.alias("c"))
 
     # Strings are put in before the rows come apart, so no row carries the string table.
-    rows = named.select("source", "sheet", F.explode(F.transform("rows", resolved)).alias("row"))
-    placed = rows.select("source", "sheet", (F.col("row.r") - 1).cast("bigint").alias("row_idx"), F.map_from_entries("row.c").alias("at"))
+    empty = F.struct(F.lit(None).cast("int").alias("r"), F.lit(None).cast("array<struct<k:int,v:string>>").alias("c"))
+    entries = F.when(F.col("reason").isNotNull(), F.array(empty)).otherwise(F.transform("rows", resolved))
+    rows = named.select("source", "sheet", "reason", F.explode(entries).alias("row"))
+    placed = rows.select(
+        "source", "sheet", "reason", (F.col("row.r") - 1).cast("bigint").alias("row_idx"), F.map_from_entries("row.c").alias("at")
+    )
     width = F.coalesce(F.array_max(F.map_keys("at")), F.lit(0))
     filled = F.transform(
         F.slice(F.sequence(F.lit(1), F.greatest(width, F.lit(1))), 1, width), lambda i: missing_to_null(F.try_element_at("at", i))
     )
-    return placed.select("source", "sheet", "row_idx", F.coalesce(filled, F.array().cast("array<string>")).alias("cells"))
+    cells = F.coalesce(filled, F.array().cast("array<string>")).alias("cells")
+    return placed.select("source", "sheet", "row_idx", cells, "reason", F.col("reason").isNull().alias("is_row"))
+
+
+def workbook_grid(unpacked: DataFrame) -> DataFrame:
+    """The rows of all sheets that can be read."""
+    return workbook_rows(unpacked).where("is_row").select(GRID)
 
 
 def read_workbooks(spark: SparkSession, path: str, **files: str | None) -> DataFrame:
@@ -114,6 +129,4 @@ def read_workbooks(spark: SparkSession, path: str, **files: str | None) -> DataF
 
 def unreadable_workbooks(unpacked: DataFrame) -> DataFrame:
     """Files that are no workbooks and sheets whose XML cannot be read: ``source, reason``."""
-    sheet = F.from_xml("xml", f"{SHEET_XML}, broken string", {**XML_OPTIONS, "columnNameOfCorruptRecord": "broken"})
-    reason = F.coalesce("reason", F.when(sheet["broken"].isNotNull(), F.concat(F.lit("malformed XML in "), "part")))
-    return unpacked.select("source", reason.alias("reason")).where(F.col("reason").isNotNull())
+    return workbook_rows(unpacked).where(F.col("reason").isNotNull()).select("source", "reason")
