@@ -1,10 +1,12 @@
 """Near duplicates by an LSH forest over MinHash signatures.
 
-A signature is read as several short paths, one per tree; documents that share the head of a path lie in one region.
-Regions are followed down to the depth at which few documents are left, so dense regions are cut deeper than thin ones.
-Inside a region every document is first compared with one centre; documents that are then in one component need no further
-comparison.  All others that share a region at the first depth are compared with each other: in a small region directly, in
-a dense one block against block (see ``dense_links``).  Links are confirmed on whole shingle sets.
+A signature is read as several paths, one per tree.  In every tree the documents that share the head of their path with another
+stand sorted by their paths, and each is a candidate with the neighbours that share the longest prefix with it: where a region
+is dense, neighbours agree to a greater depth.  Candidates are confirmed on whole shingle sets.
+
+What neighbours leave open is completed exactly, among documents that share a region but no component: in small regions pair
+by pair, for documents of dense regions by a prefix filter.  With all shingles in one order, rare ones first, two sets that
+reach the similarity share a shingle near the beginning of both; those beginnings are joined.
 """
 
 from __future__ import annotations
@@ -18,13 +20,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hustings.llm.components import components, joined_components
-from hustings.llm.tables import own_columns, stored, unused
+from hustings.llm.tables import own_columns, stored, text_of, unused
 from hustings.operators.skew import spread_join
 
 WORDS, SIMILARITY = 5, 80
-TREES, PATH, SHALLOW = 24, 5, 4
-DEPTHS = (6, 10, 20, TREES * PATH)
-SMALL, BLOCK, TILE, OFTEN = 16, 512, 256, 32
+# Steps of a path that are its own, that make a region, and by which neighbours are sorted; neighbours on either side.
+TREES, PATH, SHALLOW, DEEP, NEIGHBOURS = 24, 5, 4, 24, 2
+SMALL, BLOCK, OFTEN = 16, 512, 32
+# Shingles are ordered by counts in so many buckets; lists of a shingle are joined up to so many pairs, else compared in blocks.
+BUCKETS, LIGHT = 1 << 18, 1 << 12
 ROWS = 2048
 SEEDS = np.random.default_rng(11).integers(0, 1 << 63, TREES * PATH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -70,7 +74,7 @@ def sketcher(n: int):
         for batch in batches:
             known = WordHashes()
             size, key, signs = [], [], []
-            for text in batch.column(1):
+            for text in batch.column(2):
                 ws = split_words(text.as_py())
                 found = shingles(ws, n, known)
                 size.append(len(found))
@@ -81,8 +85,8 @@ def sketcher(n: int):
             values = pa.array(np.concatenate(signs) if signs else np.zeros(0, np.int32))
             signs = pa.FixedSizeListArray.from_arrays(values, len(SEEDS)).cast(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(key, pa.binary()), signs],
-                names=["doc_id", "n_shingles", "key", "sign"],
+                [batch.column(0), batch.column(1), pa.array(size, pa.int64()), pa.array(key, pa.binary()), signs],
+                names=["doc_id", "sha", "n_shingles", "key", "sign"],
             )
 
     return sketch
@@ -113,38 +117,66 @@ def confirmer(n: int, similarity: int):
     return confirm
 
 
-def head(tree: Column, sign: Column, depth: int) -> Column:
-    """Hash of the first ``depth`` steps of a tree's path; behind its own steps a path goes on with the next tree's."""
-    if depth <= PATH:
-        steps = F.slice(sign, tree * PATH + 1, F.lit(depth))
-    else:
-        steps = F.slice(F.concat(sign, sign), tree * PATH + 1, F.lit(depth))
-    return F.xxhash64(tree, F.lit(depth), steps)
+def path(tree: Column, sign: Column, depth: int) -> Column:
+    """The first ``depth`` steps of a tree's path; behind its own steps a path goes on with the next tree's."""
+    return F.slice(sign if depth <= PATH else F.concat(sign, sign), tree * PATH + 1, F.lit(depth))
+
 
+def regions(signs: DataFrame) -> DataFrame:
+    """Rows ``doc, size, tree, h, n``: the regions (``h``) of at least two documents, with their number ``n``.
 
-def regions_of(rows: DataFrame, name: str) -> DataFrame:
-    """Rows ``doc, size, tree, h`` of regions with at least two documents, with the number ``n`` of their rows."""
+    ``signs`` has ``doc, size, sign``.
+    """
+    heads = F.transform(
+        F.sequence(F.lit(0), F.lit(TREES - 1)),
+        lambda t: F.struct(t.alias("tree"), F.xxhash64(t, path(t, F.col("sign"), SHALLOW)).alias("h")),
+    )
+    rows = signs.select("doc", "size", F.explode(heads).alias("p")).select("doc", "size", "p.tree", "p.h")
     counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return stored(spread_join(rows, counts.withColumn("n", F.col("_n")), ["h"], ["doc"], "inner"), name)
+    return stored(spread_join(rows, counts.withColumn("n", F.col("_n")), ["h"], ["doc"], "inner"), "regions")
 
 
-def forest(signs: DataFrame, small: int = SMALL) -> tuple[DataFrame, DataFrame]:
-    """The regions of at least two documents at the first depth, and those at all depths looked at.
+def next_to_each_other(similarity: int, neighbours: int):
+    """Pairs ``a, b`` of sorted rows ``tree, path, doc, size`` that stand at most ``neighbours`` places apart in one tree and
+    share the steps of a region, if their sizes allow the similarity."""
 
-    ``signs`` has ``doc, size, sign``.  A region with more than ``small`` documents is looked at again deeper; regions that
-    are dense at full depth hold equal signatures.
+    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if before is None else pa.concat_tables([before, table]).combine_chunks()
+            new = 0 if before is None else before.num_rows
+            before = table.slice(max(table.num_rows - neighbours, 0))
+            tree, doc, size = (table.column(c).to_numpy() for c in ("tree", "doc", "size"))
+            steps = table.column("path").combine_chunks()
+            steps = np.asarray((steps.chunk(0) if isinstance(steps, pa.ChunkedArray) else steps).flatten()).reshape(len(doc), -1)
+            found = []
+            for apart in range(1, neighbours + 1):
+                at = np.arange(max(new, apart), len(doc))
+                other = at - apart
+                same = (tree[at] == tree[other]) & (steps[at, :SHALLOW] == steps[other, :SHALLOW]).all(axis=1)
+                fits = np.minimum(size[at], size[other]) * 100 >= np.maximum(size[at], size[other]) * similarity
+                at, other = at[same & fits], other[same & fits]
+                found.append(np.stack([np.minimum(doc[at], doc[other]), np.maximum(doc[at], doc[other])], axis=1))
+            pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return pair
+
+
+def sorted_neighbours(shallow: DataFrame, signs: DataFrame, similarity: int) -> DataFrame:
+    """Candidates ``a, b`` from the sorted orders of all trees.
+
+    An order is cut into ranges, by path and document, so a dense region may spread over many; two rows on either side of a
+    cut are no candidates here.
     """
-    trees = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(t.alias("tree"), head(t, F.col("sign"), SHALLOW).alias("h")))
-    rows = signs.select("doc", "size", F.explode(trees).alias("p")).select("doc", "size", "p.tree", "p.h")
-    first = level = every = regions_of(rows, "regions")
-    for depth in DEPTHS:
-        dense = level.where(F.col("n") > small).select("doc", "tree")
-        if dense.isEmpty():
-            break
-        deeper = dense.join(signs, "doc").select("doc", "size", "tree", head(F.col("tree"), F.col("sign"), depth).alias("h"))
-        level = regions_of(deeper, "regions")
-        every = every.unionAll(level)
-    return first, every
+    paths = shallow.select("doc", "size", "tree").join(signs.select("doc", "sign"), "doc")
+    rows = paths.select("tree", path(F.col("tree"), F.col("sign"), DEEP).alias("path"), "doc", "size")
+    ranges = int(signs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["tree", "path", "doc"]
+    dealt = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    return dealt.mapInArrow(next_to_each_other(similarity, NEIGHBOURS), "a bigint, b bigint").distinct()
 
 
 def alike(n: Column, m: Column, similarity: int) -> Column:
@@ -156,22 +188,6 @@ def ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def star_pairs(every: DataFrame, similarity: int) -> DataFrame:
-    """Every document with the centre of each of its regions: the one that shares regions with most others.
-
-    A document that many others are near copies of is such a centre, even where the copies are not alike among themselves.
-    """
-    often = every.groupBy("doc").agg(F.sum("n").alias("often"))
-    known = every.join(often, "doc")
-    centre = F.max(F.struct("often", (-F.col("doc")).alias("down"), "size"))
-    centres = known.groupBy("h").agg(centre.alias("c"), F.count(F.lit(1)).alias("_n"))
-    centres = centres.select("h", (-F.col("c.down")).alias("centre"), F.col("c.size").alias("m"), "_n")
-    pairs = spread_join(every.select("h", "doc", "size"), centres, ["h"], ["doc"], "inner")
-    return pairs.where((F.col("doc") != F.col("centre")) & alike(F.col("size"), F.col("m"), similarity)).select(
-        *ordered(F.col("doc"), F.col("centre"))
-    ).distinct()
-
-
 def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``rows`` with the component of ``doc``, which is its own where it has no link."""
     return rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
@@ -243,18 +259,6 @@ def in_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def agreements(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """In how many places every row of ``x`` agrees with every row of ``y``."""
-    out = np.zeros((len(x), len(y)), np.uint8)
-    columns = [np.ascontiguousarray(z.T) for z in (x, y)]
-    for a in range(0, len(x), TILE):
-        for b in range(0, len(y), TILE):
-            part = out[a : a + TILE, b : b + TILE]
-            for p, q in zip(*columns):
-                part += p[a : a + TILE, None] == q[None, b : b + TILE]
-    return out
-
-
 def overlaps(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of the sets ``left`` with the sets ``right``, exactly.
 
@@ -331,18 +335,6 @@ def comparer(similarity: int, tell: Callable[[pa.Table, np.ndarray, np.ndarray],
     return compare
 
 
-def resembling(similarity: int):
-    """Signatures that agree in so many places that a pair at the similarity is missed only beyond six deviations."""
-    s, n = similarity / 100, TREES * PATH
-    least = int(np.floor(n * s - 6 * np.sqrt(n * s * (1 - s))))
-
-    def tell(table: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        signs = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint8).reshape(-1, n)
-        return agreements(signs[left], signs[right]) >= max(least, 0)
-
-    return comparer(similarity, tell)
-
-
 def exactly(n: int, similarity: int):
     """Whole shingle sets that reach the similarity."""
 
@@ -363,30 +355,101 @@ def by_blocks(rows: DataFrame, further: DataFrame, compare, kind: str) -> DataFr
     return dealt.mapInArrow(compare, f"a {kind}, b {kind}")
 
 
-def dense_links(marked: DataFrame, signs: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
+def bucket_counts(n: int):
+    """How many of a batch's sets hold a shingle of each bucket."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(BUCKETS, np.int64)
+        known = WordHashes()
+        for batch in batches:
+            for text in batch.column("text"):
+                np.add.at(held, (shingles(split_words(text.as_py()), n, known) % BUCKETS).astype(np.int64), 1)
+                if len(known) > 1 << 20:
+                    known.clear()
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], names=["bucket", "n"])
+
+    return count
+
+
+def beginnings(shared, n: int, similarity: int):
+    """The shingles by which a set can be found: rows ``token, place, short, doc, size, label``.
+
+    With places counted in the order of all shingles, the first that two sets share leaves enough of both behind it.
+    ``short`` rows allow a partner that is at least as large, the others one that is at most as large.
+    """
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: np.ndarray = shared.value
+        for batch in batches:
+            known = WordHashes()
+            tokens, places, shorts, owners = [], [], [], []
+            size = batch.column("size").to_numpy()
+            for row, text in enumerate(batch.column("text")):
+                own = shingles(split_words(text.as_py()), n, known)
+                own = own[np.lexsort([own, counts[(own % BUCKETS).astype(np.int64)]])]
+                left = len(own) - np.arange(len(own))
+                # A larger partner of size b needs b <= left * (100 + s) / s - size; the smallest such b is the own size.
+                short = left * (100 + similarity) >= 2 * similarity * len(own)
+                # A smaller one of size a is at least s % of the own size.
+                least = -(-similarity * len(own) // 100)
+                long = left * (100 + similarity) >= similarity * (len(own) + least)
+                take = np.flatnonzero(long)
+                tokens.append(own[take].view(np.int64))
+                places.append(take)
+                shorts.append(short[take])
+                owners.append(np.full(len(take), row))
+            if not tokens:
+                continue
+            owner = pa.array(np.concatenate(owners))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(tokens)),
+                    pa.array(np.concatenate(places)),
+                    pa.array(np.concatenate(shorts)),
+                    batch.column("doc").take(owner),
+                    pa.array(size[owner.to_numpy()], pa.int64()),
+                    batch.column("label").take(owner),
+                ],
+                names=["token", "place", "short", "doc", "size", "label"],
+            )
+
+    return begin
+
+
+def dense_links(dense: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
     """Links that connect all documents of dense regions that are linked at all, in place of those within one component.
 
-    First signatures are compared, block against block within each region, and connected to families of texts that
-    resemble each other; a link cannot lead out of a family.  Within a family every pair of different components whose sizes
-    allow it is compared by whole shingle sets, block against block.
+    ``dense`` has ``doc, size, label``.  Every text goes through twice, to count its shingles in buckets (a sum of bounded
+    size, which only orders them) and to emit its beginning.  A shingle that few beginnings hold gives pairs; under one that
+    many hold, whose pairs would be too many, the documents are compared block against block.
     """
-    kind = signs.schema["doc"].dataType.simpleString()
-    # The lowest byte of every step: others agree by chance once in 256, which only lets more pairs through.
-    short = signs.select("doc", F.transform("sign", lambda x: F.pmod(x, F.lit(256))).alias("sign"))
-    short = short.mapInArrow(narrowed, f"doc {kind}, sign binary")
-    region = block_pairs(marked.select(F.col("h").alias("g"), "doc", "size", "label"), F.lit(1))
-    edges = stored(by_blocks(region, short, resembling(similarity), kind).distinct(), "resembling")
-    families = stored(components(edges), "families").select(F.col("node").alias("doc"), F.xxhash64("label").alias("g"))
-    members = families.join(marked.select("doc", "size", "label").distinct(), "doc")
-    family = block_pairs(members, F.col("size") / 512 + 1)
-    return by_blocks(family, texts.toDF("doc", "text"), exactly(n, similarity), kind).distinct()
-
-
-def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Steps below 256 as one byte each."""
-    for batch in batches:
-        packed = [np.asarray(sign.values, np.uint8).tobytes() for sign in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["doc", "sign"])
+    spark = dense.sparkSession
+    held = stored(dense.join(texts.toDF("doc", "text"), "doc"), "dense")
+    counted = held.mapInArrow(bucket_counts(n), "bucket bigint, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    shared = spark.sparkContext.broadcast(counts)
+    schema = "token bigint, place bigint, short boolean, doc bigint, size bigint, label bigint"
+    rows = stored(held.mapInArrow(beginnings(shared, n, similarity), schema), "beginnings")
+    lists = rows.groupBy("token").agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("short").alias("shorter"), F.min("label").alias("low"), F.max("label").alias("high")
+    )
+    lists = stored(lists.where("_n > 1 and shorter > 0 and low < high").select("token", "_n", (F.col("_n") * F.col("shorter")).alias("pairs")), "lists")
+    light = spread_join(rows, lists.where(F.col("pairs") <= LIGHT).drop("pairs"), ["token"], ["doc"], "inner")
+    larger = light.select("token", *[F.col(c).alias(f"l_{c}") for c in ("place", "doc", "size", "label")])
+    met = spread_join(light.where("short"), larger, ["token"], ["doc"], "inner")
+    left = F.least(F.col("size") - F.col("place"), F.col("l_size") - F.col("l_place"))
+    fits = (F.col("size") <= F.col("l_size")) & (left * (100 + similarity) >= similarity * (F.col("size") + F.col("l_size")))
+    pairs = met.where((F.col("label") != F.col("l_label")) & alike(F.col("size"), F.col("l_size"), similarity) & fits)
+    pairs = stored(pairs.select(*ordered(F.col("doc"), F.col("l_doc"))).distinct(), "open-pairs")
+    links = confirmed(pairs, texts, n, similarity)
+    heavy = lists.where(F.col("pairs") > LIGHT)
+    if not heavy.isEmpty():
+        members = spread_join(rows, heavy.drop("pairs"), ["token"], ["doc"], "inner").select(F.col("token").alias("g"), "doc", "size", "label")
+        family = block_pairs(members, F.col("size") / 512 + 1)
+        links = links.unionAll(by_blocks(family, texts.toDF("doc", "text"), exactly(n, similarity), "bigint").distinct())
+    return links
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
@@ -397,6 +460,52 @@ def confirmed(pairs: DataFrame, texts: DataFrame, n: int, similarity: int) -> Da
     return two.select("a", "b", "ta", "tb").mapInArrow(confirmer(n, similarity), f"a {kind}, b {kind}")
 
 
+def clustered(docs: DataFrame, doc_id: str, text: str, words: int, similarity: int, nameless: bool) -> DataFrame:
+    """``doc_id, sha, n_shingles, best`` of every row: ``best`` is the row (``none, doc_id, sha``) that stands for its
+    component, the one with the smallest id, null for rows that take no part.  ``nameless`` rows without an id take part or not."""
+    rows = own_columns(docs, doc_id=doc_id, text=text).select("doc_id", sha_of("text").alias("sha"), "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    sketches = stored(
+        rows.mapInArrow(sketcher(words), f"doc_id {kind}, sha binary, n_shingles bigint, key binary, sign array<int>"), "sketches"
+    )
+    part = F.col("n_shingles") > 0
+    if not nameless:
+        part &= F.col("doc_id").isNotNull()
+    # Texts with equal words are one document of the forest, known by a number of its own.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sha"))
+    per_key = sketches.where(part).groupBy("key").agg(
+        first.alias("rep"), F.count(F.lit(1)).alias("_n"), F.first("n_shingles").alias("size"), F.first("sign").alias("sign")
+    )
+    copies = stored(per_key.withColumn("doc", F.monotonically_increasing_id()), "copies")
+    signs = copies.select("doc", "size", "sign")
+    shallow = regions(signs)
+    wanted = copies.join(shallow.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("rep.doc_id").alias("_id"), F.col("rep.sha").alias("_sha"))
+    here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))
+    texts = stored(rows.join(wanted, here).select("doc", "text").dropDuplicates(["doc"]), "texts")
+    tried = stored(sorted_neighbours(shallow, signs, similarity), "neighbours")
+    links = stored(confirmed(tried, texts, words, similarity), "links")
+    labels = stored(components(links), "labels")
+    marked = stored(labelled(shallow, labels), "marked")
+    rest = open_pairs(marked.where(F.col("n") <= SMALL), similarity).join(tried, ["a", "b"], "left_anti")
+    last = confirmed(rest, texts, words, similarity)
+    dense = marked.where(F.col("n") > SMALL)
+    if not dense.isEmpty():
+        last = last.unionAll(dense_links(dense.select("doc", "size", "label").distinct(), texts, words, similarity))
+    labels = joined_components(labels, stored(last, "links"))
+    # Components have numbers; each is named after its smallest row.
+    named = labels.withColumnRenamed("node", "doc").join(copies.select("doc", "rep"), "doc")
+    names = named.groupBy("label").agg(F.min("rep").alias("best"), F.count(F.lit(1)).alias("_n"))
+    best = spread_join(named.select("doc", "label"), names, ["label"], ["doc"], "inner").drop("label")
+    of_key = copies.join(best, "doc", "left").select("key", F.coalesce("best", "rep").alias("best"), "_n")
+    whole = sketches.select("doc_id", "sha", "n_shingles", F.when(part, F.col("key")).alias("key"))
+    return spread_join(whole, of_key, ["key"], ["doc_id", "sha"]).drop("key")
+
+
+def sha_of(text: str) -> Column:
+    """What tells the texts under one id apart."""
+    return F.unhex(F.md5(text_of(text)))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similarity: int = SIMILARITY
 ) -> DataFrame:
@@ -406,44 +515,24 @@ def near_duplicates(
     ``component_id`` is the smallest id that links reach.  A text with fewer words is one shingle; a null text or one
     without words has none and is linked with nothing.  Texts with equal words are one document of the forest, so groups
     of copies cost nothing further.  Rows that share an id keep the component of their own text; a row without an id has a
-    null component and is kept.  No rows give no rows; further columns are not looked at.
+    null component, links nothing and is kept.  No rows give no rows; further columns are not looked at.
     """
-    rows = own_columns(docs, doc_id=doc_id, text=text)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    sketches = stored(
-        rows.mapInArrow(sketcher(words), f"doc_id {kind}, n_shingles bigint, key binary, sign array<int>"), "sketches"
-    )
-    known = sketches.where("n_shingles > 0 and doc_id is not null")
-    copies = stored(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("_n")), "copies")
-    reps = copies.select(F.col("rep").alias("doc_id"), "key")
-    signs = stored(
-        known.join(reps, ["doc_id", "key"], "left_semi").select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("size"), "sign"),
-        "signatures",
-    )
-    shallow, every = forest(signs)
-    wanted = shallow.select("doc").distinct()
-    texts = stored(rows.where("doc_id is not null").join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    stars = stored(star_pairs(every, similarity), "stars")
-    links = stored(confirmed(stars, texts, words, similarity), "links")
-    first = stored(components(links), "labels")
-    marked = stored(labelled(shallow, first), "marked")
-    rest = open_pairs(marked.where(F.col("n") <= SMALL), similarity).join(stars, ["a", "b"], "left_anti")
-    last = confirmed(rest, texts, words, similarity)
-    dense = marked.where(F.col("n") > SMALL)
-    if not dense.isEmpty():
-        last = last.unionAll(dense_links(dense, signs, texts, words, similarity))
-    labels = joined_components(first, stored(last, "links"))
-    label = F.coalesce("label", "rep").alias("component_id")
-    of_key = copies.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("key", label, "_n")
-    whole = sketches.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
-    joined = spread_join(whole, of_key, ["key"], ["doc_id"])
-    component = F.coalesce("component_id", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each component; rows without an id are kept, rows that share one stay together."""
-    lost = near_duplicates(docs, doc_id, text, **options).groupBy("doc_id").agg(F.bool_or("kept").alias("kept"))
-    (gone,) = unused(docs, "_lost")
-    lost = lost.where("not kept").select(F.col("doc_id").alias(gone))
-    return docs.join(lost, F.col(f"`{doc_id}`") == F.col(gone), "left_anti")
+    found = clustered(docs, doc_id, text, words, similarity, False)
+    component = F.coalesce("best.doc_id", "doc_id")
+    return found.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, similarity: int = SIMILARITY
+) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id.
+
+    Rows without an id take part and come last in their component.  Rows equal in id and text stay or go together; rows without
+    words stay.
+    """
+    found = clustered(docs, doc_id, text, words, similarity, True)
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("sha") == F.col("best.sha"))
+    gone, sha = unused(docs, "_lost", "_sha")
+    lost = found.where(F.col("best").isNotNull() & ~stays).select(F.col("doc_id").alias(gone), F.col("sha").alias(sha))
+    here = F.col(f"`{doc_id}`").eqNullSafe(F.col(gone)) & (sha_of(f"`{text}`") == F.col(sha))
+    return docs.join(lost, here, "left_anti")

@@ -55,7 +55,39 @@ def test_overlaps_are_exact():
         assert all(got[i, j] == len(np.intersect1d(sets[a], sets[b])) for i, a in enumerate(x) for j, b in enumerate(y) if a != b)
 
 
-def test_depths_decide_no_link(frame, family, monkeypatch):
-    monkeypatch.setattr(near, "DEPTHS", ())
+@pytest.mark.parametrize("light", [0, 1 << 40])
+def test_lists_of_shingles_are_joined_or_compared_in_blocks(frame, family, monkeypatch, light):
+    """Either way of treating the lists finds every link, also those that neighbours miss."""
+    monkeypatch.setattr(near, "LIGHT", light)
+    monkeypatch.setattr(near, "sorted_neighbours", lambda shallow, signs, similarity: shallow.select(shallow.doc.alias("a"), shallow.doc.alias("b")).limit(0))
     got, wanted = found(frame, family)
     assert got == wanted
+
+
+def test_neighbours_in_sorted_orders_find_most_links(frame):
+    """Families of near copies: what stands next to each other in some tree already connects nearly all of them."""
+    chance = random.Random(8)
+    rows = []
+    for family in range(60):
+        base = ["f%d_%d" % (family, i) for i in range(150)]
+        for copy in range(12):
+            own = list(base)
+            own[chance.randrange(150)] = "x%d" % copy
+            rows.append((len(rows), " ".join(own)))
+    import numpy as np
+    import pyarrow as pa
+
+    signs = np.array([near.signature(near.shingles(near.split_words(t), 5, near.WordHashes())) for _, t in rows])
+    found = set()
+    for tree in range(near.TREES):
+        path = np.hstack([signs, signs])[:, tree * near.PATH : tree * near.PATH + near.DEEP]
+        order = sorted(range(len(rows)), key=lambda i: tuple(path[i]))
+        table = pa.table({"tree": [tree] * len(rows), "path": pa.array(path[order].tolist(), pa.list_(pa.int32())), "doc": pa.array(order, pa.int64()), "size": [146] * len(rows)})
+        for batch in near.next_to_each_other(80, near.NEIGHBOURS)(iter(table.to_batches(max_chunksize=17))):
+            found |= set(zip(batch["a"].to_pylist(), batch["b"].to_pylist()))
+    assert all(a // 12 == b // 12 for a, b in found)
+    root = list(range(len(rows)))
+    for _ in range(12):
+        for a, b in found:
+            root[a] = root[b] = min(root[a], root[b])
+    assert sum(root[i] == i // 12 * 12 for i in range(len(rows))) >= 0.98 * len(rows)
