@@ -312,7 +312,13 @@ def finder(shared, item_kind):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents in which a benchmark item was found; rows without an id are searched and kept."""
-    (hit,) = unused(docs, "_found")
-    found = find_passages(docs, benchmark, doc_id, text, **options).select(F.col("doc_id").alias(hit)).distinct()
-    return docs.join(found, F.col(f"`{doc_id}`") == F.col(hit), "left_anti")
+    """``docs`` without the rows in which a benchmark item was found.
+
+    A row is known by its id and its text, so rows without an id and different texts under one id are told apart.
+    """
+    own, hit, words_of, sha = unused(docs, "_row", "_found", "_words", "_sha")
+    hashed = F.sha2(text_of(f"`{text}`"), 256)
+    rows = docs.select(F.struct(F.col(f"`{doc_id}`").alias("id"), hashed.alias("sha")).alias(own), F.col(f"`{text}`").alias(words_of))
+    found = find_passages(rows, benchmark, own, words_of, **options).select(F.col("doc_id.id").alias(hit), F.col("doc_id.sha").alias(sha))
+    here = F.col(f"`{doc_id}`").eqNullSafe(F.col(hit)) & (hashed == F.col(sha))
+    return docs.join(found.distinct(), here, "left_anti")

@@ -79,8 +79,8 @@ def exact_duplicates(
 
 
 def drop_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without the rows that ``exact_duplicates`` does not keep; rows without an id are kept."""
+    """``docs`` without the rows that ``exact_duplicates`` does not keep, rows without an id included."""
     gone, sha = unused(docs, "_lost", "_sha")
     lost = exact_duplicates(docs, doc_id, text).where("not kept").select(F.col("doc_id").alias(gone), F.col("text_sha256").alias(sha))
-    here = (F.col(f"`{doc_id}`") == F.col(gone)) & (F.sha2(text_of(f"`{text}`"), 256) == F.col(sha))
+    here = F.col(f"`{doc_id}`").eqNullSafe(F.col(gone)) & (F.sha2(text_of(f"`{text}`"), 256) == F.col(sha))
     return docs.join(lost, here, "left_anti")

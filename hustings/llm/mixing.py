@@ -54,8 +54,10 @@ def mix(
     share: float = SHARE,
     limit: float = LIMIT,
     seed: int = SEED,
+    row: str | None = None,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, source, size, source_size, target, copies, taken``.
+    """One row per row of ``docs``: ``doc_id, source, size, source_size, target, copies, taken``, and ``row``, if a column that
+    tells all rows apart is named so.
 
     A document's size is its number of words, a null text has none.  Sources in code point order, null last, get the
     weights in turn.  Every document of a source expects ``target / source_size`` copies.  The documents stand in order
@@ -66,10 +68,13 @@ def mix(
     Repeated rows are documents of their own.  Sources without words have target 0 and give no copy.  No rows give no
     rows.  The offset comes from ``seed`` alone, so reruns agree.
     """
+    given = {"doc_id": doc_id, "source": source, "text": text} | ({"row": row} if row else {})
+    identity = ["row"] if row else []
     sized = stored(
-        own_columns(docs, doc_id=doc_id, source=source, text=text).select(
+        own_columns(docs, **given).select(
             "doc_id",
             "source",
+            *identity,
             F.coalesce(F.concat(F.lit("s"), "source"), F.lit("t")).alias("_key"),
             words(text_of("text")).alias("size"),
         ),
@@ -82,7 +87,7 @@ def mix(
     weighted = ranked.withColumn("weight", F.get(cycle, F.pmod("_rank", F.lit(len(weights))).cast("int")))
     starts = positions(weighted, "_key", F.col("_n")).withColumnRenamed("before", "_start").drop("_rank")
     targets = source_targets(stored(starts, "source-weights"), weights, share, limit)
-    placed = positions(sized.withColumn("_place", F.struct("_key", "size", "doc_id")), "_place").drop("_place")
+    placed = positions(sized.withColumn("_place", F.struct("_key", "size", "doc_id", *identity)), "_place").drop("_place")
     joined = spread_join(placed, targets, ["_key"], ["doc_id", "before"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = Random(seed).random()
@@ -93,7 +98,7 @@ def mix(
 
     copies = crossed(turn + 1) - crossed(turn)
     return joined.withColumn("copies", copies).select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *identity
     )
 
 
@@ -101,16 +106,10 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     """The mixture itself: every row of ``docs`` as often as ``mix`` emits it, with ``copy`` counted from 1 (a column of
     that name is replaced).
 
-    Rows are matched on id, source and size; rows that repeat all three get the mean of their copies rounded down.
+    The rows are written once with a number each, so every row keeps its own copies, whatever it shares with others.
     """
-    own, of, words_of, copies = unused(docs, "_id", "_source", "_size", "_copies")
-    drawn = mix(docs, doc_id, text, source, **options)
-    per = drawn.groupBy("doc_id", "source", "size").agg(F.floor(F.avg("copies")).cast("int").alias(copies))
-    per = per.withColumnsRenamed({"doc_id": own, "source": of, "size": words_of}).where(F.col(copies) > 0)
-    here = (
-        F.col(f"`{doc_id}`").eqNullSafe(F.col(own))
-        & F.col(f"`{source}`").eqNullSafe(F.col(of))
-        & (words(text_of(f"`{text}`")) == F.col(words_of))
-    )
-    emitted = docs.join(per, here).drop(own, of, words_of)
-    return emitted.withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop(copies)
+    number, copies = unused(docs, "_number", "_copies")
+    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    drawn = mix(rows, doc_id, text, source, row=number, **options).where("copies > 0")
+    emitted = rows.join(drawn.select(F.col("row").alias(number), F.col("copies").cast("int").alias(copies)), number)
+    return emitted.drop(number).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop(copies)

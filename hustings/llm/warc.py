@@ -8,14 +8,14 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.llm.tables import own_columns, slices, stored, text_of
-from hustings.operators.skew import spread_join
+from hustings.operators.skew import lookup, spread_join
 from hustings.session import fresh_path
 
 VERSION = "WARC/1.1\r\n"
@@ -84,16 +84,20 @@ def identifier(*parts: str) -> str:
     return f"<urn:uuid:{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}>"
 
 
+# Printable ASCII but the sign that begins an escape.
+PLAIN = "".join(map(chr, range(33, 127))).replace("%", "")
+
+
 def records(own: str, page_id: str | None, url: str | None, html: str, refers_to: str | None, segment: int) -> Iterator[str]:
     """All records of one page: a revisit, a response, or a response with its continuations."""
     payload = html.encode()
-    uri = None if url is None else quote(url, safe="".join(map(chr, range(33, 127))))
+    uri = None if url is None else quote(url, safe=PLAIN + "%")
     common = [
         ("WARC-Record-ID", own),
         ("WARC-Date", DATE),
         ("WARC-Target-URI", uri),
         ("WARC-Payload-Digest", f"sha256:{hashlib.sha256(payload).hexdigest()}"),
-        ("Page-ID", page_id),
+        ("Page-ID", None if page_id is None else quote(page_id, safe=PLAIN)),
         ("Content-Type", "application/http;msgtype=response"),
     ]
     if refers_to is not None:
@@ -120,13 +124,15 @@ def writer(segment: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, held = [], 0
-            for own, page_id, url, html, refers_to in zip(*[c.to_pylist() for c in batch.columns]):
-                for text in records(own, page_id, url, html, refers_to, segment):
-                    out.append(text)
-                    held += len(text)
-                if held > OUTPUT:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
-                    out, held = [], 0
+            for own, page_id, url, html, refers_to, times in zip(*[c.to_pylist() for c in batch.columns]):
+                for copy in range(times):
+                    name = identifier(own, "copy", str(copy)) if copy else own
+                    for text in records(name, page_id, url, html, refers_to, segment):
+                        out.append(text)
+                        held += len(text)
+                    if held > OUTPUT:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+                        out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
     return write
@@ -143,9 +149,10 @@ def write_archive(
 ) -> None:
     """Write a record per row of ``pages`` to the new folder ``path``.
 
-    A null page counts as empty.  Of pages with equal bytes, at least ``least_revisit`` of them, the one with the smallest
-    id (an id before none) is a response and the others revisit it.  Blocks above ``segment`` bytes are continued in
-    further records.  Rows equal in id, address and page get the same record identifier, and the reader takes them as one.
+    A null page counts as empty.  Of pages with equal bytes, at least ``least_revisit`` of them, those with the smallest id
+    (an id before none) are responses and the others revisit the first of these.  Blocks above ``segment`` bytes are continued
+    in further records.  Rows equal in id, address and page have a record each, numbered in its identifier; they are written
+    by one task, which holds the page once.
     """
     rows = own_columns(pages, page_id=page_id, url=url, html=html)
     digest = F.sha2(text_of("html"), 256)
@@ -156,16 +163,29 @@ def write_archive(
         F.lit(">"),
     )
     named = rows.select(uuid.alias("own"), "page_id", "url", text_of("html").alias("html"), digest.alias("digest"))
-    large = named.where(F.octet_length("html") >= least_revisit)
-    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "own"))["own"]
+    slim = stored(
+        named.groupBy("own").agg(
+            F.first("page_id").alias("page_id"), F.first("digest").alias("digest"), F.max(F.octet_length("html")).alias("size"), F.count(F.lit(1)).alias("times")
+        ),
+        "records",
+    )
+    repeated = slim.where("times > 1").select("own", "times", F.col("times").alias("_n"))
+    single = named.withColumn("times", F.lit(1).cast("bigint"))
+    if not repeated.isEmpty():
+        counted = lookup(named, repeated, ["own"], ["digest"])
+        several = counted.where("times is not null").dropDuplicates(["own"])
+        single = counted.where("times is null").withColumn("times", F.lit(1).cast("bigint")).unionByName(several)
+    large = slim.where(F.col("size") >= least_revisit)
+    first = F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "own"))
     groups = large.groupBy("digest").agg(first.alias("first"), F.count(F.lit(1)).alias("_n"))
-    joined = spread_join(named, groups, ["digest"], ["own"])
+    joined = spread_join(single, groups, ["digest"], ["own"])
     ready = joined.select(
         "own",
         F.col("page_id").cast("string").alias("page_id"),
         "url",
         "html",
-        F.when(F.col("first") != F.col("own"), F.col("first")).alias("refers_to"),
+        F.when(~F.col("first.page_id").eqNullSafe(F.col("page_id")), F.col("first.own")).alias("refers_to"),
+        "times",
     )
     lines = ready.mapInArrow(writer(segment), "value string")
     lines.write.option("compression", "gzip").option("lineSep", END).text(path)
@@ -193,6 +213,8 @@ def parsed(data: bytes) -> dict:
     for line in head.decode("utf-8", "replace").split("\r\n"):
         name, _, value = line.partition(":")
         fields[name.strip().lower()] = value.strip()
+    if "page-id" in fields:
+        fields["page-id"] = unquote(fields["page-id"])
 
     def whole(name: str) -> int | None:
         value = fields.get(name, "")
@@ -302,7 +324,8 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def resolved(records_read: DataFrame) -> DataFrame:
-    """Equal records once, without payloads and written once, so the archive is read once; revisits get size, digest and page of the response they refer to.
+    """Records without payloads, written once, so the archive is read once; revisits get size, digest and page of the response
+    they refer to.  A record that an archive holds twice, under one identifier, counts once.
 
     A revisit whose response is missing has problem ``refers_to``.
     """
@@ -330,8 +353,9 @@ def resolved(records_read: DataFrame) -> DataFrame:
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", **options) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to, problem`` of ``pages`` written and read again.
 
-    Rows equal in id, address and page give one row.  Null pages are empty payloads; a null id stays null, also in
-    ``refers_to``.  No rows give no rows; further columns are not looked at.
+    Rows equal in id, address and page give as many rows, responses if their id is the smallest of those with their payload.
+    Null pages are empty payloads; a null id stays null, also in ``refers_to``, an id of text comes back as it was.  No rows
+    give no rows; further columns are not looked at.
     """
     path = fresh_path(pages.sparkSession, "archive")
     write_archive(pages, path, page_id, url, html, **options)
