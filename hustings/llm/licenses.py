@@ -11,6 +11,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hustings.llm.license_wording import WORDING
 from hustings.llm.tables import own_columns, text_of
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -20,7 +21,7 @@ LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 BASE_WEIGHT = 0.4
 
-# Family, name as words (a regular expression), keyword, versions as words.
+# Family, name as words (a regular expression), keyword, versions as words; a short name has a row of its own.
 FAMILIES = (
     ("apache", "apache(?: software)?", "apache", ("1 0", "1 1", "2 0", "2")),
     ("mit", "mit", "mit", ()),
@@ -30,20 +31,28 @@ FAMILIES = (
     ("zlib", "zlib(?: libpng)?", "zlib", ()),
     ("boost", "boost software", "boost", ("1 0",)),
     ("bsd", "(?:free )?bsd", "bsd", ("0 clause", "2 clause", "3 clause", "4 clause")),
-    ("gnu-gpl", "(?:gnu )?(?:general public|gpl)", "public", ("1", "1 0", "2", "2 0", "3", "3 0")),
-    ("gnu-lgpl", "(?:gnu )?(?:lesser general public|library general public|lgpl)", "public", ("2", "2 0", "2 1", "3", "3 0")),
-    ("gnu-agpl", "(?:gnu )?(?:affero general public|agpl)", "affero", ("1", "3", "3 0")),
-    ("gnu-fdl", "(?:gnu )?(?:free documentation|fdl)", "documentation", ("1 1", "1 2", "1 3")),
-    ("mpl", "(?:mozilla public|mpl)", "mozilla", ("1 0", "1 1", "2 0")),
-    ("epl", "(?:eclipse public|epl)", "eclipse", ("1 0", "2 0")),
+    ("gnu-gpl", "(?:gnu )?general public", "public", ("1", "1 0", "2", "2 0", "3", "3 0")),
+    ("gnu-gpl", "(?:gnu )?gpl", "gpl", ("1", "1 0", "2", "2 0", "3", "3 0")),
+    ("gnu-lgpl", "(?:gnu )?(?:lesser|library) general public", "public", ("2", "2 0", "2 1", "3", "3 0")),
+    ("gnu-lgpl", "(?:gnu )?lgpl", "lgpl", ("2", "2 0", "2 1", "3", "3 0")),
+    ("gnu-agpl", "(?:gnu )?affero general public", "affero", ("1", "3", "3 0")),
+    ("gnu-agpl", "(?:gnu )?agpl", "agpl", ("1", "3", "3 0")),
+    ("gnu-fdl", "(?:gnu )?free documentation", "documentation", ("1 1", "1 2", "1 3")),
+    ("gnu-fdl", "(?:gnu )?fdl", "fdl", ("1 1", "1 2", "1 3")),
+    ("mpl", "mozilla public", "mozilla", ("1 0", "1 1", "2 0")),
+    ("mpl", "mpl", "mpl", ("1 0", "1 1", "2 0")),
+    ("epl", "eclipse public", "eclipse", ("1 0", "2 0")),
+    ("epl", "epl", "epl", ("1 0", "2 0")),
     ("edl", "eclipse distribution", "eclipse", ("1 0",)),
-    ("cddl", "(?:common development and distribution|cddl)", "distribution", ("1 0", "1 1")),
+    ("cddl", "common development and distribution", "distribution", ("1 0", "1 1")),
+    ("cddl", "cddl", "cddl", ("1 0", "1 1")),
     ("cpl", "common public", "common", ("1 0",)),
     ("artistic", "(?:the )?artistic", "artistic", ("1 0", "2 0")),
     ("osl", "open software", "open", ("1 0", "2 0", "2 1", "3 0")),
     ("afl", "academic free", "academic", ("2 0", "2 1", "3 0")),
     ("ofl", "(?:sil )?open font", "font", ("1 0", "1 1")),
-    ("eupl", "(?:european union public|eupl)", "european", ("1 0", "1 1", "1 2")),
+    ("eupl", "european union public", "european", ("1 0", "1 1", "1 2")),
+    ("eupl", "eupl", "eupl", ("1 0", "1 1", "1 2")),
     ("ms-pl", "microsoft public", "microsoft", ()),
     ("ms-rl", "microsoft reciprocal", "microsoft", ()),
     ("python", "python software foundation", "python", ("2", "2 0")),
@@ -59,14 +68,14 @@ FAMILIES = (
     ("bsl", "business source", "business", ("1 0", "1 1")),
     ("sspl", "server side public", "server", ("1",)),
     ("cecill", "cecill", "cecill", ("1 0", "2 0", "2 1")),
-    ("cc0", "(?:cc0|creative commons zero)", "creative", ("1 0",)),
+    ("cc0", "creative commons zero", "creative", ("1 0",)),
+    ("cc0", "cc0", "cc0", ("1 0",)),
     ("cc-attribution", "creative commons attribution", "creative", ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-sharealike", "creative commons attribution share ?alike", "creative", ("1 0", "2 0", "2 5", "3 0", "4 0")),
     ("cc-noncommercial", "creative commons attribution non ?commercial", "creative", ("2 0", "3 0", "4 0")),
     ("cc-noderivatives", "creative commons attribution no ?deriv(?:ative)?s", "creative", ("2 0", "3 0", "4 0")),
 )
 
-SHORT = ("gpl", "lgpl", "agpl", "fdl", "mpl", "epl", "cddl", "eupl", "cc0")
 SPELLINGS = ("license", "licence")
 
 # Level (higher wins), weight, words of which a text must hold one, pattern around the name; "{v}" stands for the version,
@@ -98,18 +107,16 @@ NOTICES = (
 
 
 def rules() -> list[dict]:
-    """All rules in order.  ``keyword`` and one of ``more``, if any, must occur in a text for its rule to be tried."""
+    """All rules in order: names in their forms, notices, wording.  ``keyword`` and one of ``more``, if any, must occur in a text
+    for its rule to be tried."""
     made = []
     for family, name, keyword, versions in FAMILIES:
-        # A family is also known by its short name.
-        short = [n for n in name.replace("(?:", "|").replace(")", "|").split("|") if n in SHORT and n != keyword]
-        for gate in (keyword, *short):
-            for level, weight, more, form in FORMS:
-                for version in versions if "{v}" in form else ("",):
-                    label = "-".join([family, *([version.replace(" clause", "-clause").replace(" ", ".")] if version else [])])
-                    pattern = form.replace("{n}", name).replace("{v}", version)
-                    made.append({"label": label, "keyword": gate, "more": more, "level": level, "weight": weight, "pattern": pattern})
-    for label, keyword, level, weight, pattern in NOTICES:
+        for level, weight, more, form in FORMS:
+            for version in versions if "{v}" in form else ("",):
+                label = "-".join([family, *([version.replace(" clause", "-clause").replace(" ", ".")] if version else [])])
+                pattern = form.replace("{n}", name).replace("{v}", version)
+                made.append({"label": label, "keyword": keyword, "more": more, "level": level, "weight": weight, "pattern": pattern})
+    for label, keyword, level, weight, pattern in (*NOTICES, *WORDING):
         made.append({"label": label, "keyword": keyword, "more": (), "level": level, "weight": weight, "pattern": pattern})
     return [{"rule": i, **rule} for i, rule in enumerate(made)]
 

@@ -98,7 +98,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_license_notices")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_notices(table(spark, sf_dir, "documents")).drop("spans")
+    span = lambda s: F.concat_ws(":", s["label"], s["start"].cast("string"), s["end"].cast("string"))
+    found = licenses.license_notices(table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", F.array_join(F.transform("spans", span), ","))
 
 
 @query("op8_secret_scan")
