@@ -133,5 +133,16 @@ def test_stages_hold_and_keep_columns(spark, make, tmp_path, stage):
     docs = make(ROWS)
     got = run(spark, docs, str(tmp_path))
     assert got.columns == docs.columns
-    got.collect()
+    left = sorted((r.doc_id or 0, r.text) for r in got.collect() if r.text)
+    named = {"LONG": LONG, "WORDS": WORDS}
+    counts = {label: sum(t == text for _, t in left) for label, text in named.items()}
+    # Of the long text and the four rows of one text (two equal in id, one without an id) each stage keeps what its docstring says.
+    if name == "exact_dedup":
+        assert counts == {"LONG": 1, "WORDS": 2} and all(i == 2 for i, t in left if t == WORDS)
+    elif name == "near_dedup":
+        assert counts == {"LONG": 1, "WORDS": 1} and (1, WORDS) in left
+    elif name == "decontamination":
+        assert counts == {"LONG": 0, "WORDS": 0}
+    elif name == "language":
+        assert counts == {"LONG": 1, "WORDS": 4}
     assert run(spark, make([]), str(tmp_path)).collect() == []
