@@ -40,6 +40,7 @@ def main() -> None:
     spark = SparkSession.builder.appName("hustings").getOrCreate()
     if args.command == "contest":
         contest.run(spark, args.tables, args.out, overwrite=args.overwrite).show()
+        contest.suspected_copies(contest.read_contest(spark, args.tables)).orderBy("entry_id", "source_entry").show()
         return
     if args.save_model:
         check_target(spark, args.save_model)

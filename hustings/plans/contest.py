@@ -7,7 +7,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.operators import rules, scoring
+from hustings.operators import copies, rules, scoring
 from hustings.operators.skew import spread_join
 from hustings.session import materialise
 from hustings.sources.sinks import check_target
@@ -40,15 +40,35 @@ def admitted_entries(contest: Contest) -> DataFrame:
     return entries
 
 
-def ranking(contest: Contest, as_of: Column | None = None, **period: object) -> DataFrame:
-    """Ranked entries with accuracy, breadth, tier, prize and tie flag."""
+def final_predictions(contest: Contest, **period: object) -> tuple[DataFrame, DataFrame]:
+    """Per admitted entry the submission that counts (``submission_id, entry_id, submitted_at``), and its predictions."""
     valid = rules.complete_submission(F.col("has_predictions"), F.col("note_text"))
     final = rules.last_valid_submissions(contest.submissions, valid, **period).select(
         "submission_id", "entry_id", "submitted_at"
     )
     final = materialise(final.join(admitted_entries(contest), "entry_id", "left_semi"))
-    submitted = final.select("submission_id", "entry_id")
-    predictions = spread_join(contest.predictions, submitted, ["submission_id"], scoring.SEAT, "inner")
+    return final, spread_join(contest.predictions, final, ["submission_id"], scoring.SEAT, "inner")
+
+
+def suspected_copies(contest: Contest, percent: int = 90, **period: object) -> DataFrame:
+    """Submissions for review: ``entry_id, source_entry`` (the earlier), ``agreement`` over the larger of both and ``n_equal``.
+
+    An entry that says the same as an earlier one is listed with the earliest of them and agreement 1; ``n_equal`` tells how
+    many say so.  Different ones are listed with every earlier entry, standing for all that say the same, whose predictions they
+    share by ``percent`` or more.  Whether a listed entry is disqualified is for the organisers to say.
+    """
+    _, predictions = final_predictions(contest, **period)
+    predictions = materialise(predictions.select("entry_id", "submitted_at", *scoring.SEAT, "candidate"))
+    equal = copies.equal_submissions(predictions).where(F.col("entry_id") != F.col("copy_of"))
+    near = copies.near_copies(predictions, percent)
+    return equal.select("entry_id", F.col("copy_of").alias("source_entry"), F.lit(1.0).alias("agreement"), "n_equal").unionByName(
+        near.select("entry_id", "source_entry", "agreement", F.lit(None).cast("bigint").alias("n_equal"))
+    )
+
+
+def ranking(contest: Contest, as_of: Column | None = None, **period: object) -> DataFrame:
+    """Ranked entries with accuracy, breadth, tier, prize and tie flag."""
+    final, predictions = final_predictions(contest, **period)
     seats = scoring.counted_seats(contest.official, as_of)
     scores = scoring.entry_scores(scoring.state_accuracy(predictions, seats), seats)
     board = scoring.leaderboard(scoring.with_absent(scores, final.select("entry_id", "submitted_at")))

@@ -239,3 +239,18 @@ def test_a_seat_disputed_after_its_declaration_does_not_count(frame):
     rows = [("K", "P", "A", "declared", 1), ("K", "P", "A", "disputed", 2), ("K", "Q", "B", "declared", 1)]
     official = frame(rows, "state string, constituency string, winner string, status string, reported_at int")
     assert [r.constituency for r in scoring.counted_seats(official).collect()] == ["Q"]
+
+
+def test_suspected_copies_of_the_submissions_that_count(contest, frame):
+    from hustings.plans.contest import suspected_copies
+
+    # Of the admitted entries "shy" has ten seats right, "good" eight and "team" seven.
+    near = {(r.entry_id, r.source_entry, r.agreement, r.n_equal) for r in suspected_copies(contest, 80).collect()}
+    submitted = {r.entry_id: r.submitted_at for r in contest.submissions.where("submission_id < 99").collect()}
+    earlier = lambda a, b: (a, b) if submitted[a] > submitted[b] else (b, a)
+    assert near == {(*earlier("good", "shy"), 0.8, None), (*earlier("good", "team"), 0.9, None)}
+    same = contest.predictions.unionByName(contest.predictions.where("submission_id = 1").withColumn("submission_id", F.lit(7)))
+    same = same.dropDuplicates()
+    contest.predictions = contest.predictions.where("submission_id != 7").unionByName(same.where("submission_id = 7 and candidate = 'A'"))
+    got = {(r.entry_id, r.source_entry): (r.agreement, r.n_equal) for r in suspected_copies(contest, 95).collect()}
+    assert got == {("team", "shy"): (1.0, 2)}
