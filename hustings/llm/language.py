@@ -363,12 +363,13 @@ def answers(grams_asked: DataFrame, model: Model) -> DataFrame:
 
 
 def by_join(plain: DataFrame, model: Model, limits: tuple[float, float, float], schema: str) -> DataFrame:
-    """Rows are dealt by a hash of all their columns, so copies spread too: once to ask for n-grams, once to meet the answers."""
+    """Rows are dealt by a hash of their columns, so copies spread too: once to ask for n-grams, once to meet the answers."""
     spark, order, facts = plain.sparkSession, model.order, replace(model, kept=None)
     first = plain.columns[0]
     size = plain.agg(F.sum(F.octet_length(f"`{first}`"))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    bucket = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain.columns]), F.lit(buckets)).alias("bucket")
+    hashed = [F.col(f"`{f.name}`") for f in plain.schema if f.dataType.typeName() not in ("map", "variant")]
+    bucket = F.pmod(F.xxhash64(*hashed), F.lit(buckets)).alias("bucket")
     dealt = plain.select(bucket, *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(plain.columns)]).repartition(buckets, "bucket")
     requests = stored(dealt.mapInArrow(asked(order), "bucket bigint, gram string").distinct(), "asked")
     known = stored(answers(requests.select("gram").distinct(), model), "answers")
