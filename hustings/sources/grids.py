@@ -225,15 +225,6 @@ def result_records(grid: DataFrame, fallback: int | None = None, strict: bool =
     return result_sheets(grid, fallback, strict)[0]
 
 
-def read_folder(spark: SparkSession, path: str, kind: str = "xlsx", **files: str | None) -> DataFrame:
-    """A folder of workbooks (``xlsx``) or delimited files (``csv``) as one grid."""
-    if kind == "xlsx":
-        from hustings.sources.workbooks import read_workbooks
-
-        return read_workbooks(spark, path, **files)
-    return read_delimited(spark, path, **files)
-
-
 def union_sources(frames: list[DataFrame]) -> DataFrame:
     """All rows of all frames, columns matched by name, absent ones null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
