@@ -53,7 +53,8 @@ def exact_duplicates(
 
     store = cut.select(F.explode("_chunks").alias("chunk")).select(hashed(F.col("chunk")).alias("h"), "chunk").distinct()
     shared = stored(store.groupBy("h").count().where("count > 1").select("h"), "shared-hashes")
-    recipes = cut.select("doc_id", "text_sha256", "_valid", F.transform("_chunks", hashed).alias("_recipe"))
+    # Texts are cut twice, for their chunks and for their recipes; all that follows reads the recipes.
+    recipes = stored(cut.select("doc_id", "text_sha256", "_valid", F.transform("_chunks", hashed).alias("_recipe")), "recipes")
     if shared.isEmpty():
         recipes = recipes.withColumn("_numbers", F.lit(None).cast("array<struct<pos:int,number:int>>"))
     else:
