@@ -186,7 +186,7 @@ def _tagged(
     from o""",
 )
 def multiline_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders written with quoted line breaks, quotes and separators, read in splits of 16 kB."""
+    """Orders written with quoted line breaks, quotes and separators, read in splits of 64 kB."""
     c = F.col("o_custkey")
     cells = (
         F.when(c % 3 == 0, F.concat(F.lit('"'), "o_orderpriority", F.lit('\n""'), "o_orderstatus", F.lit('"", two\n\nend"')))
@@ -199,7 +199,7 @@ def multiline_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = orders.repartition(4, "part").sortWithinPartitions("part", "o_orderkey")
     placed.select("part", "value").write.partitionBy("part").option("compression", "none").text(path)
     whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
     try:
         grid = read_delimited(spark, path, glob="*.txt")
     finally:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from hustings.operators.skew import lookup
+from hustings.session import materialise
 
 SPLIT = ["source", "_split"]
 
@@ -102,20 +103,22 @@ def joined_records(lines: DataFrame) -> DataFrame:
             "_then1": F.lead("in1").over(in_split),
         }
     )
-    placed = lookup(counted, split_states(marked), SPLIT, ["_seq"], "inner")
+    placed = lookup(counted, materialise(split_states(marked)), SPLIT, ["_seq"], "inner")
 
     def which(name: str) -> Column:
         return F.when(F.col("_inside"), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
 
     record = F.col("_records") + which("_nth") - 1
     loose = F.col("_unclosed") & (record == F.col("_all_records") - 1)
-    rows = placed.select(
-        "source",
-        "value",
-        record.alias("record"),
-        (F.col("_lines") + F.col("_seq") - F.col("_first")).alias("line"),
-        loose.alias("loose"),
-        (which("in") | F.coalesce(which("_then"), F.col("_next"), F.lit(False))).alias("several"),
+    rows = materialise(
+        placed.select(
+            "source",
+            "value",
+            record.alias("record"),
+            (F.col("_lines") + F.col("_seq") - F.col("_first")).alias("line"),
+            loose.alias("loose"),
+            (which("in") | F.coalesce(which("_then"), F.col("_next"), F.lit(False))).alias("several"),
+        )
     )
     alone = rows.where("not loose and not several").select("source", F.col("record").alias("row_idx"), "value", "loose")
     pieces = F.array_sort(F.collect_list(F.struct("line", "value")))
@@ -140,7 +143,7 @@ def records(lines: DataFrame) -> DataFrame:
     line go through more than numbering.  Line breaks within a record become ``\\n``.  A quote that is never closed joins
     nothing: from its record on every line of the file is a record of its own, and ``loose``.
     """
-    torn = lines.where("open0").groupBy("source").agg(F.count(F.lit(1)).alias("torn"))
+    torn = materialise(lines.where("open0").groupBy("source").agg(F.count(F.lit(1)).alias("torn")))
     if torn.isEmpty():
         return numbered_lines(lines)
     tagged = lookup(lines, torn, ["source"], ["_seq"])
