@@ -1,14 +1,15 @@
-"""Main text of web pages: structure first, then differences to the page with the nearest address on the same host.
+"""Main text of web pages: differences to the page with the nearest address on the same host, checked by the structure.
 
-A page is parsed once, into lines with the part of the page they stand in.  Where an article or main element holds text, that
-settles the page.  All others are compared: pages of a host are paired along the order of their paths, with the neighbour whose
-path has the longer common beginning (pages of a host with equal lines stand there once), their lines are aligned by a
-longest common subsequence of line hashes, and shared lines are deleted.
+A page is parsed once, into lines with the part of the page they stand in.  Every page is compared: pages of a host are paired
+along the order of their paths, with the neighbour whose path has the longer common beginning (pages of a host with equal
+lines stand there once), their lines are aligned by a longest common subsequence of line hashes, and shared lines are deleted.
+The structure is an exact check after that: it takes back the lines of an article or main element, which neighbours may share
+too, and drops what differs from page to page without belonging to the text.
 """
 
 from __future__ import annotations
 
-import zlib
+import bz2
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,42 +30,46 @@ def line_hash(line: str) -> int:
 
 
 def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages, html last, to the hashes of their lines, and either their ``text`` or, if others must be looked at, the lines
-    themselves, compressed.  No line holds a line feed."""
+    """Pages, html last, to the hashes of their lines and, compressed, the lines with their parts; the text is kept of lines
+    that the check after the comparison may leave.  No line holds a line feed."""
     for batch in batches:
-        hashed, texts, packed, sizes = [], [], [], []
+        hashed, packed = [], []
         for html in batch.columns[-1]:
             lines = page_lines(html.as_py() or "")
             hashed.append([line_hash(t) for _, t in lines])
-            settled = any(part == MAIN for part, _ in lines) or not any(part == OPEN for part, _ in lines)
-            texts.append(main_text(lines, set()) if settled else None)
-            joined = None if settled else "\n".join(part[0] + text for part, text in lines)
-            packed.append(None if settled else zlib.compress(joined.encode("utf-8", "surrogatepass"), 1))
-            sizes.append(len(texts[-1] or packed[-1] or ""))
-        for a, b in slices(sizes, OUTPUT):
+            left = MAIN if any(part == MAIN for part, _ in lines) else OPEN
+            joined = "\n".join(part[0] + (text if part == left else "") for part, text in lines)
+            packed.append(bz2.compress(joined.encode("utf-8", "surrogatepass")))
+        for a, b in slices([8 * len(h) + len(p) for h, p in zip(hashed, packed)], OUTPUT):
             part = batch.slice(a, b - a)
-            found = [pa.array(hashed[a:b], pa.list_(pa.int64())), pa.array(texts[a:b], pa.string()), pa.array(packed[a:b], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found], names=[*batch.schema.names[:-1], "lines", "text", "packed"])
+            found = [pa.array(hashed[a:b], pa.list_(pa.int64())), pa.array(packed[a:b], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], *found], names=[*batch.schema.names[:-1], "lines", "packed"])
 
 
 def unpack(packed: bytes) -> list[tuple[str, str]]:
     parts = {part[0]: part for part in (MAIN, OPEN, CHROME)}
-    text = zlib.decompress(packed).decode("utf-8", "surrogatepass")
+    text = bz2.decompress(packed).decode("utf-8", "surrogatepass")
     return [(parts[line[0]], line[1:]) for line in text.split("\n") if line]
 
 
+def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``sum, lines, others`` to the places of the lines that stand in a longest common subsequence with the others."""
+    for batch in batches:
+        same = [shared(lines.as_py(), others.as_py()) for lines, others in zip(batch.column(1), batch.column(2))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.list_(pa.int32()))], names=["sum", "same"])
+
+
 def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages with the places of their shared lines: those are deleted, then the structure of the page is checked."""
     for batch in batches:
-        texts = []
-        for packed, others in zip(batch.column(2), batch.column(3)):
-            lines = unpack(packed.as_py())
-            same = shared([line_hash(t) for _, t in lines], others.as_py() or [])
-            texts.append(main_text(lines, set(same)))
+        same = [places.as_py() or [] for places in batch.column(3)]
+        texts = [main_text(unpack(packed.as_py()), set(places)) for packed, places in zip(batch.column(2), same)]
         for a, b in slices([len(t) for t in texts], OUTPUT):
             part = batch.slice(a, b - a)
+            counts = [pa.array([len(x) for x in found[a:b]], pa.int64()) for found in (texts, same)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), pa.array(texts[a:b], pa.string()), pa.array([len(t) for t in texts[a:b]], pa.int64())],
-                names=["page_id", "url", "text", "n_chars"],
+                [part.column(0), part.column(1), pa.array(texts[a:b], pa.string()), *counts],
+                names=["page_id", "url", "text", "n_chars", "n_shared"],
             )
 
 
@@ -75,30 +80,27 @@ def common_prefix(a: Column, b: Column) -> Column:
     return F.when(differs == 0, F.size(same)).otherwise(differs - 1)
 
 
-def nearest(lines: DataFrame) -> DataFrame:
-    """``key, other``: for every page the one next to it in the order of host, path and key, if that is on the same host.
+def nearest(lists: DataFrame) -> DataFrame:
+    """``sum, other``: for every list of lines the one next to it in the order of host, path and key, if that is on the same host.
 
     Of the two neighbours the one whose path has the longer common beginning, else the one before.
     """
-    order = lines.select("key", "host", "path", F.struct("host", "path", "key").alias("place"))
-    placed = stored(positions(order, "place").select("key", "host", "path", F.col("before").alias("at")), "page-order")
-
-    def neighbour(step: int, name: str) -> DataFrame:
-        return placed.select((F.col("at") + step).alias("at"), F.struct("key", "host", "path").alias(name))
-
-    both = placed.join(neighbour(1, "back"), "at", "left").join(neighbour(-1, "front"), "at", "left")
-
-    def fits(name: str) -> Column:
-        here = F.col(f"{name}.host") == F.col("host")
-        return F.when(here, common_prefix(F.col("path"), F.col(f"{name}.path"))).otherwise(F.lit(-1))
-
-    back, front = F.coalesce(fits("back"), F.lit(-1)), F.coalesce(fits("front"), F.lit(-1))
-    other = F.when((back >= front) & (back >= 0), F.col("back.key")).when(front >= 0, F.col("front.key"))
-    return both.select("key", other.alias("other")).where("other is not null")
+    order = lists.select("sum", F.struct("host", "path", "key").alias("place"))
+    placed = stored(positions(order, "place").select("sum", "place.host", "place.path", F.col("before").alias("at")), "page-order")
+    following = placed.select((F.col("at") - 1).alias("at"), F.struct("sum", "host", "path").alias("after"))
+    steps = placed.join(following, "at").where(F.col("host") == F.col("after.host"))
+    steps = steps.select("sum", F.col("after.sum").alias("after"), common_prefix(F.col("path"), F.col("after.path")).alias("alike"))
+    # Every step is a choice for both of its ends.
+    ends = [
+        F.struct(F.col(own).alias("sum"), F.struct("alike", F.lit(back).alias("back"), F.col(other).alias("other")).alias("choice"))
+        for own, other, back in (("sum", "after", 0), ("after", "sum", 1))
+    ]
+    choices = steps.select(F.explode(F.array(*ends)).alias("end")).select("end.*")
+    return choices.groupBy("sum").agg(F.max("choice").alias("choice")).select("sum", "choice.other")
 
 
 def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """One row per row of ``pages``: ``page_id, url, text, n_chars``.
+    """One row per row of ``pages``: ``page_id, url, text, n_chars``, and ``n_shared``, the lines shared with the neighbour.
 
     Blocks of the main text are joined by one line feed; a null or empty page and one without text give an empty text.
     Pages without an address count as one host.  Pages of a host with equal lines share one place in the order, that of
@@ -106,30 +108,23 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     further columns are not looked at.
     """
     rows = own_columns(pages, page_id=page_id, url=url, html=html)
-    name = F.md5(F.to_json(F.struct("page_id", "url", F.md5(text_of("html")).alias("h")), {"ignoreNullFields": "false"}))
+    name = F.unhex(F.md5(F.to_json(F.struct("page_id", "url", F.md5(text_of("html")).alias("h")), {"ignoreNullFields": "false"})))
     address = text_of("url")
     host = F.lower(F.regexp_extract(address, "^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_extract(address, "^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-    named = rows.select("page_id", "url", name.alias("key"), host.alias("host"), path.alias("path"), "html")
     kind = rows.schema["page_id"].dataType.simpleString()
-    parsed = named.mapInArrow(
-        parse, f"page_id {kind}, url string, key string, host string, path string, lines array<bigint>, text string, packed binary"
-    )
-    parsed = stored(parsed.withColumn("sum", F.xxhash64("lines")), "page-lines")
-    settled = parsed.where("packed is null").select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
-    unsettled = parsed.where("packed is not null")
-    if unsettled.isEmpty():
-        return settled
-    # Only hosts that hold an open page are looked at any further.
-    hosts = unsettled.groupBy("host").agg(F.count(F.lit(1)).alias("_n"))
-    once = spread_join(parsed.select("key", "host", "path", "sum").distinct(), hosts.drop("_n"), ["host"], ["key"], "left_semi")
-    alike = once.groupBy("host", "sum").agg(F.min(F.struct("path", "key")).alias("p"), F.count(F.lit(1)).alias("_n"))
-    alike = stored(alike.select("host", "sum", "p.path", "p.key", "_n"), "line-lists")
-    others = parsed.select(F.col("key").alias("other"), "lines").dropDuplicates(["other"])
-    found = nearest(alike.select("key", "host", "path")).join(others, "other").select("key", "lines")
-    of_list = alike.select("host", "sum", "key", "_n").join(found, "key").select("host", "sum", "_n", F.col("lines").alias("others"))
-    joined = spread_join(unsettled.select("page_id", "url", "key", "packed", "host", "sum"), of_list, ["host", "sum"], ["key"])
-    compared = joined.select("page_id", "url", "packed", "others").mapInArrow(
-        extract, f"page_id {kind}, url string, text string, n_chars bigint"
+    named = rows.select("page_id", "url", name.alias("key"), "html")
+    parsed = named.mapInArrow(parse, f"page_id {kind}, url string, key binary, lines array<bigint>, packed binary")
+    parsed = stored(parsed.withColumn("sum", F.xxhash64(host, "lines")), "page-lines").select("*", host.alias("host"), path.alias("path"))
+    # Equal rows have equal keys, so the smallest place of a list of lines is one of its rows.
+    first = F.min(F.struct("path", "key", "host", "lines")).alias("p")
+    once = parsed.groupBy("sum").agg(first, F.count(F.lit(1)).alias("_n"))
+    alike = stored(once.select("sum", "p.*", "_n"), "line-lists")
+    others = alike.select(F.col("sum").alias("other"), F.col("lines").alias("others"))
+    compared = nearest(alike).join(others, "other").join(alike.select("sum", "lines"), "sum").select("sum", "lines", "others")
+    found = compared.mapInArrow(align, "sum bigint, same array<int>")
+    of_list = alike.select("sum", "_n").join(found, "sum", "left")
+    joined = spread_join(parsed.select("page_id", "url", "key", "packed", "sum"), of_list, ["sum"], ["key"])
+    return joined.select("page_id", "url", "packed", "same").mapInArrow(
+        extract, f"page_id {kind}, url string, text string, n_chars bigint, n_shared bigint"
     )
-    return settled.unionByName(compared)
