@@ -148,7 +148,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_page_text")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.main_texts(table(spark, sf_dir, "pages"))
+    return extract.main_texts(table(spark, sf_dir, "pages")).drop("n_shared")
 
 
 @query("op12_personal_data")
