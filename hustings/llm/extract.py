@@ -1,6 +1,7 @@
 """Main text of web pages: differences to the page with the nearest address on the same host, checked by the structure.
 
-A page is parsed once, into lines with the part of the page they stand in.  Every page is compared: pages of a host are paired
+A page is parsed into lines with the part of the page they stand in, once for the hashes of the lines, which are written, and
+once for their text, which travels only to the result of the comparison.  Every page is compared: pages of a host are paired
 along the order of their paths, with the neighbour whose path has the longer common beginning (pages of a host with equal
 lines stand there once), their lines are aligned by a longest common subsequence of line hashes, and shared lines are deleted.
 The structure is an exact check after that: it takes back the lines of an article or main element, which neighbours may share
@@ -29,6 +30,15 @@ def line_hash(line: str) -> int:
     return xxhash.xxh64_intdigest(line) - (1 << 63)
 
 
+def hash_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pages, html last, to the hashes of their lines."""
+    for batch in batches:
+        hashed = [[line_hash(t) for _, t in page_lines(html.as_py() or "")] for html in batch.columns[-1]]
+        for a, b in slices([8 * len(h) for h in hashed], OUTPUT):
+            part = batch.slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(hashed[a:b], pa.list_(pa.int64()))], names=[*batch.schema.names[:-1], "lines"])
+
+
 def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pages, html last, to the hashes of their lines and, compressed, the lines with their parts; the text is kept of lines
     that the check after the comparison may leave.  No line holds a line feed."""
@@ -114,17 +124,20 @@ def main_texts(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     path = F.regexp_extract(address, "^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
     kind = rows.schema["page_id"].dataType.simpleString()
     named = rows.select("page_id", "url", name.alias("key"), "html")
-    parsed = named.mapInArrow(parse, f"page_id {kind}, url string, key binary, lines array<bigint>, packed binary")
-    parsed = stored(parsed.withColumn("sum", F.xxhash64(host, "lines")), "page-lines").select("*", host.alias("host"), path.alias("path"))
+    # Written are the hashes only: written texts would lie on the disk twice, as they are dealt to the results as well.
+    hashed = named.select("url", "key", "html").mapInArrow(hash_lines, "url string, key binary, lines array<bigint>")
+    hashed = stored(hashed.withColumn("sum", F.xxhash64(host, "lines")), "page-lines").select("*", host.alias("host"), path.alias("path"))
     # Equal rows have equal keys, so the smallest place of a list of lines is one of its rows.
     first = F.min(F.struct("path", "key", "host", "lines")).alias("p")
-    once = parsed.groupBy("sum").agg(first, F.count(F.lit(1)).alias("_n"))
+    once = hashed.groupBy("sum").agg(first, F.count(F.lit(1)).alias("_n"))
     alike = stored(once.select("sum", "p.*", "_n"), "line-lists")
     others = alike.select(F.col("sum").alias("other"), F.col("lines").alias("others"))
     compared = nearest(alike).join(others, "other").join(alike.select("sum", "lines"), "sum").select("sum", "lines", "others")
     found = compared.mapInArrow(align, "sum bigint, same array<int>")
     of_list = alike.select("sum", "_n").join(found, "sum", "left")
-    joined = spread_join(parsed.select("page_id", "url", "key", "packed", "sum"), of_list, ["sum"], ["key"])
+    parsed = named.mapInArrow(parse, f"page_id {kind}, url string, key binary, lines array<bigint>, packed binary")
+    parsed = parsed.select("page_id", "url", "key", "packed", F.xxhash64(host, "lines").alias("sum"))
+    joined = spread_join(parsed, of_list, ["sum"], ["key"])
     return joined.select("page_id", "url", "packed", "same").mapInArrow(
         extract, f"page_id {kind}, url string, text string, n_chars bigint, n_shared bigint"
     )
