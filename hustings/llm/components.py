@@ -26,13 +26,14 @@ def components(links: DataFrame) -> DataFrame:
     down = F.struct(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     edges = stored(links.where("a != b").select(down.alias("e")).select("e.*").distinct(), "links")
     while not is_forest_of_stars(edges):
+        most = 2 * edges.count()
         both = edges.unionAll(edges.select("v", "u")).toDF("x", "y")
         least = both.groupBy("x").agg(F.least(F.min("y"), F.first("x")).alias("m"), F.count(F.lit(1)).alias("_n"))
-        large = spread_join(both, least, ["x"], ["y"], "inner").where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v"))
+        large = spread_join(both, least, ["x"], ["y"], "inner", at_most=most).where("y > x").select(F.col("y").alias("u"), F.col("m").alias("v"))
         large = stored(large.distinct(), "large-star")
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_n"))
         joined = spread_join(
-            large.withColumnRenamed("u", "x"), least.withColumnRenamed("u", "x"), ["x"], ["v"], "inner"
+            large.withColumnRenamed("u", "x"), least.withColumnRenamed("u", "x"), ["x"], ["v"], "inner", at_most=most
         )
         small = joined.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionAll(least.select("u", F.col("m").alias("v")))

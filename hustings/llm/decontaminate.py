@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.tables import own_columns, text_of, unused
+from hustings.llm.tables import own_columns, stored, text_of, unused
 
 EDITS, RECALL, AGREEMENT, SAMPLED = 0.15, 0.99, 0.45, 3
 LEAST, MANY = 20, 6
@@ -407,7 +407,8 @@ def find_passages(
     """
     rows = own_columns(docs, doc_id=doc_id, text=text)
     items = own_columns(benchmark, item_id=item_id, text=item_text)
-    items = items.where(text_of("text").rlike(r"[\p{L}\p{N}]")).distinct()
+    # The driver asks for the items a partition at a time, each a job of its own: written, they are as few as their size allows.
+    items = stored(items.where(text_of("text").rlike(r"[\p{L}\p{N}]")).distinct(), "items")
     kinds = [rows.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType]
     schema = f"doc_id {kinds[0]}, item_id {kinds[1].simpleString()}, edits bigint, similarity double"
     found = [docs.sparkSession.createDataFrame([], schema)]

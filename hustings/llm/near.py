@@ -122,10 +122,10 @@ def path(tree: Column, sign: Column, depth: int) -> Column:
     return F.slice(sign if depth <= PATH else F.concat(sign, sign), tree * PATH + 1, F.lit(depth))
 
 
-def regions(signs: DataFrame) -> DataFrame:
+def regions(signs: DataFrame, at_most: int | None = None) -> DataFrame:
     """Rows ``doc, size, tree, h, n``: the regions (``h``) of at least two documents, with their number ``n``.
 
-    ``signs`` has ``doc, size, sign``.
+    ``signs`` has ``doc, size, sign``, and no more than ``at_most`` rows if that is given.
     """
     heads = F.transform(
         F.sequence(F.lit(0), F.lit(TREES - 1)),
@@ -133,7 +133,8 @@ def regions(signs: DataFrame) -> DataFrame:
     )
     rows = signs.select("doc", "size", F.explode(heads).alias("p")).select("doc", "size", "p.tree", "p.h")
     counts = rows.groupBy("h").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    return stored(spread_join(rows, counts.withColumn("n", F.col("_n")), ["h"], ["doc"], "inner"), "regions")
+    most = None if at_most is None else TREES * at_most
+    return stored(spread_join(rows, counts.withColumn("n", F.col("_n")), ["h"], ["doc"], "inner", at_most=most), "regions")
 
 
 def next_to_each_other(similarity: int, neighbours: int):
@@ -206,11 +207,12 @@ def open_pairs(marked: DataFrame, similarity: int) -> DataFrame:
     return groups.select(F.explode(F.flatten(F.transform("m", partners))).alias("p")).select("p.a", "p.b").distinct()
 
 
-def block_pairs(rows: DataFrame, weight: Column) -> DataFrame:
+def block_pairs(rows: DataFrame, weight: Column, at_most: int | None = None) -> DataFrame:
     """Rows ``g, doc, size, label`` of groups, once for every pair of blocks ``i, j`` of their group that their ``block`` is in.
 
     A block has members of about ``BLOCK`` units of ``weight``.  Members of the label that holds a quarter of its group or
-    more have blocks of their own, which do not meet each other; a group of one label has no blocks.
+    more have blocks of their own, which do not meet each other; a group of one label has no blocks.  ``at_most`` as for
+    ``spread_join``.
     """
     per = rows.groupBy("g", "label").agg(F.count(F.lit(1)).alias("held"), F.sum(weight).alias("w"))
     facts = per.groupBy("g").agg(
@@ -227,7 +229,7 @@ def block_pairs(rows: DataFrame, weight: Column) -> DataFrame:
         F.ceil((F.col("w") - F.when(own, F.col("top.w")).otherwise(0)) / BLOCK).alias("k"),
         F.when(own, F.ceil(F.col("top.w") / BLOCK)).otherwise(0).alias("k_top"),
     )
-    placed = spread_join(rows, blocks, ["g"], ["doc"], "inner")
+    placed = spread_join(rows, blocks, ["g"], ["doc"], "inner", at_most=at_most)
     top = F.coalesce(F.col("label") == F.col("top"), F.lit(False))
     turn = F.xxhash64("doc", F.lit("block"))
     block = F.when(top, F.col("k") + F.pmod(turn, F.greatest("k_top", F.lit(1)))).otherwise(F.pmod(turn, F.col("k")))
@@ -417,8 +419,9 @@ def beginnings(shared, n: int, similarity: int):
     return begin
 
 
-def dense_links(dense: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
-    """Links that connect all documents of dense regions that are linked at all, in place of those within one component.
+def dense_links(dense: DataFrame, texts: DataFrame, n: int, similarity: int) -> tuple[DataFrame, DataFrame | None]:
+    """Candidates to be confirmed, and links, if any, that need it no more: together they connect all documents of dense regions that
+    are linked at all, in place of those within one component.
 
     ``dense`` has ``doc, size, label``.  Every text goes through twice, to count its shingles in buckets (a sum of bounded
     size, which only orders them) and to emit its beginning.  A shingle that few beginnings hold gives pairs; under one that
@@ -432,24 +435,26 @@ def dense_links(dense: DataFrame, texts: DataFrame, n: int, similarity: int) ->
     shared = spark.sparkContext.broadcast(counts)
     schema = "token bigint, place bigint, short boolean, doc bigint, size bigint, label bigint"
     rows = stored(held.mapInArrow(beginnings(shared, n, similarity), schema), "beginnings")
+    most = rows.count()
     lists = rows.groupBy("token").agg(
         F.count(F.lit(1)).alias("_n"), F.count_if("short").alias("shorter"), F.min("label").alias("low"), F.max("label").alias("high")
     )
     lists = stored(lists.where("_n > 1 and shorter > 0 and low < high").select("token", "_n", (F.col("_n") * F.col("shorter")).alias("pairs")), "lists")
-    light = spread_join(rows, lists.where(F.col("pairs") <= LIGHT).drop("pairs"), ["token"], ["doc"], "inner")
+    light = spread_join(rows, lists.where(F.col("pairs") <= LIGHT).drop("pairs"), ["token"], ["doc"], "inner", at_most=most)
     larger = light.select("token", *[F.col(c).alias(f"l_{c}") for c in ("place", "doc", "size", "label")])
-    met = spread_join(light.where("short"), larger, ["token"], ["doc"], "inner")
+    met = spread_join(light.where("short"), larger, ["token"], ["doc"], "inner", at_most=most)
     left = F.least(F.col("size") - F.col("place"), F.col("l_size") - F.col("l_place"))
     fits = (F.col("size") <= F.col("l_size")) & (left * (100 + similarity) >= similarity * (F.col("size") + F.col("l_size")))
     pairs = met.where((F.col("label") != F.col("l_label")) & alike(F.col("size"), F.col("l_size"), similarity) & fits)
     pairs = stored(pairs.select(*ordered(F.col("doc"), F.col("l_doc"))).distinct(), "open-pairs")
-    links = confirmed(pairs, texts, n, similarity)
     heavy = lists.where(F.col("pairs") > LIGHT)
+    links = None
     if not heavy.isEmpty():
-        members = spread_join(rows, heavy.drop("pairs"), ["token"], ["doc"], "inner").select(F.col("token").alias("g"), "doc", "size", "label")
-        family = block_pairs(members, F.col("size") / 512 + 1)
-        links = links.unionAll(by_blocks(family, texts.toDF("doc", "text"), exactly(n, similarity), "bigint").distinct())
-    return links
+        members = spread_join(rows, heavy.drop("pairs"), ["token"], ["doc"], "inner", at_most=most)
+        members = stored(members.select(F.col("token").alias("g"), "doc", "size", "label"), "members")
+        family = block_pairs(members, F.col("size") / 512 + 1, most)
+        links = by_blocks(family, texts.toDF("doc", "text"), exactly(n, similarity), "bigint").distinct()
+    return pairs, links
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, n: int, similarity: int) -> DataFrame:
@@ -468,6 +473,7 @@ def clustered(docs: DataFrame, doc_id: str, text: str, words: int, similarity: i
     sketches = stored(
         rows.mapInArrow(sketcher(words), f"doc_id {kind}, sha binary, n_shingles bigint, key binary, sign array<int>"), "sketches"
     )
+    most = sketches.count()
     part = F.col("n_shingles") > 0
     if not nameless:
         part &= F.col("doc_id").isNotNull()
@@ -478,7 +484,7 @@ def clustered(docs: DataFrame, doc_id: str, text: str, words: int, similarity: i
     )
     copies = stored(per_key.withColumn("doc", F.monotonically_increasing_id()), "copies")
     signs = copies.select("doc", "size", "sign")
-    shallow = regions(signs)
+    shallow = regions(signs, most)
     wanted = copies.join(shallow.select("doc").distinct(), "doc", "left_semi").select("doc", F.col("rep.doc_id").alias("_id"), F.col("rep.sha").alias("_sha"))
     here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha"))
     texts = stored(rows.join(wanted, here).select("doc", "text").dropDuplicates(["doc"]), "texts")
@@ -487,18 +493,23 @@ def clustered(docs: DataFrame, doc_id: str, text: str, words: int, similarity: i
     labels = stored(components(links), "labels")
     marked = stored(labelled(shallow, labels), "marked")
     rest = open_pairs(marked.where(F.col("n") <= SMALL), similarity).join(tried, ["a", "b"], "left_anti")
-    last = confirmed(rest, texts, words, similarity)
     dense = marked.where(F.col("n") > SMALL)
+    blockwise = None
     if not dense.isEmpty():
-        last = last.unionAll(dense_links(dense.select("doc", "size", "label").distinct(), texts, words, similarity))
+        pairs, blockwise = dense_links(dense.select("doc", "size", "label").distinct(), texts, words, similarity)
+        rest = rest.unionAll(pairs)
+    # All candidates go through one pair of joins with their texts.
+    last = confirmed(rest, texts, words, similarity)
+    if blockwise is not None:
+        last = last.unionAll(blockwise)
     labels = joined_components(labels, stored(last, "links"))
     # Components have numbers; each is named after its smallest row.
-    named = labels.withColumnRenamed("node", "doc").join(copies.select("doc", "rep"), "doc")
+    named = stored(labels.withColumnRenamed("node", "doc").join(copies.select("doc", "rep"), "doc"), "named")
     names = named.groupBy("label").agg(F.min("rep").alias("best"), F.count(F.lit(1)).alias("_n"))
-    best = spread_join(named.select("doc", "label"), names, ["label"], ["doc"], "inner").drop("label")
+    best = spread_join(named.select("doc", "label"), names, ["label"], ["doc"], "inner", at_most=most).drop("label")
     of_key = copies.join(best, "doc", "left").select("key", F.coalesce("best", "rep").alias("best"), "_n")
     whole = sketches.select("doc_id", "sha", "n_shingles", F.when(part, F.col("key")).alias("key"))
-    return spread_join(whole, of_key, ["key"], ["doc_id", "sha"]).drop("key")
+    return spread_join(whole, of_key, ["key"], ["doc_id", "sha"], at_most=most).drop("key")
 
 
 def sha_of(text: str) -> Column:
