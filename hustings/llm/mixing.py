@@ -69,24 +69,20 @@ def mix(
     rows.  The offset comes from ``seed`` alone, so reruns agree.
     """
     given = {"doc_id": doc_id, "source": source, "text": text} | ({"row": row} if row else {})
-    identity = ["row"] if row else []
-    sized = stored(
-        own_columns(docs, **given).select(
-            "doc_id",
-            "source",
-            *identity,
-            F.coalesce(F.concat(F.lit("s"), "source"), F.lit("t")).alias("_key"),
-            words(text_of("text")).alias("size"),
-        ),
-        "sizes",
-    )
+    counted = own_columns(docs, **given).withColumn("size", words(text_of("text"))).drop("text")
+    return drawn(stored(counted, "sizes"), weights, share, limit, seed)
+
+
+def drawn(sized: DataFrame, weights: tuple[int, ...], share: float, limit: float, seed: int) -> DataFrame:
+    """``mix`` of written rows ``doc_id, source, size`` and, if there is one, ``row``."""
+    identity = ["row"] if "row" in sized.columns else []
+    sized = sized.withColumn("_key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("t")))
     # "s..." stands before "t": null sources come last.
     sources = sized.groupBy("_key").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("_n"))
-    ranked = positions(stored(sources, "sources"), "_key").withColumnRenamed("before", "_rank")
+    ranked = positions(sources, "_key", _start=F.col("_n")).withColumnRenamed("before", "_rank")
     cycle = F.array(*[F.lit(w) for w in weights])
-    weighted = ranked.withColumn("weight", F.get(cycle, F.pmod("_rank", F.lit(len(weights))).cast("int")))
-    starts = positions(weighted, "_key", F.col("_n")).withColumnRenamed("before", "_start").drop("_rank")
-    targets = source_targets(stored(starts, "source-weights"), weights, share, limit)
+    weighted = ranked.withColumn("weight", F.get(cycle, F.pmod("_rank", F.lit(len(weights))).cast("int"))).drop("_rank")
+    targets = source_targets(stored(weighted, "source-weights"), weights, share, limit)
     placed = positions(sized.withColumn("_place", F.struct("_key", "size", "doc_id", *identity)), "_place").drop("_place")
     joined = spread_join(placed, targets, ["_key"], ["doc_id", "before"])
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -102,14 +98,28 @@ def mix(
     )
 
 
-def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+def mixture(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    limit: float = LIMIT,
+    seed: int = SEED,
+) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as ``mix`` emits it, with ``copy`` counted from 1 (a column of
     that name is replaced).
 
-    The rows are written once with a number each, so every row keeps its own copies, whatever it shares with others.
+    The rows are written once with a number and their size each, so every row keeps its own copies, whatever it shares with
+    others, and the texts are read for their sizes while they are written.
     """
-    number, copies = unused(docs, "_number", "_copies")
-    rows = stored(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
-    drawn = mix(rows, doc_id, text, source, row=number, **options).where("copies > 0")
-    emitted = rows.join(drawn.select(F.col("row").alias(number), F.col("copies").cast("int").alias(copies)), number)
+    number, size, copies = unused(docs, "_number", "_size", "_copies")
+    numbered = docs.select(
+        "*", F.monotonically_increasing_id().alias(number), words(text_of(F.col(f"`{text}`"))).alias(size)
+    )
+    rows = stored(numbered, "numbered")
+    sized = own_columns(rows, doc_id=doc_id, source=source, row=number, size=size)
+    taken = drawn(sized, weights, share, limit, seed).where("copies > 0")
+    emitted = rows.drop(size).join(taken.select(F.col("row").alias(number), F.col("copies").cast("int").alias(copies)), number)
     return emitted.drop(number).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).drop(copies)

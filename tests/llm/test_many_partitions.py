@@ -1,8 +1,10 @@
 """Many shuffle partitions and little data: no further job, join or pass for each of them."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from hustings.llm import decontaminate, near
+from hustings.llm import decontaminate, mixing, near, tables
+from hustings.operators import ordering
 from hustings.operators.skew import spread_join
 
 
@@ -61,3 +63,26 @@ def test_candidates_meet_their_texts_together(frame, monkeypatch):
     found = {r.doc_id: r.component_id for r in near.near_duplicates(docs).collect()}
     assert {found[i] for i in range(40)} == {0} and all(found[100 + i] == 100 + i for i in range(5))
     assert len(calls) == 2
+
+
+def test_the_mixture_writes_few_tables(frame, monkeypatch):
+    written = []
+    for module, name in ((mixing, "stored"), (tables, "stored"), (ordering, "materialise")):
+        given = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda df, *a, given=given: written.append(df.columns) or given(df, *a))
+    rows = [(i % 7, "a b c" if i % 2 else "d e", source) for i, source in enumerate(["x", "y", None, "z"] * 10)]
+    docs = frame(rows, "doc_id bigint, text string, source string")
+    sizes = [F.regexp_count("text", F.lit(r"\S+")).alias("size")]
+    copies = mixing.mixture(docs).select("source", *sizes).groupBy("source").agg(F.sum("size").alias("taken"))
+    assert len(written) <= 4
+    want = {r.source: r.taken for r in mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("taken")).collect()}
+    assert {r.source: r.taken for r in copies.collect()} == {k: v for k, v in want.items() if v}
+    # Texts are written once, with their numbers.
+    assert sum("text" in columns for columns in written) == 1
+
+
+def test_positions_of_several_weights(frame):
+    rows = [(k, k % 5) for k in range(100)]
+    placed = ordering.positions(frame(rows, "k int, w bigint"), "k", _sum=F.col("w"))
+    assert placed.columns == ["k", "w", "before", "_sum"]
+    assert sorted(placed.collect()) == [(k, w, k, sum(x for _, x in rows[:k])) for k, w in rows]
